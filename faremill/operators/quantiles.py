@@ -9,6 +9,8 @@ gathered in one window is a bounded number of buckets, then the few values of on
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,7 +46,7 @@ def exact_quantiles(
     ).filter(F.col("value").isNotNull())
 
     brackets = _brackets(df, columns, probabilities, by, accuracy)
-    runs = _runs(long, brackets, keys)
+    runs = _runs(long, brackets, keys, len(probabilities))
     targets = _targets(brackets, probabilities, keys, interpolation)
     return _select_ranks(runs, targets, keys)
 
@@ -79,7 +81,7 @@ def _brackets(
     )
 
 
-def _runs(long: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
+def _runs(long: DataFrame, brackets: DataFrame, keys: list[str], count: int) -> DataFrame:
     """Counts of consecutive value runs: single values inside brackets, gaps outside.
 
     ``slot`` numbers brackets and gaps alternately; a bracket is sliced further so that
@@ -91,9 +93,10 @@ def _runs(long: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
         F.least(F.floor((value - low) / width).cast("int"), F.lit(_BUCKETS - 1)), F.lit(0)
     )
     # Brackets ascend, so the first one whose upper edge reaches the value decides.
+    edges_below = [F.when(F.get("highs", F.lit(i)) < value, 1).otherwise(0) for i in range(count)]
     placed = (
         long.join(F.broadcast(brackets.drop("n")), keys)  # groups x columns rows
-        .withColumn("above", F.size(F.filter("highs", lambda edge: edge < value)))
+        .withColumn("above", reduce(add, edges_below))
         .withColumn("low", F.get("lows", F.col("above")))
         .withColumn("high", F.get("highs", F.col("above")))
         .withColumn("inside", F.coalesce(low <= value, F.lit(False)))
@@ -145,7 +148,13 @@ def _targets(
 
 def _select_ranks(runs: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
     bucket_keys = [*keys, "slot", "bucket"]
-    buckets = runs.groupBy(*bucket_keys).agg(F.sum("n_run").alias("n_bucket"))
+    # Carrying the run bounds keeps both uses of `runs` alike, so its shuffle is read twice
+    # instead of being computed twice.
+    buckets = runs.groupBy(*bucket_keys).agg(
+        F.sum("n_run").alias("n_bucket"),
+        F.min("run_min").alias("bucket_min"),
+        F.max("run_max").alias("bucket_max"),
+    )
     in_order = Window.partitionBy(*keys).orderBy("slot", "bucket")
     buckets = buckets.withColumn("_end", F.sum("n_bucket").over(in_order))
     hit_buckets = (
@@ -155,6 +164,8 @@ def _select_ranks(runs: DataFrame, targets: DataFrame, keys: list[str]) -> DataF
         )
         .select(
             *bucket_keys,
+            "bucket_min",
+            "bucket_max",
             "probability",
             "weight",
             (F.col("rank") - (F.col("_end") - F.col("n_bucket"))).alias("rank"),
@@ -163,6 +174,7 @@ def _select_ranks(runs: DataFrame, targets: DataFrame, keys: list[str]) -> DataF
     within = Window.partitionBy(*bucket_keys, "probability", "weight", "rank").orderBy("run_min")
     located = (
         runs.join(F.broadcast(hit_buckets), bucket_keys)  # at most one row per target
+        .filter(F.col("single").isNull() | F.col("single").between(F.col("bucket_min"), F.col("bucket_max")))
         .withColumn("_end", F.sum("n_run").over(within))
         .filter(
             (F.col("rank") <= F.col("_end")) & (F.col("rank") > F.col("_end") - F.col("n_run"))

@@ -408,6 +408,26 @@ ORACLE: dict[str, str] = {
     ),
     "baseline_metrics": _with(_HOLDOUT + _METRICS, cells=True),
     "baseline_history": _with(_HISTORY + _METRICS, cells=True),
+    "mode_imputation": _with(
+        _union(
+            [
+                f"""SELECT '{name}' AS "column",
+                  (SELECT CAST({c} AS VARCHAR) FROM trips WHERE {c} IS NOT NULL
+                   GROUP BY {c} ORDER BY count(*) DESC, CAST({c} AS VARCHAR) LIMIT 1) AS mode,
+                  (SELECT count(*) FROM trips WHERE {c} IS NOT NULL
+                   GROUP BY {c} ORDER BY count(*) DESC LIMIT 1) AS "rows",
+                  (SELECT count(*) FROM trips WHERE {c} IS NULL) AS missing"""
+                for name, c in {
+                    "color": "color",
+                    "pu_borough": "pu_borough",
+                    "do_borough": "do_borough",
+                    "payment_type": "payment_type",
+                    "day_of_week": "dow_name",
+                    "month": "month_ym",
+                }.items()
+            ]
+        )
+    ),
     "log_target": _with(
         f"""
         SELECT {_ROW_KEYS}, greatest(coalesce(total_amount, 0), 0.001e0) AS target,

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from faremill.functions.calendar import calendar_features, month_key
 from faremill.functions.money import clean_target
 from faremill.functions.portions import unit_hash
-from faremill.operators import baseline, enrich, profile, quality, sampling
-from faremill.plans import reports
+from faremill.operators import baseline, enrich, features, profile, quality, sampling
+from faremill.plans import modelling, reports
 from harness import trip_view as tv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +135,15 @@ def _violations(trips: DataFrame) -> DataFrame:
     )
 
 
+def _modes(trips: DataFrame) -> DataFrame:
+    return features.column_modes(modelling.model_frame(trips), features.CATEGORICAL)
+
+
+def _prepared(trips: DataFrame, compact: bool) -> modelling.Prepared:
+    frame = modelling.model_frame(trips, *ROW_KEYS)
+    return modelling.prepare(frame, tv.TEST_MONTHS, unit_hash(*ROW_KEYS, seed=43), compact)
+
+
 QUERIES: dict[str, Query] = {
     # cleaning and enrichment
     "cleaned_trips": _on_cleaned(lambda t: t),
@@ -189,5 +198,11 @@ QUERIES: dict[str, Query] = {
     "baseline_predictions": _on_enriched(_baseline_rows),
     "baseline_metrics": _on_enriched(_baseline_metrics),
     "baseline_history": _on_enriched(_baseline_history),
+    # modelling
+    "mode_imputation": _on_enriched(_modes),
     "log_target": _on_enriched(_log_target),
+    "linear_metrics": _on_enriched(lambda t: modelling.linear_metrics(_prepared(t, False))),
+    "ridge_metrics": _on_enriched(lambda t: modelling.ridge_metrics(_prepared(t, False))),
+    "huber_metrics": _on_enriched(lambda t: modelling.huber_metrics(_prepared(t, True))),
+    "mlp_metrics": _on_enriched(lambda t: modelling.mlp_metrics(_prepared(t, True))),
 }

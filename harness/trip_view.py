@@ -31,21 +31,23 @@ def _feed_extras(color: str) -> list[Column]:
 
 
 def _lines(spark: SparkSession, sf_dir: str, only: Column | None = None) -> DataFrame:
+    """Line items with trip values, joined to the second their order was placed.
+
+    Values are computed below the join, so filters on them run before the shuffle and
+    timestamps stay short expressions.
+    """
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     if only is not None:
         lineitem = lineitem.filter(only)
-    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-
-
-def _columns(pickup_name: str, dropoff_name: str) -> list[Column]:
-    offset = (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 3607) % 86400
-    ride = (F.col("l_partkey") * 37 + F.col("l_suppkey") * 11) % 25200 - 600
-    start = F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + offset
     cents = F.floor((F.col("l_extendedprice") - 3000) / 10)
-    return [
-        F.timestamp_seconds(start).alias(pickup_name),
-        F.timestamp_seconds(start + ride).alias(dropoff_name),
+    values = lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        "l_returnflag",
+        ((F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 3607) % 86400).alias("offset"),
+        ((F.col("l_partkey") * 37 + F.col("l_suppkey") * 11) % 25200 - 600).alias("ride"),
         (F.col("l_quantity") * F.col("l_discount") * 30).alias("trip_distance"),
         (cents / F.lit(100.0)).alias("total_amount"),
         (F.floor(F.col("l_tax") * F.col("l_extendedprice") / 2) / F.lit(100.0)).alias("tip_amount"),
@@ -55,6 +57,30 @@ def _columns(pickup_name: str, dropoff_name: str) -> list[Column]:
         (F.col("l_suppkey") % 6 + 1).alias("payment_type"),
         (F.col("l_suppkey") % 27).cast("int").alias("PULocationID"),
         (F.col("l_partkey") % 26).cast("int").alias("DOLocationID"),
+    )
+    placed = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("placed")
+    )
+    return values.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def _columns(pickup_name: str, dropoff_name: str) -> list[Column]:
+    start = F.col("placed") + F.col("offset")
+    return [
+        F.timestamp_seconds(start).alias(pickup_name),
+        F.timestamp_seconds(start + F.col("ride")).alias(dropoff_name),
+        *[
+            F.col(name)
+            for name in (
+                "trip_distance",
+                "total_amount",
+                "tip_amount",
+                "passenger_count",
+                "payment_type",
+                "PULocationID",
+                "DOLocationID",
+            )
+        ],
     ]
 
 
