@@ -51,13 +51,18 @@ class Layout:
 
 @dataclass(frozen=True)
 class Training:
-    """Optimiser settings; ``batch=None`` means one synchronous full-batch step per job."""
+    """Optimiser settings; ``batch=None`` means one synchronous full-batch step per job.
+
+    With ``per_row`` the SGD rate and its decay count rows, as if a batch were its rows one
+    after the other, evaluated at once.
+    """
 
     loss: str = "squared"
     huber_epsilon: float = 0.1
     optimiser: str = "sgd"
     rate: float = 0.01
     power_t: float = 0.25
+    per_row: bool = False
     l1: float = 0.0
     l2: float = 0.0
     batch: int | None = 200
@@ -204,9 +209,10 @@ class Optimiser:
             self.parameters.copy(), self.first.copy(), self.second.copy(), self.steps
         )
 
-    def step(self, gradient: np.ndarray, mask: np.ndarray, training: Training) -> None:
-        """One update with the mean gradient: SGD or Adam, then the proximal L1 step."""
-        self.steps += 1
+    def step(self, gradient: np.ndarray, rows: int, mask: np.ndarray, training: Training) -> None:
+        """One update with the mean gradient of ``rows``: SGD or Adam, then proximal L1."""
+        weight = rows if training.per_row else 1
+        self.steps += weight
         gradient = gradient + training.l2 * mask * self.parameters
         if training.optimiser == "adam":
             self.first = 0.9 * self.first + 0.1 * gradient
@@ -216,7 +222,7 @@ class Optimiser:
             rate = training.rate
             self.parameters = self.parameters - rate * first / (np.sqrt(second) + 1e-8)
         else:
-            rate = training.rate / self.steps**training.power_t
+            rate = training.rate * weight / self.steps**training.power_t
             self.parameters = self.parameters - rate * gradient
         if training.l1:
             shrunk = np.maximum(np.abs(self.parameters) - rate * training.l1 * mask, 0.0)
@@ -274,7 +280,7 @@ def _pass(rows, state: Optimiser, layout: Layout, training: Training, epoch: int
     following = state.copy()
     if full_batch:
         gradient = np.array([sums[i] for i in range(size)]) / n
-        following.step(gradient, weight_mask(layout), training)
+        following.step(gradient, int(n), weight_mask(layout), training)
         return measured, following
     vector = np.array([sums[i] for i in range(3 * size + 1)]) / n
     following.parameters = vector[:size]
@@ -336,7 +342,7 @@ def partition_pass(
             if full_batch:
                 total_gradient += gradient
             else:
-                local.step(gradient / len(chosen), mask, training)
+                local.step(gradient / len(chosen), len(chosen), mask, training)
     n = counters[_TRAIN_ROWS]
     if n:
         if full_batch:

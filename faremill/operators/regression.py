@@ -17,16 +17,19 @@ def fit_linear(train: DataFrame) -> LinearRegressionModel:
     ).fit(train)
 
 
-def fit_ridge(train: DataFrame, alpha: float = 1.0, rows: int | None = None) -> LinearRegressionModel:
+def fit_ridge(train: DataFrame, alpha: float = 1.0) -> LinearRegressionModel:
     """Ridge with penalty ``alpha`` on the sum of squared errors and a free intercept.
 
-    Spark's objective is a mean, so the penalty is divided by the number of rows.
+    Spark averages the squared error and scales the label by its deviation, so the same
+    penalty is ``alpha / rows * deviation`` in its terms.
     """
-    rows = rows if rows is not None else train.count()
+    facts = train.agg(
+        F.count("label").alias("rows"), F.stddev_pop("label").alias("deviation")
+    ).first()
     return LinearRegression(
         featuresCol="features",
         labelCol="label",
-        regParam=alpha / rows,
+        regParam=alpha / facts["rows"] * facts["deviation"],
         elasticNetParam=0.0,
         standardization=False,
     ).fit(train)

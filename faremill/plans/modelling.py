@@ -28,6 +28,7 @@ HUBER = gradient.Training(
     optimiser="sgd",
     rate=0.01,
     power_t=0.25,
+    per_row=True,
     l1=1e-4 * 0.15,
     l2=1e-4 * 0.85,
     batch=16,
