@@ -93,28 +93,45 @@ def baseline_metrics(
 ) -> DataFrame:
     """Rows, matched rows, coverage and RMSE of the baseline, without joining single trips.
 
-    All trips of a cell share one prediction, so count, mean and variance of a cell give
-    its squared error exactly: n * ((mean - y_hat)^2 + variance). The join then moves one
-    row per cell, whatever the number of trips in the hottest one.
+    All trips of a cell share one prediction, so count, mean and variance of the cell give
+    its squared error exactly: n * ((mean - y_hat)^2 + variance). The join moves one row per
+    cell, whatever the number of trips in the hottest one. Unmatched trips of a colour
+    share its fallback, so they too need only their count, mean and mean square.
     """
     keys = history_keys(history_before)
     per_cell = _per_cell(holdout_rows(trips, test_months), lookup_table(cells, history_before), keys)
-    predicted = per_cell.join(F.broadcast(_color_means(per_cell)), "color", "left").withColumn(
-        "y_hat", F.coalesce(_AVERAGE, "color_mean")
+    n, mean, variance, looked_up = (
+        F.col(c) for c in ("n_true", "mean_true", "var_true", _AVERAGE)
     )
-    squared_error = F.col("n_true") * (
-        F.pow(F.col("mean_true") - F.col("y_hat"), F.lit(2)) + F.col("var_true")
+    matched = looked_up.isNotNull()
+    error = n * (F.pow(mean - looked_up, F.lit(2)) + variance)
+    per_color = per_cell.groupBy("color").agg(
+        F.sum("n_rows").alias("rows"),
+        F.sum(F.when(matched, F.col("n_rows"))).alias("matched"),
+        F.sum(F.when(matched, n)).alias("n_matched"),
+        F.sum(F.when(matched, error)).alias("error_matched"),
+        F.sum(F.when(~matched, n)).alias("n_open"),
+        F.sum(F.when(~matched, n * mean)).alias("sum_open"),
+        F.sum(F.when(~matched, n * (variance + mean * mean))).alias("square_open"),
+        _color_mean().alias("fallback"),
     )
-    scored = F.when(F.col("y_hat").isNotNull(), F.col("n_true"))
-    matched = F.coalesce(
-        F.sum(F.when(F.col(_AVERAGE).isNotNull(), F.col("n_rows"))), F.lit(0)
+    n_open, fallback = F.col("n_open"), F.col("fallback")
+    error_open = (
+        F.col("square_open") - 2.0 * fallback * F.col("sum_open") + n_open * fallback * fallback
     )
-    total = F.coalesce(F.sum("n_rows"), F.lit(0))
-    return predicted.agg(
+    scored = F.coalesce("n_matched", F.lit(0)) + F.coalesce(
+        F.when(fallback.isNotNull(), n_open), F.lit(0)
+    )
+    squared = F.coalesce("error_matched", F.lit(0.0)) + F.coalesce(
+        F.greatest(error_open, F.lit(0.0)), F.lit(0.0)
+    )
+    total = F.coalesce(F.sum("rows"), F.lit(0))
+    hits = F.coalesce(F.sum("matched"), F.lit(0))
+    return per_color.agg(
         total.alias("test_rows"),
-        matched.alias("matched_rows"),
-        F.try_divide(matched, total).alias("coverage"),
-        F.sqrt(F.try_divide(F.sum(squared_error), F.sum(scored))).alias("rmse"),
+        hits.alias("matched_rows"),
+        F.try_divide(hits, total).alias("coverage"),
+        F.sqrt(F.try_divide(F.sum(squared), F.sum(scored))).alias("rmse"),
     )
 
 
@@ -128,7 +145,11 @@ def _per_cell(rows: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
     return grouped.join(lookup, keys, "left")
 
 
-def _color_means(per_cell: DataFrame) -> DataFrame:
+def _color_mean():
+    """Mean looked-up average over the matched trips of a colour."""
     matched = F.when(F.col(_AVERAGE).isNotNull(), F.col("n_rows"))
-    mean = F.try_divide(F.sum(F.col(_AVERAGE) * F.col("n_rows")), F.sum(matched))
-    return per_cell.groupBy("color").agg(mean.alias("color_mean"))
+    return F.try_divide(F.sum(F.col(_AVERAGE) * F.col("n_rows")), F.sum(matched))
+
+
+def _color_means(per_cell: DataFrame) -> DataFrame:
+    return per_cell.groupBy("color").agg(_color_mean().alias("color_mean"))

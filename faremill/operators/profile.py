@@ -18,6 +18,13 @@ from faremill.operators.ranking import top_per_group
 from faremill.sources.catalog import numeric_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
+_MOMENTS = {
+    "count": F.count,
+    "mean": F.avg,
+    "stddev": F.stddev_samp,
+    "min": F.min,
+    "max": F.max,
+}
 
 
 def summary(
@@ -29,38 +36,31 @@ def summary(
     """Count, mean, sample deviation, extremes and quartiles, one row per numeric column.
 
     ``quartiles`` is ``"approx"`` (sketch, same scan), ``"exact"`` (linear interpolation,
-    second scan) or None.
+    one more scan) or None.
     """
     columns = list(columns or numeric_columns(df))
+    if quartiles == "exact":
+        lines = exact_quantiles(
+            df, columns, QUARTILES, interpolation="linear", accuracy=accuracy, facts=_MOMENTS
+        )
+        quartile = {
+            name: F.max(F.when(F.col("probability") == q, F.col("quantile")))
+            for name, q in zip(("p25", "p50", "p75"), QUARTILES)
+        }
+        return lines.groupBy("column", *_MOMENTS).agg(
+            *[value.alias(name) for name, value in quartile.items()]
+        )
 
     def line(name: str) -> Column:
         value = F.col(name).cast("double")
-        fields = [
-            F.lit(name).alias("column"),
-            F.count(name).alias("count"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("stddev"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-        ]
+        fields = [F.lit(name).alias("column")]
+        fields += [aggregate(value).alias(fact) for fact, aggregate in _MOMENTS.items()]
         if quartiles == "approx":
             sketch = F.percentile_approx(value, list(QUARTILES), accuracy)
             fields += [sketch[i].alias(f"p{int(q * 100)}") for i, q in enumerate(QUARTILES)]
         return F.struct(*fields)
 
-    lines = _one_row_to_lines(df, [line(name) for name in columns])
-    if quartiles == "exact":
-        exact = exact_quantiles(
-            df, columns, QUARTILES, interpolation="linear", accuracy=accuracy
-        )
-        wide = exact.groupBy("column").agg(
-            *[
-                F.max(F.when(F.col("probability") == q, F.col("quantile"))).alias(f"p{int(q * 100)}")
-                for q in QUARTILES
-            ]
-        )
-        lines = lines.join(wide, "column", "left")
-    return lines
+    return _one_row_to_lines(df, [line(name) for name in columns])
 
 
 def text_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -8,9 +8,9 @@ gathered in one window is a bounded number of buckets, then the few values of on
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,58 +25,66 @@ def exact_quantiles(
     by: Sequence[str] = (),
     interpolation: str = "lower",
     accuracy: int = 10_000,
+    facts: Mapping[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
-    """One row per group, column and probability: ``(*by, column, probability, quantile)``.
+    """One row per group, column and probability: ``(*by, column, *facts, probability, quantile)``.
 
     ``lower`` returns an element of the data (the lower middle for a median); ``linear``
-    interpolates between neighbours. NULLs are ignored. ``by`` is meant for a few groups,
-    such as feeds: the brackets are one row per group and column.
+    interpolates between neighbours. NULLs are ignored. ``facts`` are further aggregates of
+    each column, taken in the sketch's scan. ``by`` is meant for a few groups, such as
+    feeds: the brackets are one row per group and column.
     """
     by, keys = list(by), [*by, "column"]
-    long = df.select(
-        *by,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        ),
-    ).filter(F.col("value").isNotNull())
-
-    brackets = _brackets(df, columns, probabilities, by, accuracy)
+    facts = dict(facts or {})
+    values = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
+    ]
+    long = df.select(*by, F.inline(F.array(*values))).filter(F.col("value").isNotNull())
+
+    brackets = _brackets(df, columns, probabilities, by, accuracy, facts)
     runs = _runs(long, brackets, keys, len(probabilities))
     targets = _targets(brackets, probabilities, keys, interpolation)
-    return _select_ranks(runs, targets, keys)
+    found = _select_ranks(runs, targets, keys)
+
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
+    lines = brackets.select(*keys, *facts, wanted)
+    return _match(lines, found, [*keys, "probability"], "left")  # found is as small as lines
 
 
 def _brackets(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by, accuracy: int
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    by: list[str],
+    accuracy: int,
+    facts: Mapping[str, Callable[[Column], Column]],
 ) -> DataFrame:
+    """Per group and column: row count, bracket edges of each probability and the facts."""
     slack = 2.0 / accuracy  # twice the sketch's rank error
     lows = [max(0.0, p - slack) for p in probabilities]
     highs = [min(1.0, p + slack) for p in probabilities]
-    per_column = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.count(c).alias("n"),
-            F.percentile_approx(F.col(c).cast("double"), [*lows, *highs], accuracy).alias("edge"),
+
+    def line(name: str) -> Column:
+        value = F.col(name).cast("double")
+        return F.struct(
+            F.lit(name).alias("column"),
+            F.count(name).alias("n"),
+            F.percentile_approx(value, [*lows, *highs], accuracy).alias("edge"),
+            *[aggregate(value).alias(fact) for fact, aggregate in facts.items()],
         )
-        for c in columns
-    ]
+
     count = len(probabilities)
     return (
         df.groupBy(*by)
-        .agg(F.array(*per_column).alias("brackets"))
+        .agg(F.array(*[line(c) for c in columns]).alias("brackets"))
         .select(*by, F.inline("brackets"))
-        .filter(F.col("n") > 0)
         .select(
             *by,
             "column",
             "n",
             F.slice("edge", 1, count).alias("lows"),
             F.slice("edge", count + 1, count).alias("highs"),
+            *facts,
         )
     )
 
@@ -95,7 +103,7 @@ def _runs(long: DataFrame, brackets: DataFrame, keys: list[str], count: int) ->
     # Brackets ascend, so the first one whose upper edge reaches the value decides.
     edges_below = [F.when(F.get("highs", F.lit(i)) < value, 1).otherwise(0) for i in range(count)]
     placed = (
-        long.join(F.broadcast(brackets.drop("n")), keys)  # groups x columns rows
+        _match(long, brackets.select(*keys, "lows", "highs"), keys)  # groups x columns rows
         .withColumn("above", reduce(add, edges_below))
         .withColumn("low", F.get("lows", F.col("above")))
         .withColumn("high", F.get("highs", F.col("above")))
@@ -158,7 +166,7 @@ def _select_ranks(runs: DataFrame, targets: DataFrame, keys: list[str]) -> DataF
     in_order = Window.partitionBy(*keys).orderBy("slot", "bucket")
     buckets = buckets.withColumn("_end", F.sum("n_bucket").over(in_order))
     hit_buckets = (
-        buckets.join(F.broadcast(targets), keys)  # groups x columns x probabilities rows
+        _match(buckets, targets, keys)  # groups x columns x probabilities rows
         .filter(
             (F.col("rank") <= F.col("_end")) & (F.col("rank") > F.col("_end") - F.col("n_bucket"))
         )
@@ -173,8 +181,11 @@ def _select_ranks(runs: DataFrame, targets: DataFrame, keys: list[str]) -> DataF
     )
     within = Window.partitionBy(*bucket_keys, "probability", "weight", "rank").orderBy("run_min")
     located = (
-        runs.join(F.broadcast(hit_buckets), bucket_keys)  # at most one row per target
-        .filter(F.col("single").isNull() | F.col("single").between(F.col("bucket_min"), F.col("bucket_max")))
+        _match(runs, hit_buckets, bucket_keys)  # at most one row per target
+        .filter(
+            F.col("single").isNull()
+            | F.col("single").between(F.col("bucket_min"), F.col("bucket_max"))
+        )
         .withColumn("_end", F.sum("n_run").over(within))
         .filter(
             (F.col("rank") <= F.col("_end")) & (F.col("rank") > F.col("_end") - F.col("n_run"))
@@ -187,3 +198,10 @@ def _select_ranks(runs: DataFrame, targets: DataFrame, keys: list[str]) -> DataF
         .groupBy(*keys, "probability")
         .agg(F.sum("part").alias("quantile"))
     )
+
+
+def _match(left: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join a frame of a few rows per group on keys that may be NULL (a group of its own)."""
+    renamed = small.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return left.join(F.broadcast(renamed), same, how).drop(*[f"_{k}" for k in keys])

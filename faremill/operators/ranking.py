@@ -38,7 +38,7 @@ def top_ranks(df: DataFrame, measure: str, n: int) -> DataFrame:
     )
 
 
-def with_total(df: DataFrame, measure: str, name: str) -> DataFrame:
-    """Attach the grand total of ``measure`` to every row."""
-    total = df.agg(F.sum(measure).alias(name))
+def with_total(df: DataFrame, source: DataFrame, measure: str, name: str) -> DataFrame:
+    """Attach the grand total of ``measure`` over ``source`` to every row of ``df``."""
+    total = source.agg(F.sum(measure).alias(name))
     return df.crossJoin(F.broadcast(total))  # one row by construction

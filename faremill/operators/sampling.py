@@ -30,10 +30,9 @@ def month_fractions(
     counts = df.groupBy(month).agg(F.count(F.lit(1)).alias("rows"))
     is_test = _in(month, test_months)
     totals = counts.agg(
-        F.sum("rows").alias("_all"),
-        F.coalesce(F.sum(F.when(is_test, F.col("rows"))), F.lit(0)).alias("_test"),
+        F.sum("rows").alias("_all"), F.sum(F.when(is_test, F.col("rows"))).alias("_test")
     )
-    other = _other_fraction(F.col("_test") / F.col("_all"), test_fraction, overall_fraction)
+    other = _other_fraction(test_fraction, overall_fraction)
     return counts.crossJoin(F.broadcast(totals)).select(  # one row by construction
         F.col(month),
         F.col("rows"),
@@ -42,13 +41,34 @@ def month_fractions(
     )
 
 
+def temporal_sample(
+    df: DataFrame,
+    test_months: Sequence[str],
+    unit: Column,
+    test_fraction: float = 0.03,
+    overall_fraction: float = 0.04,
+    month: str = "month",
+) -> DataFrame:
+    """Sample with the fractions of ``month_fractions``, from two row counts only."""
+    is_test = _in(month, test_months)
+    totals = df.agg(F.count(F.lit(1)).alias("_all"), F.count_if(is_test).alias("_test"))
+    other = _other_fraction(test_fraction, overall_fraction)
+    wanted = F.when(is_test, F.lit(float(test_fraction))).otherwise(other)
+    return (
+        df.filter(F.col(month).isNotNull())
+        .crossJoin(F.broadcast(totals))  # one row by construction
+        .filter(unit < wanted)
+        .drop("_all", "_test")
+    )
+
+
 def stratified_sample(
     df: DataFrame,
     fractions: DataFrame,
     unit: Column,
     month: str = "month",
 ) -> DataFrame:
-    """Keep each row whose number in [0, 1) is below its month's fraction."""
+    """Keep each row whose number in [0, 1) is below the given fraction of its month."""
     # a calendar bounds the fractions: one row per month
     joined = df.join(F.broadcast(fractions.select(month, "fraction")), month)
     return joined.filter(unit < F.col("fraction")).drop("fraction")
@@ -106,8 +126,7 @@ def _in(month: str, months: Sequence[str]) -> Column:
     return F.coalesce(F.col(month).isin(*months), F.lit(False))
 
 
-def _other_fraction(test_share: Column, test_fraction: float, overall: float) -> Column:
-    rest = (F.lit(float(overall)) - test_share * test_fraction) / F.nullif(
-        1.0 - test_share, F.lit(0.0)
-    )
+def _other_fraction(test_fraction: float, overall: float) -> Column:
+    share = F.coalesce(F.col("_test"), F.lit(0)) / F.col("_all")
+    rest = (F.lit(float(overall)) - share * test_fraction) / F.nullif(1.0 - share, F.lit(0.0))
     return F.least(F.greatest(F.coalesce(rest, F.lit(float(overall))), F.lit(0.0)), F.lit(1.0))

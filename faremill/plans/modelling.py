@@ -65,8 +65,7 @@ def sampled_frame(
     overall_fraction: float = 0.04,
 ) -> DataFrame:
     """Stratified sample of a model frame; leave it out to train on every row."""
-    fractions = sampling.month_fractions(frame, test_months, test_fraction, overall_fraction)
-    return sampling.stratified_sample(frame, fractions, unit)
+    return sampling.temporal_sample(frame, test_months, unit, test_fraction, overall_fraction)
 
 
 @dataclass(frozen=True)

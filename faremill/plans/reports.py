@@ -105,42 +105,34 @@ def color_stats(trips: DataFrame, median: str = "approx", accuracy: int = 10_000
     ``median="approx"`` is the one-scan sketch at ``accuracy``; ``"exact"`` returns the
     lower middle element at the price of a second scan.
     """
-    measures = ["duration_min", "distance_km", "speed_kmh"]
-    complete = F.lit(True)
-    for name in ("duration_sec", "distance_km", "speed_kmh"):
-        complete = complete & F.col(name).isNotNull()
-    base = trips.filter(complete).select(
+    measures = ("duration_min", "distance_km", "speed_kmh")
+    measured = [F.col(c).isNotNull() for c in ("duration_sec", "distance_km", "speed_kmh")]
+    base = trips.filter(measured[0] & measured[1] & measured[2]).select(
         "color", duration_minutes().alias("duration_min"), "distance_km", "speed_kmh"
     )
-
-    columns: list[Column] = []
-    for name in measures:
-        columns += [
-            F.round(F.avg(name), 2).alias(f"avg_{name}"),
-            F.round(F.min(name), 2).alias(f"min_{name}"),
-            F.round(F.max(name), 2).alias(f"max_{name}"),
-        ]
-        if median == "approx":
-            middle = F.percentile_approx(name, 0.5, accuracy)
-            columns.append(F.round(middle, 2).alias(f"median_{name}"))
-    stats = base.groupBy("color").agg(*columns)
-
-    if median == "exact":
-        medians = (
-            exact_quantiles(base, measures, [0.5], by=["color"], accuracy=accuracy)
-            .groupBy("color")
-            .agg(
-                *[
-                    F.round(F.max(F.when(F.col("column") == name, F.col("quantile"))), 2).alias(
-                        f"median_{name}"
-                    )
-                    for name in measures
-                ]
-            )
-        )
-        stats = stats.join(medians, "color", "left")
-    ordered = [f"{kind}_{name}" for name in measures for kind in ("avg", "median", "min", "max")]
-    return stats.select("color", *ordered).orderBy("color")
+    kinds = {"avg": F.avg, "min": F.min, "max": F.max}
+    if median == "approx":
+        kinds["median"] = lambda value: F.percentile_approx(value, 0.5, accuracy)
+        stats = {f"{k}_{m}": f(F.col(m)) for m in measures for k, f in kinds.items()}
+        grouped = base.groupBy("color")
+    elif median == "exact":
+        lines = exact_quantiles(
+            base, measures, [0.5], by=["color"], accuracy=accuracy, facts=kinds
+        ).withColumnRenamed("quantile", "median")
+        stats = {
+            f"{k}_{m}": F.max(F.when(F.col("column") == m, F.col(k)))
+            for m in measures
+            for k in (*kinds, "median")
+        }
+        grouped = lines.groupBy("color")
+    else:
+        raise ValueError(f"unknown median {median!r}")
+    rounded = [
+        F.round(stats[f"{kind}_{m}"], 2).alias(f"{kind}_{m}")
+        for m in measures
+        for kind in ("avg", "median", "min", "max")
+    ]
+    return grouped.agg(*rounded).orderBy("color")
 
 
 def cell_stats(trips: DataFrame, money: str = "round") -> DataFrame:
@@ -188,7 +180,8 @@ def pair_revenue_share(trips: DataFrame, year: int, top: int = 10) -> DataFrame:
         .groupBy("pu_borough", "do_borough")
         .agg(F.round(F.sum("total_amount"), 2).alias("total_revenue"))
     )
-    leaders = top_ranks(with_total(pairs, "total_revenue", "_grand_total"), "total_revenue", top)
+    leaders = top_ranks(pairs, "total_revenue", top)
+    leaders = with_total(leaders, pairs, "total_revenue", "_grand_total")
     share = F.try_divide(F.col("total_revenue") * 100, F.col("_grand_total"))
     return leaders.select(
         "pu_borough",
@@ -209,8 +202,10 @@ def tip_shares(trips: DataFrame) -> DataFrame:
 def duration_bins(trips: DataFrame, bins: Bins = DURATION_BINS) -> DataFrame:
     """Speed and km per dollar by duration bin, with the overall tip shares on each row.
 
-    The tip totals are sums of per-bin counters, so both halves come from one scan.
+    The tip totals are sums of per-bin counters, so both halves come from one scan; the
+    list gathered in between has one entry per bin.
     """
+    counters = ("trips", "tipped", "tipped_15")
     per_bin = (
         _measured_and_paid(trips)
         .groupBy(bins.order(duration_minutes()).alias("bin_order"))
@@ -220,14 +215,14 @@ def duration_bins(trips: DataFrame, bins: Bins = DURATION_BINS) -> DataFrame:
             *_tip_counters(),
         )
     )
-    names = ["trips", "tipped", "tipped_15"]
-    totals = per_bin.agg(*[F.sum(name).alias(name) for name in names])
+    line = F.struct("bin_order", "speed", "km_per_dollar")
     return (
-        per_bin.drop(*names)
-        .crossJoin(F.broadcast(totals))  # one row by construction
+        per_bin.agg(F.collect_list(line).alias("lines"), *[F.sum(c).alias(c) for c in counters])
+        .select(*_tip_percentages(), F.inline("lines"))
         .orderBy("bin_order")
         .select(
-            *_tip_percentages(),
+            "pct_trips_with_tips",
+            "pct_tips_ge_15",
             bins.label("bin_order").alias("duration_bin"),
             F.round("speed", 2).alias("avg_speed_kmh"),
             F.round("km_per_dollar", 4).alias("avg_km_per_dollar"),

@@ -69,8 +69,7 @@ def _fractions(trips: DataFrame) -> DataFrame:
 
 
 def _sample(trips: DataFrame) -> DataFrame:
-    dated = _with_month(trips)
-    picked = sampling.stratified_sample(dated, _fractions(trips), unit_hash(*ROW_KEYS))
+    picked = sampling.temporal_sample(_with_month(trips), tv.TEST_MONTHS, unit_hash(*ROW_KEYS))
     return picked.select("month", *ROW_KEYS, "total_amount")
 
 
@@ -144,6 +143,7 @@ def _prepared(trips: DataFrame, compact: bool) -> modelling.Prepared:
     return modelling.prepare(frame, tv.TEST_MONTHS, unit_hash(*ROW_KEYS, seed=43), compact)
 
 
+# Reports that need no zone run on the cleaned trips: a left join cannot change them.
 QUERIES: dict[str, Query] = {
     # cleaning and enrichment
     "cleaned_trips": _on_cleaned(lambda t: t),
@@ -155,52 +155,52 @@ QUERIES: dict[str, Query] = {
     "unmatched_zones": _on_enriched(enrich.unmatched_keys),
     "residual_negative_speed": _on_cleaned(quality.negative_speed_check),
     # reports
-    "trips_per_month": _on_enriched(reports.trips_per_month),
-    "busiest_weekday": _on_enriched(reports.busiest_weekday),
-    "busiest_hour": _on_enriched(reports.busiest_hour),
-    "avg_passengers": _on_enriched(reports.average_passengers),
-    "avg_amount": _on_enriched(lambda t: reports.average_amount(t, EXACT)),
-    "amount_per_passenger": _on_enriched(reports.amount_per_passenger),
-    "color_stats": _on_enriched(lambda t: reports.color_stats(t, median="exact")),
-    "color_stats_approx": _on_enriched(reports.color_stats),
+    "trips_per_month": _on_cleaned(reports.trips_per_month),
+    "busiest_weekday": _on_cleaned(reports.busiest_weekday),
+    "busiest_hour": _on_cleaned(reports.busiest_hour),
+    "avg_passengers": _on_cleaned(reports.average_passengers),
+    "avg_amount": _on_cleaned(lambda t: reports.average_amount(t, EXACT)),
+    "amount_per_passenger": _on_cleaned(reports.amount_per_passenger),
+    "color_stats": _on_cleaned(lambda t: reports.color_stats(t, median="exact")),
+    "color_stats_approx": _on_cleaned(reports.color_stats),
     "cell_stats": _on_enriched(_cells),
     "pair_revenue_share": _on_enriched(lambda t: reports.pair_revenue_share(t, tv.REPORT_YEAR)),
-    "tip_shares": _on_enriched(reports.tip_shares),
-    "duration_bins": _on_enriched(reports.duration_bins),
-    "duration_bin_revenue": _on_enriched(lambda t: reports.duration_bin_revenue(t, money=EXACT)),
+    "tip_shares": _on_cleaned(reports.tip_shares),
+    "duration_bins": _on_cleaned(reports.duration_bins),
+    "duration_bin_revenue": _on_cleaned(lambda t: reports.duration_bin_revenue(t, money=EXACT)),
     # profiling
-    "summary": _on_enriched(
+    "summary": _on_cleaned(
         lambda t: _rounded(
             profile.summary(t, EDA_COLUMNS, quartiles="exact"),
             6,
             *["mean", "stddev", "min", "max", "p25", "p50", "p75"],
         )
     ),
-    "summary_approx": _on_enriched(lambda t: profile.summary(t, EDA_COLUMNS)),
+    "summary_approx": _on_cleaned(lambda t: profile.summary(t, EDA_COLUMNS)),
     "text_summary": _on_enriched(profile.text_summary),
-    "target_correlation": _on_enriched(
+    "target_correlation": _on_cleaned(
         lambda t: _rounded(profile.target_correlation(t, columns=CORRELATED), 9, "correlation")
     ),
-    "correlation_matrix": _on_enriched(
+    "correlation_matrix": _on_cleaned(
         lambda t: _rounded(profile.correlation_matrix(t, EDA_COLUMNS), 9, "correlation")
     ),
-    "amount_histogram": _on_enriched(lambda t: profile.histogram(t, "total_amount")),
+    "amount_histogram": _on_cleaned(lambda t: profile.histogram(t, "total_amount")),
     "category_shares": _on_enriched(
         lambda t: profile.category_shares(calendar_features(t), CATEGORIES)
     ),
     # sampling and baseline
-    "sampling_fractions": _on_enriched(lambda t: _rounded(_fractions(t), 9, "fraction")),
-    "stratified_sample": _on_enriched(_sample),
-    "simple_fraction": _on_enriched(_simple_fraction),
-    "temporal_split": _on_enriched(_split),
-    "native_sample": _on_enriched(_native_sample),
-    "native_split": _on_enriched(_native_split),
+    "sampling_fractions": _on_cleaned(lambda t: _rounded(_fractions(t), 9, "fraction")),
+    "stratified_sample": _on_cleaned(_sample),
+    "simple_fraction": _on_cleaned(_simple_fraction),
+    "temporal_split": _on_cleaned(_split),
+    "native_sample": _on_cleaned(_native_sample),
+    "native_split": _on_cleaned(_native_split),
     "baseline_predictions": _on_enriched(_baseline_rows),
     "baseline_metrics": _on_enriched(_baseline_metrics),
     "baseline_history": _on_enriched(_baseline_history),
     # modelling
     "mode_imputation": _on_enriched(_modes),
-    "log_target": _on_enriched(_log_target),
+    "log_target": _on_cleaned(_log_target),
     "linear_metrics": _on_enriched(lambda t: modelling.linear_metrics(_prepared(t, False))),
     "ridge_metrics": _on_enriched(lambda t: modelling.ridge_metrics(_prepared(t, False))),
     "huber_metrics": _on_enriched(lambda t: modelling.huber_metrics(_prepared(t, True))),

@@ -36,7 +36,7 @@ def test_exact_quantiles_match_sorting(spark, values):
     linear = {r.probability: r.quantile for r in exact_quantiles(df, ["v"], probs, interpolation="linear").collect()}
     lower = {r.probability: r.quantile for r in exact_quantiles(df, ["v"], probs).collect()}
     if not known:
-        assert not linear and not lower
+        assert set(linear.values()) == set(lower.values()) == {None}
         return
     for p in probs:
         assert linear[p] == pytest.approx(float(np.quantile(known, p)), abs=1e-9)
@@ -58,6 +58,13 @@ def test_exact_quantiles_with_coarse_sketch_and_hot_value(spark, accuracy):
     assert got.count() == 12
 
 
+def test_exact_quantiles_keep_a_null_group_and_facts(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", None), (None, 9.0)], "g string, v double")
+    got = {r.g: r for r in exact_quantiles(df, ["v"], [0.5], by=["g"], facts={"top": F.max}).collect()}
+    assert (got[None].quantile, got[None].top) == (3.0, 9.0)
+    assert (got["a"].quantile, got["a"].top) == (None, None)
+
+
 def test_summary_against_pandas(spark):
     values = [3.0, None, 1.0, 4.0, 1.0, 5.0]
     df = frame(spark, values).withColumn("t", F.lit("x"))

@@ -43,6 +43,8 @@ def test_hash_sample_ignores_partitioning(dated):
     unit = unit_hash("id")
     once = {r.id for r in sampling.stratified_sample(dated, fractions, unit).collect()}
     again = {r.id for r in sampling.stratified_sample(dated.repartition(7), fractions, unit).collect()}
+    by_share = sampling.temporal_sample(dated, TEST, unit, 0.3, 0.4)
+    assert {r.id for r in by_share.collect()} == once and by_share.columns == dated.columns
     assert once == again and len(once) == pytest.approx(8000, rel=0.05)
 
 
