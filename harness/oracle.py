@@ -9,7 +9,6 @@ base AS (
     CAST(o_orderdate AS TIMESTAMP) + to_seconds((l_orderkey * 7919 + l_linenumber * 3607) % 86400) AS pickup_ts,
     CAST(o_orderdate AS TIMESTAMP) + to_seconds((l_orderkey * 7919 + l_linenumber * 3607) % 86400
       + (l_partkey * 37 + l_suppkey * 11) % 25200 - 600) AS dropoff_ts,
-    (l_partkey * 37 + l_suppkey * 11) % 25200 - 600 AS duration_sec,
     l_quantity * l_discount * 30 AS trip_distance,
     floor((l_extendedprice - 3000) / 10) / 1e2 AS total_amount,
     floor(l_tax * l_extendedprice / 2) / 1e2 AS tip_amount,
@@ -19,10 +18,11 @@ base AS (
     CAST(l_partkey % 26 AS INTEGER) AS "DOLocationID"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
+timed AS (SELECT *, epoch_us(dropoff_ts) // 1000000 - epoch_us(pickup_ts) // 1000000 AS duration_sec FROM base),
 raw AS (
   SELECT *, trip_distance * 1.60934e0 AS distance_km,
     CASE WHEN duration_sec > 0 THEN trip_distance * 1.60934e0 / (duration_sec / 3.6e3) END AS speed_kmh
-  FROM base
+  FROM timed
 ),
 flagged AS (
   SELECT *, CASE
@@ -256,7 +256,8 @@ def _category_shares() -> str:
 
 
 _FRACTIONS = f"""
-, months AS (SELECT month_ym AS month, count(*) AS n, month_ym IN {_TEST_MONTHS} AS is_test FROM trips GROUP BY ALL),
+, months AS (SELECT month_ym AS month, count(*) AS n, month_ym IN {_TEST_MONTHS} AS is_test
+  FROM trips WHERE total_amount IS NOT NULL GROUP BY ALL),
 share AS (SELECT coalesce(sum(n) FILTER (is_test), 0)::DOUBLE / sum(n)::DOUBLE AS p FROM months),
 fractions AS (
   SELECT month, n, is_test, CASE WHEN is_test THEN 0.03e0
@@ -281,7 +282,8 @@ FROM predicted"""
 _HISTORY = f"""
 , past AS (
   SELECT color, pu_borough, do_borough, dow_name, hour_of_day,
-    sum(avg_amount_per_trip * total_trips) / sum(total_trips) AS avg_amount_per_trip
+    sum(avg_amount_per_trip * total_trips)
+      / sum(total_trips) FILTER (avg_amount_per_trip IS NOT NULL) AS avg_amount_per_trip
   FROM cells WHERE month_ym < '2001-04' GROUP BY ALL),
 held AS (SELECT color, pu_borough, do_borough, dow_name, hour_of_day, total_amount AS y_true
   FROM trips WHERE month_ym IN {_TEST_MONTHS}),
@@ -392,14 +394,15 @@ ORACLE: dict[str, str] = {
     "stratified_sample": _with(
         f"""{_FRACTIONS}
         SELECT month_ym AS month, {_ROW_KEYS}, total_amount
-        FROM trips JOIN fractions ON month_ym = month WHERE {_unit(42)} < fraction"""
+        FROM trips JOIN fractions ON month_ym = month
+        WHERE total_amount IS NOT NULL AND {_unit(42)} < fraction"""
     ),
     "simple_fraction": _with(f"SELECT {_ROW_KEYS}, total_amount FROM trips WHERE {_unit(7)} < 0.05e0"),
     "temporal_split": _with(
         f"""
         SELECT CASE WHEN month_ym IN {_TEST_MONTHS} THEN 'test' WHEN {_unit(43)} < 0.8e0 THEN 'train'
           ELSE 'val' END AS split, month_ym AS month, count(*) AS "rows", round(sum(total_amount), 2) AS amount
-        FROM trips GROUP BY 1, 2"""
+        FROM trips WHERE total_amount IS NOT NULL GROUP BY 1, 2"""
     ),
     "baseline_predictions": _with(
         f"""{_HOLDOUT}
@@ -409,14 +412,15 @@ ORACLE: dict[str, str] = {
     "baseline_metrics": _with(_HOLDOUT + _METRICS, cells=True),
     "baseline_history": _with(_HISTORY + _METRICS, cells=True),
     "mode_imputation": _with(
-        _union(
+        ", known AS (SELECT * FROM trips WHERE total_amount IS NOT NULL)\n"
+        + _union(
             [
                 f"""SELECT '{name}' AS "column",
-                  (SELECT CAST({c} AS VARCHAR) FROM trips WHERE {c} IS NOT NULL
+                  (SELECT CAST({c} AS VARCHAR) FROM known WHERE {c} IS NOT NULL
                    GROUP BY {c} ORDER BY count(*) DESC, CAST({c} AS VARCHAR) LIMIT 1) AS mode,
-                  (SELECT count(*) FROM trips WHERE {c} IS NOT NULL
+                  (SELECT count(*) FROM known WHERE {c} IS NOT NULL
                    GROUP BY {c} ORDER BY count(*) DESC LIMIT 1) AS "rows",
-                  (SELECT count(*) FROM trips WHERE {c} IS NULL) AS missing"""
+                  (SELECT count(*) FROM known WHERE {c} IS NULL) AS missing"""
                 for name, c in {
                     "color": "color",
                     "pu_borough": "pu_borough",

@@ -61,7 +61,8 @@ def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 
 
 def _with_month(trips: DataFrame) -> DataFrame:
-    return trips.withColumn("month", month_key())
+    """Rows the models use: a known amount, with their month."""
+    return trips.filter(F.col("total_amount").isNotNull()).withColumn("month", month_key())
 
 
 def _fractions(trips: DataFrame) -> DataFrame:
