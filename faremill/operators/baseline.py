@@ -14,6 +14,7 @@ from faremill.functions.calendar import (
     weekday_name,
     weekday_number,
 )
+from faremill.operators.bounded import broadcast_bounded
 from faremill.schema import CELL_KEYS
 
 _AVERAGE = "avg_amount_per_trip"
@@ -75,7 +76,7 @@ def baseline_predictions(
     fallback = _color_means(_per_cell(rows, lookup, keys))
     return (
         rows.join(lookup, keys, "left")
-        .join(F.broadcast(fallback), "color", "left")  # one row per feed
+        .join(broadcast_bounded(fallback, "colour means"), "color", "left")
         .select(
             *CELL_KEYS,
             "y_true",

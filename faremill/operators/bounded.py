@@ -1,0 +1,21 @@
+"""Broadcasts whose size is checked while the query runs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_ROWS = 100_000
+
+
+def broadcast_bounded(df: DataFrame, what: str, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Broadcast a frame that must stay small, such as one row per feed or per month.
+
+    Its rows are counted in the same query (counting whole rows, so the shuffle behind
+    ``df`` is shared); more than ``max_rows`` stop the query with a message instead of
+    loading every executor with data that grew unnoticed.
+    """
+    rows = df.agg(F.count(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).scalar()
+    message = F.concat(F.lit(f"{what}: too many rows to broadcast: "), rows.cast("string"))
+    small = F.when(rows <= max_rows, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return F.broadcast(df.filter(small))

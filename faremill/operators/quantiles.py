@@ -15,6 +15,8 @@ from operator import add, and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from faremill.operators.bounded import broadcast_bounded
+
 _BUCKETS = 4096  # equal-width slices of one bracket
 
 
@@ -48,7 +50,7 @@ def exact_quantiles(
 
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
     lines = brackets.select(*keys, *facts, wanted)
-    return _match(lines, found, [*keys, "probability"], "left")  # found is as small as lines
+    return _match(lines, F.broadcast(found), [*keys, "probability"], "left")  # one row per line
 
 
 def _brackets(
@@ -102,8 +104,9 @@ def _runs(long: DataFrame, brackets: DataFrame, keys: list[str], count: int) ->
     )
     # Brackets ascend, so the first one whose upper edge reaches the value decides.
     edges_below = [F.when(F.get("highs", F.lit(i)) < value, 1).otherwise(0) for i in range(count)]
+    edges = broadcast_bounded(brackets.select(*keys, "lows", "highs"), "quantile brackets")
     placed = (
-        _match(long, brackets.select(*keys, "lows", "highs"), keys)  # groups x columns rows
+        _match(long, edges, keys)
         .withColumn("above", reduce(add, edges_below))
         .withColumn("low", F.get("lows", F.col("above")))
         .withColumn("high", F.get("highs", F.col("above")))
@@ -166,7 +169,7 @@ def _select_ranks(runs: DataFrame, targets: DataFrame, keys: list[str]) -> DataF
     in_order = Window.partitionBy(*keys).orderBy("slot", "bucket")
     buckets = buckets.withColumn("_end", F.sum("n_bucket").over(in_order))
     hit_buckets = (
-        _match(buckets, targets, keys)  # groups x columns x probabilities rows
+        _match(buckets, F.broadcast(targets), keys)  # brackets x probabilities rows
         .filter(
             (F.col("rank") <= F.col("_end")) & (F.col("rank") > F.col("_end") - F.col("n_bucket"))
         )
@@ -181,7 +184,7 @@ def _select_ranks(runs: DataFrame, targets: DataFrame, keys: list[str]) -> DataF
     )
     within = Window.partitionBy(*bucket_keys, "probability", "weight", "rank").orderBy("run_min")
     located = (
-        _match(runs, hit_buckets, bucket_keys)  # at most one row per target
+        _match(runs, F.broadcast(hit_buckets), bucket_keys)  # at most one row per target
         .filter(
             F.col("single").isNull()
             | F.col("single").between(F.col("bucket_min"), F.col("bucket_max"))
@@ -201,7 +204,7 @@ def _select_ranks(runs: DataFrame, targets: DataFrame, keys: list[str]) -> DataF
 
 
 def _match(left: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join a frame of a few rows per group on keys that may be NULL (a group of its own)."""
+    """Equi-join on keys that may be NULL (a group of its own)."""
     renamed = small.withColumnsRenamed({k: f"_{k}" for k in keys})
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return left.join(F.broadcast(renamed), same, how).drop(*[f"_{k}" for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_{k}" for k in keys])

@@ -23,22 +23,14 @@ def top_ranks(df: DataFrame, measure: str, n: int) -> DataFrame:
     without moving the frame into one window partition. NULLs rank last, as in SQL: once
     one of them is among the first ``n`` rows, every row qualifies.
     """
-    cut = (
-        df.select(measure)
-        .orderBy(F.col(measure).desc_nulls_last())
-        .limit(n)
-        .agg(
-            F.min(measure).alias("_nth"),
-            (F.count(F.lit(1)) > F.count(measure)).alias("_null_in_top"),
-        )
-    )
-    kept = df.crossJoin(F.broadcast(cut))  # one row by construction
-    return kept.filter(F.col("_null_in_top") | (F.col(measure) >= F.col("_nth"))).drop(
-        "_nth", "_null_in_top"
+    leaders = df.select(measure).orderBy(F.col(measure).desc_nulls_last()).limit(n)
+    facts = F.struct(
+        F.min(measure).alias("nth"), (F.count(F.lit(1)) > F.count(measure)).alias("has_null")
     )
+    cut = leaders.agg(facts).scalar()
+    return df.filter(cut["has_null"] | (F.col(measure) >= cut["nth"]))
 
 
-def with_total(df: DataFrame, source: DataFrame, measure: str, name: str) -> DataFrame:
-    """Attach the grand total of ``measure`` over ``source`` to every row of ``df``."""
-    total = source.agg(F.sum(measure).alias(name))
-    return df.crossJoin(F.broadcast(total))  # one row by construction
+def total_of(df: DataFrame, measure: str) -> Column:
+    """Grand total of ``measure`` as a scalar subquery, usable in any other frame."""
+    return df.agg(F.sum(measure)).scalar()

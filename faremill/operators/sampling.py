@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faremill.functions.portions import unit_hash
+from faremill.operators.bounded import broadcast_bounded
 
 
 def month_fractions(
@@ -29,11 +30,11 @@ def month_fractions(
     """
     counts = df.groupBy(month).agg(F.count(F.lit(1)).alias("rows"))
     is_test = _in(month, test_months)
-    totals = counts.agg(
-        F.sum("rows").alias("_all"), F.sum(F.when(is_test, F.col("rows"))).alias("_test")
-    )
-    other = _other_fraction(test_fraction, overall_fraction)
-    return counts.crossJoin(F.broadcast(totals)).select(  # one row by construction
+    share = counts.agg(
+        F.try_divide(F.sum(F.when(is_test, F.col("rows")).otherwise(0)), F.sum("rows"))
+    ).scalar()
+    other = _other_fraction(share, test_fraction, overall_fraction)
+    return counts.select(
         F.col(month),
         F.col("rows"),
         is_test.alias("is_test"),
@@ -51,15 +52,10 @@ def temporal_sample(
 ) -> DataFrame:
     """Sample with the fractions of ``month_fractions``, from two row counts only."""
     is_test = _in(month, test_months)
-    totals = df.agg(F.count(F.lit(1)).alias("_all"), F.count_if(is_test).alias("_test"))
-    other = _other_fraction(test_fraction, overall_fraction)
+    share = df.agg(F.try_divide(F.count_if(is_test), F.count(F.lit(1)))).scalar()
+    other = _other_fraction(share, test_fraction, overall_fraction)
     wanted = F.when(is_test, F.lit(float(test_fraction))).otherwise(other)
-    return (
-        df.filter(F.col(month).isNotNull())
-        .crossJoin(F.broadcast(totals))  # one row by construction
-        .filter(unit < wanted)
-        .drop("_all", "_test")
-    )
+    return df.filter(F.col(month).isNotNull() & (unit < wanted))
 
 
 def stratified_sample(
@@ -69,8 +65,8 @@ def stratified_sample(
     month: str = "month",
 ) -> DataFrame:
     """Keep each row whose number in [0, 1) is below the given fraction of its month."""
-    # a calendar bounds the fractions: one row per month
-    joined = df.join(F.broadcast(fractions.select(month, "fraction")), month)
+    wanted = broadcast_bounded(fractions.select(month, "fraction"), "month fractions")
+    joined = df.join(wanted, month)
     return joined.filter(unit < F.col("fraction")).drop("fraction")
 
 
@@ -126,7 +122,6 @@ def _in(month: str, months: Sequence[str]) -> Column:
     return F.coalesce(F.col(month).isin(*months), F.lit(False))
 
 
-def _other_fraction(test_fraction: float, overall: float) -> Column:
-    share = F.coalesce(F.col("_test"), F.lit(0)) / F.col("_all")
-    rest = (F.lit(float(overall)) - share * test_fraction) / F.nullif(1.0 - share, F.lit(0.0))
+def _other_fraction(test_share: Column, test_fraction: float, overall: float) -> Column:
+    rest = F.try_divide(F.lit(float(overall)) - test_share * test_fraction, 1.0 - test_share)
     return F.least(F.greatest(F.coalesce(rest, F.lit(float(overall))), F.lit(0.0)), F.lit(1.0))

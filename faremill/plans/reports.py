@@ -18,7 +18,7 @@ from faremill.functions.calendar import (
 from faremill.functions.money import average_money
 from faremill.functions.trip import duration_minutes
 from faremill.operators.quantiles import exact_quantiles
-from faremill.operators.ranking import top_per_group, top_ranks, with_total
+from faremill.operators.ranking import top_per_group, top_ranks, total_of
 from faremill.schema import CELL_KEYS
 
 # --- demand and averages per month ------------------------------------------------------
@@ -181,8 +181,7 @@ def pair_revenue_share(trips: DataFrame, year: int, top: int = 10) -> DataFrame:
         .agg(F.round(F.sum("total_amount"), 2).alias("total_revenue"))
     )
     leaders = top_ranks(pairs, "total_revenue", top)
-    leaders = with_total(leaders, pairs, "total_revenue", "_grand_total")
-    share = F.try_divide(F.col("total_revenue") * 100, F.col("_grand_total"))
+    share = F.try_divide(F.col("total_revenue") * 100, total_of(pairs, "total_revenue"))
     return leaders.select(
         "pu_borough",
         "do_borough",

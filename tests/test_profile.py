@@ -122,3 +122,12 @@ def test_category_shares(spark):
     df = spark.createDataFrame(rows, "color string, payment_type int")
     got = {(r.column, r.value): r.share for r in profile.category_shares(df, ["color", "payment_type"], top=2).collect()}
     assert got == {("color", "a"): 0.75, ("color", "b"): 0.25, ("payment_type", "1"): 0.5, ("payment_type", "3"): 0.333}
+
+
+def test_broadcast_is_refused_beyond_its_bound(spark):
+    from faremill.operators.bounded import broadcast_bounded
+
+    facts, lookup = spark.range(10), spark.range(5).withColumn("v", F.col("id") * 2)
+    assert facts.join(broadcast_bounded(lookup, "lookup", max_rows=5), "id").count() == 5
+    with pytest.raises(Exception, match="lookup: too many rows to broadcast: 5"):
+        facts.join(broadcast_bounded(lookup, "lookup", max_rows=4), "id").count()
