@@ -14,7 +14,7 @@ from faremill.functions.calendar import (
     weekday_name,
     weekday_number,
 )
-from faremill.operators.bounded import broadcast_bounded
+from faremill.operators.bounded import lookup_value
 from faremill.schema import CELL_KEYS
 
 _AVERAGE = "avg_amount_per_trip"
@@ -73,16 +73,10 @@ def baseline_predictions(
     keys = history_keys(history_before)
     lookup = lookup_table(cells, history_before)
     rows = holdout_rows(trips, test_months)
-    fallback = _color_means(_per_cell(rows, lookup, keys))
-    return (
-        rows.join(lookup, keys, "left")
-        .join(broadcast_bounded(fallback, "colour means"), "color", "left")
-        .select(
-            *CELL_KEYS,
-            "y_true",
-            _AVERAGE,
-            F.coalesce(_AVERAGE, "color_mean").alias("y_hat"),
-        )
+    means = _per_cell(rows, lookup, keys).groupBy("color").agg(_color_mean().alias("mean"))
+    fallback = lookup_value(means, "color", "mean", probe="color", what="colour means")
+    return rows.join(lookup, keys, "left").select(
+        *CELL_KEYS, "y_true", _AVERAGE, F.coalesce(_AVERAGE, fallback).alias("y_hat")
     )
 
 
@@ -150,7 +144,3 @@ def _color_mean():
     """Mean looked-up average over the matched trips of a colour."""
     matched = F.when(F.col(_AVERAGE).isNotNull(), F.col("n_rows"))
     return F.try_divide(F.sum(F.col(_AVERAGE) * F.col("n_rows")), F.sum(matched))
-
-
-def _color_means(per_cell: DataFrame) -> DataFrame:
-    return per_cell.groupBy("color").agg(_color_mean().alias("color_mean"))

@@ -1,8 +1,8 @@
-"""Broadcasts whose size is checked while the query runs."""
+"""Small lookups whose size is checked while the query runs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_ROWS = 100_000
@@ -19,3 +19,19 @@ def broadcast_bounded(df: DataFrame, what: str, max_rows: int = MAX_ROWS) -> Dat
     message = F.concat(F.lit(f"{what}: too many rows to broadcast: "), rows.cast("string"))
     small = F.when(rows <= max_rows, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
     return F.broadcast(df.filter(small))
+
+
+def lookup_value(
+    df: DataFrame, key: str, value: str, probe: str, what: str, max_rows: int = 1000
+) -> Column:
+    """Value for each row's ``probe`` column from a frame of a few keys, as one expression.
+
+    The frame is evaluated once, as a scalar subquery holding a map, so no join is planned.
+    Reading one row more than allowed bounds what is gathered; that row stops the query.
+    """
+    entries = F.map_from_entries(F.collect_list(F.struct(key, value)))
+    message = F.lit(f"{what}: more than {max_rows} keys")
+    few = F.count(F.lit(1)) <= max_rows
+    known = df.filter(F.col(key).isNotNull()).limit(max_rows + 1)
+    mapping = known.agg(F.when(few, entries).otherwise(F.raise_error(message))).scalar()
+    return F.try_element_at(mapping, F.col(probe))

@@ -65,7 +65,8 @@ def stratified_sample(
     month: str = "month",
 ) -> DataFrame:
     """Keep each row whose number in [0, 1) is below the given fraction of its month."""
-    wanted = broadcast_bounded(fractions.select(month, "fraction"), "month fractions")
+    known = fractions.filter(F.col(month).isNotNull()).select(month, "fraction")
+    wanted = broadcast_bounded(known, "month fractions")
     joined = df.join(wanted, month)
     return joined.filter(unit < F.col("fraction")).drop("fraction")
 
