@@ -298,11 +298,16 @@ def _sum_by_position(
     full_batch: bool,
 ) -> dict[int, float]:
     """Run one pass and add up what partitions return; as many result rows as parameters."""
-    shared = rows.sparkSession.sparkContext.broadcast(state)
+    # plain arrays: a broadcast value, unlike the task's code, is not shipped with its class
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (state.parameters, state.first, state.second, state.steps)
+    )
     columns = layout.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from partition_pass(batches, shared.value, columns, layout, training, epoch, full_batch)
+        yield from partition_pass(
+            batches, Optimiser(*shared.value), columns, layout, training, epoch, full_batch
+        )
 
     needed = rows.select(*columns, "label", "held_out")
     partial = needed.mapInPandas(run, "position int, total double")
@@ -312,7 +317,13 @@ def _sum_by_position(
 
 
 def partition_pass(
-    batches, shared: Optimiser, columns, layout: Layout, training: Training, epoch: int, full_batch: bool
+    batches: Iterator[pd.DataFrame],
+    shared: Optimiser,
+    columns: list[str],
+    layout: Layout,
+    training: Training,
+    epoch: int,
+    full_batch: bool,
 ) -> Iterator[pd.DataFrame]:
     context = TaskContext.get()
     partition = context.partitionId() if context else 0

@@ -81,13 +81,19 @@ class Prepared:
 
 
 def prepare(
-    frame: DataFrame, test_months: Sequence[str], unit: Column, compact: bool
+    frame: DataFrame,
+    test_months: Sequence[str],
+    unit: Column,
+    compact: bool,
+    rows_per_partition: int = 10_000,
 ) -> Prepared:
     """Split by month and ``unit``, fit the encoder on ``train`` and store encoded rows.
 
     Encoder and models read their input several times; both the split frame and the encoded
     rows are therefore written to the shared checkpoint folder. Compact rows are spread
-    evenly first, so that every partition is a fair sample whatever the source skew.
+    evenly first, so that every partition is a fair sample whatever the source skew: over
+    all cores, unless that would leave a partition fewer than ``rows_per_partition`` rows
+    (averaging parameters of many tiny partitions learns slowly).
     """
     labelled = with_log_target(sampling.temporal_split(frame, test_months, unit))
     columns = ["split", "target", "label"]
@@ -98,8 +104,9 @@ def prepare(
         return Prepared(encoder, materialise(rows), compact)
     rows = encoder.compact(stored, *columns)
     held_out = F.pmod(F.xxhash64(*rows.columns), F.lit(1000)) < int(1000 * VALIDATION_SHARE)
-    parallelism = frame.sparkSession.sparkContext.defaultParallelism
-    spread = rows.withColumn("held_out", held_out).repartition(parallelism)
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    partitions = max(1, min(cores, stored.count() // rows_per_partition))
+    spread = rows.withColumn("held_out", held_out).repartition(partitions)
     return Prepared(encoder, materialise(spread), compact)
 
 
