@@ -7,7 +7,7 @@ the cleaned set, the violations of each rule and the attrition of all rules in o
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -45,7 +45,10 @@ class Rule:
 def _in_date_range(limits: Limits) -> Column:
     # The upper bound is midnight at the start of the last day unless asked otherwise.
     pickup, last = F.col("pickup_ts"), instant(limits.date_max)
-    below = pickup < F.date_add(last, 1).cast("timestamp") if limits.inclusive_end_day else pickup <= last
+    if limits.inclusive_end_day:
+        below = pickup < F.date_add(last, 1).cast("timestamp")
+    else:
+        below = pickup <= last
     return (
         pickup.isNotNull()
         & F.col("dropoff_ts").isNotNull()
@@ -186,7 +189,3 @@ def negative_speed_check(trips: DataFrame) -> DataFrame:
         total.alias("total_rows"),
         F.round(F.try_divide(negative * 100, total), 4).alias("negative_pct"),
     )
-
-
-def with_limits(base: Limits = Limits(), **changes) -> Limits:
-    return replace(base, **changes)
