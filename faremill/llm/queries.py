@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import sharding
+from faremill.llm import quality_rules, sharding
 from faremill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,7 +16,12 @@ def _sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"))
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rule_report(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op7_rule_cascade": _quality,
     "op10_virtual_slots": _sharding,
 }
 
