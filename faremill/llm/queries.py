@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import quality_rules, sharding
+from faremill.llm import quality_rules, sharding, toxicity
 from faremill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,8 +20,13 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rule_report(read(spark, sf_dir, "documents"))
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op7_rule_cascade": _quality,
+    "op9_boosted_toxicity": _toxicity,
     "op10_virtual_slots": _sharding,
 }
 
