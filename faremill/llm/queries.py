@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import quality_rules, sharding, toxicity
+from faremill.llm import html_extract, quality_rules, sharding, toxicity
 from faremill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def _sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"))
 
 
+def _extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rule_report(read(spark, sf_dir, "documents"))
 
@@ -25,6 +29,7 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_host_paths": _extraction,
     "op7_rule_cascade": _quality,
     "op9_boosted_toxicity": _toxicity,
     "op10_virtual_slots": _sharding,
