@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import html_extract, quality_rules, sharding, toxicity
+from faremill.llm import html_extract, packing, quality_rules, sharding, toxicity
 from faremill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def _extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rule_report(read(spark, sf_dir, "documents"))
 
@@ -30,6 +34,7 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_host_paths": _extraction,
+    "op4_cutting_stock": _packing,
     "op7_rule_cascade": _quality,
     "op9_boosted_toxicity": _toxicity,
     "op10_virtual_slots": _sharding,
