@@ -235,7 +235,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     share = min(1.0, max_rows / max(one.count(), 1))
     drawn = one.where(F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     texts = docs.select("doc_id", text_of("text").alias("text"))
-    return texts.join(drawn, "doc_id").withColumn("part", remainder("doc_id", 5))
+    # about ``max_rows`` short rows at most, whatever the corpus; texts stay where they are
+    return texts.join(F.broadcast(drawn), "doc_id").withColumn("part", remainder("doc_id", 5))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: int = 5) -> ToxicityModel:
