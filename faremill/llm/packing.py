@@ -35,16 +35,38 @@ STEP = 8
 BLOCKS = 256
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
+SIGNS = ".,;:!?%$#*&|"
+END = END_ID.to_bytes(4, "little")
 REMEMBERED = 300_000
 CHUNK = 500_000
 
 
+class _Remembered:
+    """A dictionary of two generations of at most ``most`` entries each; what is used stays."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """What neither generation has; everything else wanted is in the young one afterwards."""
+        if len(self.young) + len(wanted) > self.most:
+            self.old, self.young = self.young, {}
+        new = []
+        for word in wanted - self.young.keys():
+            if (value := self.old.get(word)) is not None:
+                self.young[word] = value
+            else:
+                new.append(word)
+        return new
+
+
 class WordIds:
-    """Ids of texts, remembering those of words.
+    """Ids of texts as little-endian 32-bit numbers, remembering those of words.
 
-    The vocabulary's pre-tokenizer never joins across a space or line feed and drops both, so the ids
-    of a text are those of its parts in order. Parts not seen before are encoded in one batch. Two
-    generations of at most ``REMEMBERED`` words each bound the memory.
+    The vocabulary's pre-tokenizer never joins across a space or line feed and drops both, so the ids of
+    a text are those of its parts in order; nor does it join letters and the signs after them. Words of
+    letters that weren't seen before are encoded in one text, whose ids are told apart by the ends of
+    words; every other part is encoded by itself.
     """
 
     def __init__(self, vocabulary: str):
@@ -52,27 +74,48 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
-
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        tokens = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(tokens.values()) + 1, bool)
+        self.ends[[i for token, i in tokens.items() if token.endswith("</w>")]] = True
+        self.words, self.stems = _Remembered(REMEMBERED), _Remembered(REMEMBERED)
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return [np.asarray(x.ids, "<u4").tobytes() for x in found]
+
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are letters only: each ends at its one end-of-word id."""
+        ids = np.asarray(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):
+            return self._encode(words)
+        raw, bounds = ids.tobytes(), [0, *(4 * stops).tolist()]
+        return [raw[i:j] for i, j in zip(bounds, bounds[1:])]
+
+    def _remember(self, wanted: set[str]) -> None:
+        new = self.words.missing(wanted)
+        split = {}
+        for word in new:
+            stem = word.rstrip(SIGNS)
+            split[word] = (stem.lower() if stem.isascii() else stem, word[len(stem) :])
+        plain = {stem for stem, _ in split.values() if stem.isalpha()}
+        if letters := self.stems.missing(plain):
+            self.stems.young.update(zip(letters, self._encode_letters(letters)))
+        odd = {word for word, (stem, _) in split.items() if not stem.isalpha()}
+        rest = list(odd | {tail for stem, tail in split.values() if tail and stem.isalpha()})
+        other = dict(zip(rest, self._encode(rest)))
+        for word, (stem, tail) in split.items():
+            if word in odd:
+                self.words.young[word] = other[word]
+            else:
+                self.words.young[word] = self.stems.young[stem] + (other[tail] if tail else b"")
+
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
         parts = [text.replace("\n", " ").split(" ") for text in texts]
-        young, old = self.young, self.old
-        wanted = set(chain.from_iterable(parts))
-        if len(young) + len(wanted) > REMEMBERED:
-            old, young = young, {}
-        missing = []
-        for word in wanted:
-            if word not in young:
-                if word in old:
-                    young[word] = old[word]
-                else:
-                    missing.append(word)
-        encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        young.update(zip(missing, [x.ids for x in encoded]))
-        self.young, self.old = young, old
+        self._remember(set(chain.from_iterable(parts)))
+        ids = self.words.young
         for words in parts:
-            yield np.fromiter(chain(chain.from_iterable([young[w] for w in words]), (END_ID,)), np.uint32)
+            yield b"".join([ids[w] for w in words]) + END
 
 
 def _chunks(texts: Iterable[str]) -> Iterator[list[str]]:
@@ -94,9 +137,8 @@ def _cut_batches(vocabulary: str, length: int) -> Callable[[Iterator[pd.Series]]
         for batch in batches:
             out = []
             for chunk in _chunks(batch):
-                for ids in encode(chunk):
-                    n = len(ids)
-                    raw = ids.astype("<u4").tobytes()
+                for raw in encode(chunk):
+                    n = len(raw) // 4
                     out.append(
                         [
                             (at, min(length, n - at), zlib.crc32(raw[4 * at : 4 * (at + length)]), n)
