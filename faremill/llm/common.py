@@ -69,3 +69,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a table of this run that nothing reads any more."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+#: Rows of a few numbers each that may be broadcast: some 30 MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The frame, to be broadcast if it has been counted to hold few short rows; else joined by shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import html_extract, jaccard_join, packing, quality_rules, sharding, toxicity
+from faremill.llm import decontaminate, html_extract, jaccard_join, packing, quality_rules, sharding, toxicity
 from faremill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def _jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(read(spark, sf_dir, "documents"))
 
 
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rule_report(read(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_host_paths": _extraction,
     "op4_cutting_stock": _packing,
+    "op5_simhash_windows": _decontamination,
     "op6_universe_partition": _jaccard,
     "op7_rule_cascade": _quality,
     "op9_boosted_toxicity": _toxicity,
