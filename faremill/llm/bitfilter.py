@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BITS = 1 << 24
+BITS = 1 << 22
 
 
 def may_be_in(keys: DataFrame, column: str, bits: int = BITS):

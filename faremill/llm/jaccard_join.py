@@ -69,7 +69,7 @@ def _signature_udf(k: int, percent: int):
                 own = set_id(items) if len(items) else None
                 new = own is not None and own not in shown
                 if new:
-                    if len(shown) > 500_000:
+                    if len(shown) > 100_000:
                         shown.clear()
                     shown.add(own)
                 ids.append(own)
