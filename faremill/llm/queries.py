@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import decontaminate, html_extract, jaccard_join, packing, quality_rules, sharding, toxicity
+from faremill.llm import decontaminate, html_extract, jaccard_join, licences, packing, quality_rules, resampling, sharding, toxicity
 from faremill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,14 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def _resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def _licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read(spark, sf_dir, "documents"))
+
+
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rule_report(read(spark, sf_dir, "documents"))
 
@@ -42,12 +50,16 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_host_paths": _extraction,
+    "op2_gumbel_resampling": _resampling,
     "op4_cutting_stock": _packing,
     "op5_simhash_windows": _decontamination,
     "op6_universe_partition": _jaccard,
     "op7_rule_cascade": _quality,
+    "op8_licence_dice": _licences,
     "op9_boosted_toxicity": _toxicity,
     "op10_virtual_slots": _sharding,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_licence_dice": licences.scan_sql(),
+}
