@@ -7,35 +7,38 @@ need an exact join; as the set grows the filter passes more, and the result stay
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BITS = 1 << 22
 
 
-def may_be_in(keys: DataFrame, column: str, bits: int = BITS):
-    """A function of a key column, true where the key may be among ``keys``."""
-    place = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
+@dataclass(frozen=True)
+class BitFilter:
+    """The bitmap, broadcast; keys are hashed by ``xxhash64`` on the cluster."""
+
+    table: Broadcast
+    bits: int
+
+    def passes(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether each hashed key may be in the set; for use inside a task."""
+        spots = np.mod(hashes, self.bits)
+        return (self.table.value[spots >> 6] >> np.mod(hashes, 64).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def bit_filter(keys: DataFrame, column: str, bits: int = BITS) -> BitFilter:
+    key = F.xxhash64(F.col(column))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{column}`), 64) as int))")
     words = (
-        keys.select(F.shiftright(place, 6).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{column}`), 64) as int))").alias("bit"))
+        keys.select(F.shiftright(F.pmod(key, F.lit(bits)), 6).cast("int").alias("word"), bit.alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
     )
     table = np.zeros(bits // 64, np.uint64)
     for line in words.toLocalIterator():
         table[line.word] = np.int64(line.bits).astype(np.uint64)
-    shared = keys.sparkSession.sparkContext.broadcast(table)
-
-    @F.pandas_udf(T.BooleanType())
-    def test(hashes: pd.Series) -> pd.Series:
-        values = hashes.to_numpy()
-        spots = np.mod(values, bits)
-        return pd.Series((shared.value[spots >> 6] >> np.mod(values, 64).astype(np.uint64)) & np.uint64(1) == 1)
-
-    def passes(key: Column) -> Column:
-        return test(F.xxhash64(key))
-
-    return passes
+    return BitFilter(keys.sparkSession.sparkContext.broadcast(table), bits)

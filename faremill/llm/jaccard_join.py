@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from faremill.llm.bitfilter import may_be_in
+from faremill.llm.bitfilter import BitFilter, bit_filter
 from faremill.llm.common import fresh, stored, text_of
 from faremill.llm.graph import components
 from faremill.llm.segments import WordHashes, allocate, set_id, shingles, signatures
@@ -80,13 +80,31 @@ def _signature_udf(k: int, percent: int):
     return F.pandas_udf(make, shape)
 
 
-def _members_udf(k: int):
-    def make(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _wanted_sets(k: int, wanted: BitFilter):
+    """(class, items) of the texts that may be wanted: one Python pass that filters and reads."""
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
-            yield pd.Series([shingles(text, k, hashes).astype(np.int64) for text in batch], dtype=object)
+            batch = batch[wanted.passes(batch["key"].to_numpy())]
+            items = [shingles(text, k, hashes) for text in batch["text"]]
+            items = [x for x in items if len(x)]
+            yield pd.DataFrame({"class": [set_id(x) for x in items], "items": [x.astype(np.int64) for x in items]})
+
+    return make
+
+
+def _wanted_class(k: int, wanted: BitFilter):
+    """Whether a row may be wanted, and the class of those that may."""
+
+    def make(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
+        for keys, texts in batches:
+            maybe = wanted.passes(keys.to_numpy())
+            items = [shingles(t, k, hashes) if m else () for t, m in zip(texts, maybe)]
+            yield pd.DataFrame({"maybe": maybe, "id": pd.array([set_id(x) if len(x) else None for x in items], dtype="Int64")})
 
-    return F.pandas_udf(make, T.ArrayType(T.LongType()))
+    return F.pandas_udf(make, T.StructType([T.StructField("maybe", T.BooleanType()), T.StructField("id", T.LongType())]))
 
 
 def _spare(band: Column, percent: int) -> Column:
@@ -193,11 +211,11 @@ def link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
     # one text of each wanted class
     holders = classes.groupBy("class").agg(F.min("doc_id").alias("doc_id")).join(wanted, "class", "left_semi")
     holders = stored(holders, "holders")
-    passes = may_be_in(holders, "doc_id")
-    near = texts.where(passes(F.col("doc_id"))).withColumn("items", _members_udf(k)("text")).drop("text")
-    near = near.join(holders, "doc_id")
-    # an id with several texts names several sets; each row's own class tells which is which
-    near = near.withColumn("own", _identity_udf()("items")).where(F.col("own") == F.col("class"))
+    keyed = texts.select(F.xxhash64("doc_id").alias("key"), "text")
+    shape = T.StructType([T.StructField("class", T.LongType()), T.StructField("items", T.ArrayType(T.LongType()))])
+    near = keyed.mapInPandas(_wanted_sets(k, bit_filter(holders, "doc_id")), shape)
+    # the bitmap lets a few others pass
+    near = near.join(holders, "class", "left_semi")
     sets = stored(near.groupBy("class").agg(F.first("items").alias("items")), "sets")
 
     labels, open_groups = None, groups
@@ -217,14 +235,6 @@ def link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
     return _merged(labels, _verified(_last_pairs(open_groups, sets), sets, percent))
 
 
-def _identity_udf():
-    def make(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([set_id(np.asarray(x, np.int64).astype(np.uint64)) for x in batch])
-
-    return F.pandas_udf(make, T.LongType())
-
-
 def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     """Labels after more edges: components of the graph whose nodes are the labels so far."""
     if labels is None:
@@ -279,9 +289,10 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_
     inside = stored(sets.join(found, "class").select("doc_id", "class", "label"), "component-members")
     first = inside.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "class")).alias("w"))
     winners = first.select(F.col("w.doc_id").alias("winner_id"), F.col("w.class").alias("winner_class"))
-    passes = may_be_in(inside, "doc_id")
+    found_by = _wanted_class(k, bit_filter(inside, "doc_id"))
     kind, side = fresh(docs, "__class"), fresh(docs, "__inside")
-    maybe = docs.where(passes(F.col(doc_id))).withColumn(kind, _set_udf(k)(text_of(text))["id"])
+    looked = docs.withColumn(kind, found_by(F.xxhash64(F.col(doc_id)), text_of(text)))
+    maybe = looked.where(F.col(kind)["maybe"]).withColumn(kind, F.col(kind)["id"])
     members = inside.select(F.col("doc_id").alias("member_id"), F.col("class").alias("member_class"), F.lit(True).alias(side)).distinct()
     tagged = maybe.join(members, maybe[doc_id].eqNullSafe(F.col("member_id")) & (maybe[kind] == F.col("member_class")), "left")
     tagged = tagged.drop("member_id", "member_class")
@@ -291,4 +302,5 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_
     )
     whole = F.struct(*(F.col(c) for c in docs.columns))
     once = best.groupBy(doc_id, kind).agg(F.first(whole).alias(side)).select(f"{side}.*")
-    return docs.where(~passes(F.col(doc_id))).union(alone.union(once))
+    clear = looked.where(~F.col(kind)["maybe"]).drop(kind)
+    return clear.select(*docs.columns).union(alone.union(once))
