@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 from itertools import accumulate, chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -35,10 +37,9 @@ STEP = 8
 BLOCKS = 256
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-SIGNS = ".,;:!?%$#*&|"
 END = END_ID.to_bytes(4, "little")
-REMEMBERED = 300_000
-CHUNK = 500_000
+REMEMBERED = 350_000
+CHUNK = 1_000_000
 
 
 class _Remembered:
@@ -49,24 +50,33 @@ class _Remembered:
 
     def missing(self, wanted: set[str]) -> list[str]:
         """What neither generation has; everything else wanted is in the young one afterwards."""
-        if len(self.young) + len(wanted) > self.most:
-            self.old, self.young = self.young, {}
-        new = []
-        for word in wanted - self.young.keys():
-            if (value := self.old.get(word)) is not None:
-                self.young[word] = value
-            else:
-                new.append(word)
-        return new
+        new = wanted - self.young.keys()
+        if len(self.young) + len(new) > self.most:
+            self.old, self.young, new = self.young, {}, wanted
+        for word in new & self.old.keys():
+            self.young[word] = self.old[word]
+        return list(new - self.old.keys())
+
+
+def _parts(text: str) -> list[str]:
+    """The text cut where the vocabulary's pre-tokenizer never joins: ids of the parts, in order, are its ids.
+
+    It drops spaces and line feeds, and parts letters from the signs after them. Where a text is letters,
+    digits, and single commas and full stops only, these signs are set apart and capitals lowered (as its
+    normalizer does), so that fewer different parts come about; else a text is cut at blanks alone.
+    """
+    chars = set(text)
+    plain = all(c.isalnum() or c in " \n.," for c in chars) and chars.isdisjoint("Σİ")
+    if plain and not any(x in text for x in ("..", ",,", ".,", ",.")) and is_normalized("NFC", text):
+        text = text.lower().replace(",", " , ").replace(".", " . ")
+    return text.replace("\n", " ").split(" ")
 
 
 class WordIds:
-    """Ids of texts as little-endian 32-bit numbers, remembering those of words.
+    """Ids of texts as little-endian 32-bit numbers, remembering those of their parts.
 
-    The vocabulary's pre-tokenizer never joins across a space or line feed and drops both, so the ids of
-    a text are those of its parts in order; nor does it join letters and the signs after them. Words of
-    letters that weren't seen before are encoded in one text, whose ids are told apart by the ends of
-    words; every other part is encoded by itself.
+    Parts of letters that weren't seen before are encoded in one text, whose ids are told apart by the ends
+    of words; every other part is encoded by itself.
     """
 
     def __init__(self, vocabulary: str):
@@ -77,7 +87,7 @@ class WordIds:
         tokens = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(tokens.values()) + 1, bool)
         self.ends[[i for token, i in tokens.items() if token.endswith("</w>")]] = True
-        self.words, self.stems = _Remembered(REMEMBERED), _Remembered(REMEMBERED)
+        self.known = _Remembered(REMEMBERED)
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
@@ -85,39 +95,32 @@ class WordIds:
 
     def _encode_letters(self, words: list[str]) -> list[bytes]:
         """Ids of words that are letters only: each ends at its one end-of-word id."""
-        ids = np.asarray(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(words):
             return self._encode(words)
         raw, bounds = ids.tobytes(), [0, *(4 * stops).tolist()]
         return [raw[i:j] for i, j in zip(bounds, bounds[1:])]
 
-    def _remember(self, wanted: set[str]) -> None:
-        new = self.words.missing(wanted)
-        split = {}
-        for word in new:
-            stem = word.rstrip(SIGNS)
-            split[word] = (stem.lower() if stem.isascii() else stem, word[len(stem) :])
-        plain = {stem for stem, _ in split.values() if stem.isalpha()}
-        if letters := self.stems.missing(plain):
-            self.stems.young.update(zip(letters, self._encode_letters(letters)))
-        odd = {word for word, (stem, _) in split.items() if not stem.isalpha()}
-        rest = list(odd | {tail for stem, tail in split.values() if tail and stem.isalpha()})
-        other = dict(zip(rest, self._encode(rest)))
-        for word, (stem, tail) in split.items():
-            if word in odd:
-                self.words.young[word] = other[word]
-            else:
-                self.words.young[word] = self.stems.young[stem] + (other[tail] if tail else b"")
-
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        parts = [text.replace("\n", " ").split(" ") for text in texts]
-        self._remember(set(chain.from_iterable(parts)))
-        ids = self.words.young
+        parts = [_parts(text) for text in texts]
+        new = self.known.missing(set(chain.from_iterable(parts)))
+        ids = self.known.young
+        letters = [x for x in new if x.isalpha()]
+        others = [x for x in new if not x.isalpha()]
+        if letters:
+            ids.update(zip(letters, self._encode_letters(letters)))
+        ids.update(zip(others, self._encode(others)))
         for words in parts:
             yield b"".join([ids[w] for w in words]) + END
 
 
+@cache
+def word_ids(vocabulary: str) -> WordIds:
+    """One per Python worker: what a task has remembered serves the next."""
+    return WordIds(vocabulary)
+
+
 def _chunks(texts: Iterable[str]) -> Iterator[list[str]]:
     """Lists of texts of about ``CHUNK`` characters; a longer text is a list of its own."""
     chunk, size = [], 0
@@ -133,7 +136,7 @@ def _chunks(texts: Iterable[str]) -> Iterator[list[str]]:
 
 def _cut_batches(vocabulary: str, length: int) -> Callable[[Iterator[pd.Series]], Iterator[pd.Series]]:
     def cut_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = WordIds(vocabulary)
+        encode = word_ids(vocabulary)
         for batch in batches:
             out = []
             for chunk in _chunks(batch):
