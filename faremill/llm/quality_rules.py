@@ -218,7 +218,9 @@ def keep_good(df: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS)
     ordered = order_rules(df, default_rules(), text, sample_rows)
     columns = _Columns(df, text)
     _cascade(columns, ordered)
-    return columns.df.where(columns["rejected_by"].isNull()).select(*columns.kept)
+    # a filter would be pushed below the stages, with all of them written out inside it once per use
+    alive = F.explode(F.when(columns["rejected_by"].isNull(), F.array(F.lit(True))))
+    return columns.df.select(*columns.kept, alive.alias(fresh(columns.df, "__alive"))).select(*columns.kept)
 
 
 def rule_report(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
