@@ -3,8 +3,9 @@
 Features of a text: how dense its words are in a lexicon and in a list of word beginnings, how
 close a second person stands to such a word, and the rates of capitals, punctuation and
 obfuscated spelling. Lexicon and beginnings are learned from labelled texts by smoothed log-odds
-of document counts, beside a small list of given words. Three parts of the labelled rows, by
-checksum of their id, serve one purpose each: lexicon, trees, calibration.
+of document counts, beside a small list of given words. Parts of the labelled rows, by checksum of
+their id, serve different ends: lexicon from two of them, trees from these and a third, calibration from
+a fourth that neither has seen.
 
 Learning takes at most about ``max_rows`` labelled rows, drawn by hash of the id (a documented
 bound; Spark ML fits the trees on them); scoring covers every row. Features are made by an Arrow
@@ -240,20 +241,20 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: int = 5) -> ToxicityModel:
-    """Lexicon from remainders 1 and 2, trees from 3, calibration from 4 (crc32 of the id modulo 5)."""
+    """Lexicon from remainders 1 and 2, trees from 1 to 3, calibration from 4 (crc32 of the id modulo 5)."""
     known = stored(labelled_texts(docs, labels, max_rows), "labelled-texts")
     lexicon = learn_lexicon(known.where(F.col("part").isin(1, 2)))
-    rows = known.where(F.col("part").isin(3, 4)).select(
-        "part", F.col("toxic").cast("double").alias("label"), feature_column(F.col("text"), lexicon).alias("features")
+    rows = known.select(
+        (F.col("part") == 4).alias("held"), F.col("toxic").cast("double").alias("label"), feature_column(F.col("text"), lexicon).alias("features")
     )
     rows = stored(rows, "toxicity-features")
-    sides = {(r.part, r.label) for r in rows.select("part", "label").distinct().collect()}
+    sides = {(r.held, r.label) for r in rows.select("held", "label").distinct().collect()}
     if len(sides) < 4:
         return ToxicityModel(lexicon, None, None)
     booster = GBTClassifier(maxIter=16, maxDepth=3, maxBins=32, stepSize=0.3, seed=seed, minInstancesPerNode=4)
     # a handful of small tasks: the rows are bounded
-    trees = booster.fit(rows.where(F.col("part") == 3).coalesce(4))
-    margins = trees.transform(rows.where(F.col("part") == 4)).select(
+    trees = booster.fit(rows.where(~F.col("held")).coalesce(4))
+    margins = trees.transform(rows.where("held")).select(
         "label", vector_to_array("probability")[1].alias("p"), F.lit(1.0).alias("weight")
     )
     ends = docs.sparkSession.createDataFrame([(0.0, 0.0, 1.0), (1.0, 1.0, 1.0)], "label double, p double, weight double")
