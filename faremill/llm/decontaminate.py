@@ -13,8 +13,8 @@
    (At the similarity asked for, fingerprints lie 10 bits apart on average, with a deviation of 3; the
    radius of 19 is three deviations away. Equal passages have distance 0.)
 
-Everything is DataFrame functions. Texts aren't shuffled: a hit takes its window's hashes along. Items'
-shingles are broadcast after they have been counted, and joined by shuffle if they are many.
+Everything is DataFrame functions. Items' shingles are broadcast after they have been counted, and joined
+by shuffle if they are many; so are the ids of the documents that go on, so that texts stay where they are.
 
 Defined results: null or empty items and texts match nothing; an item with fewer words than a shingle is
 one shingle and matches texts of just these words; equal items are each reported; a document is reported
@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.common import ascii_lower, fresh, small_side, stored, text_of, words_of
+from faremill.llm.common import SPACES, fresh, small_side, stored, text_of
 
 K = 5
 PERCENT = 80
@@ -38,7 +38,11 @@ BITS = 64
 
 
 def _hashes(text: Column) -> Column:
-    return F.transform(words_of(ascii_lower(text)), lambda w: F.xxhash64(w))
+    """Hashes of the lower-cased words; blanks are made alike first, as a split at one character needs no pattern."""
+    text = F.lower(text)
+    for blank in SPACES[1:]:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.transform(F.array_remove(F.split(text, " "), ""), lambda w: F.xxhash64(w))
 
 
 def _step(left: Column, right: Column) -> Column:
@@ -46,7 +50,7 @@ def _step(left: Column, right: Column) -> Column:
 
 
 def _from(items: Column, start: int, length: Column) -> Column:
-    return F.slice(items, F.lit(start + 1), length)
+    return F.slice(items, F.lit(start + 1), F.greatest(length, F.lit(0)))
 
 
 def with_shingles(df: DataFrame, text: str, k: int, name: str) -> DataFrame:
@@ -54,15 +58,24 @@ def with_shingles(df: DataFrame, text: str, k: int, name: str) -> DataFrame:
 
     A text with fewer words has one shingle, of all its words; a text without words has none.
     """
-    words, rolled = fresh(df, "__words"), fresh(df, "__rolled")
     columns = df.columns
+    words = fresh(df, "__words")
     df = df.withColumn(words, _hashes(text_of(text)))
-    count = F.greatest(F.size(words) - (k - 1), F.lit(0))
-    df = df.withColumn(rolled, _from(F.col(words), 0, count))
-    for at in range(1, k):
-        step = fresh(df, f"{rolled}{at}")
-        df = df.withColumn(step, _step(F.col(rolled), _from(F.col(words), at, count)))
-        rolled = step
+    # windows of 1, 2, 4, ... words, and from these the one of k
+    doubled, width = {1: words}, 1
+    while 2 * width <= k:
+        name_of = fresh(df, f"__words{2 * width}")
+        left = F.col(doubled[width])
+        df = df.withColumn(name_of, _step(_from(left, 0, F.size(left) - width), _from(left, width, F.size(left) - width)))
+        width *= 2
+        doubled[width] = name_of
+    rolled, held = doubled[width], width
+    while held < k:
+        part = max(w for w in doubled if held + w <= k)
+        count = F.greatest(F.size(words) - (held + part - 1), F.lit(0))
+        name_of = fresh(df, f"__rolled{held + part}")
+        df = df.withColumn(name_of, _step(_from(F.col(rolled), 0, count), _from(F.col(doubled[part]), held, count)))
+        rolled, held = name_of, held + part
     short = (F.size(words) > 0) & (F.size(words) < k)
     whole = F.array(F.xxhash64(words, F.lit("short")))
     return df.select(*columns, F.when(short, whole).otherwise(F.col(rolled)).alias(name))
@@ -109,6 +122,14 @@ def item_index(benchmark: DataFrame, k: int = K, item_id: str = "item_id", text:
     return stored(listed.join(among.select("h", weight), "h"), "item-index")
 
 
+def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    """Equality of the columns in both frames, a null equal to a null."""
+    same = F.lit(True)
+    for column in columns:
+        same = same & left[column].eqNullSafe(right[column])
+    return same
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, k: int = K, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -116,23 +137,25 @@ def contaminated(
     index = item_index(benchmark, k)
     source = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     source = source.withColumn("text_hash", F.xxhash64("text"))
-    rolled = with_shingles(source, "text", k, "shingles").drop("text")
-    places = rolled.select("doc_id", "text_hash", "shingles", F.posexplode("shingles").alias("pos", "h"))
-    # the hashes of the window and of ``SHIFT`` more to each side, from ``first`` on
-    start = F.col("pos") - F.col("at")
-    first = F.greatest(start - SHIFT, F.lit(0))
-    window = F.slice("shingles", first + 1, start + F.col("n") + SHIFT - first)
+    rolled = with_shingles(source, "text", k, "shingles").select("doc_id", "text_hash", F.posexplode("shingles").alias("pos", "h"))
     key = ["doc_id", "text_hash", "item_id"]
-    hits = places.join(small_side(index), "h").select(
-        *key, "at", "n", "w", start.alias("start"), first.alias("first"), window.alias("around")
-    )
+    hits = rolled.join(small_side(index), "h").select(*key, "at", "n", "w", (F.col("pos") - F.col("at")).alias("start"))
     hits = stored(hits, "benchmark-hits")
     worth = index.groupBy("item_id").agg(F.sum("w").alias("worth"))
     seen = hits.groupBy(*key, "at").agg(F.max("w").alias("w")).groupBy(*key).agg(F.sum("w").alias("seen"))
     able = seen.join(worth, "item_id").where(F.col("seen") * 100 >= F.col("worth") * percent).select(*key)
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"]) & (a["item_id"] == b["item_id"])
-    placed = hits.alias("l").join(able.alias("r"), same(hits, able), "left_semi")
-    placed = placed.groupBy(*key, "n", "start", "first").agg(F.first("around").alias("around"))
+    able = stored(able, "able")
+    places = hits.select(*key, "n", "start").distinct()
+    places = places.join(able, _same(places, able, key), "left_semi")
+    # texts of the few documents that go on; equal rows once
+    few = able.select("doc_id", "text_hash").distinct()
+    chosen = source.join(small_side(few), _same(source, few, ["doc_id", "text_hash"]), "left_semi")
+    chosen = with_shingles(chosen, "text", k, "shingles").groupBy("doc_id", "text_hash").agg(F.first("shingles").alias("shingles"))
+    first = F.greatest(F.col("start") - SHIFT, F.lit(0))
+    window = F.slice("shingles", first + 1, F.col("start") + F.col("n") + SHIFT - first)
+    placed = places.join(chosen.select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), "shingles"),
+                         F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
+    placed = placed.select(*key, "n", "start", first.alias("first"), window.alias("around"))
     moved = placed.withColumn("begin", F.explode(F.sequence(F.greatest(F.col("start") - SHIFT, F.lit(0)), F.col("start") + SHIFT)))
     moved = moved.where(F.col("begin") >= F.col("first")).select(
         *key, "begin", F.slice("around", F.col("begin") - F.col("first") + 1, F.col("n")).alias("held")
