@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import decontaminate, html_extract, jaccard_join, licences, packing, quality_rules, resampling, sharding, toxicity
+from faremill.llm import decontaminate, html_extract, jaccard_join, katz, licences, packing, quality_rules, resampling, sharding, toxicity
 from faremill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def _licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(read(spark, sf_dir, "documents"))
 
 
+def _katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(read(spark, sf_dir, "documents"))
+
+
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rule_report(read(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_host_paths": _extraction,
     "op2_gumbel_resampling": _resampling,
+    "op3_katz_backoff": _katz,
     "op4_cutting_stock": _packing,
     "op5_simhash_windows": _decontamination,
     "op6_universe_partition": _jaccard,
