@@ -175,6 +175,12 @@ def _cascade(columns: _Columns, rules: Sequence[Rule]) -> None:
         columns.set({"rejected_by": named})
 
 
+def _sealed(*columns: Column) -> Column:
+    """The columns as one generated value: a caller's filter on them isn't pushed below the stages, where
+    all of them would be written out inside it, once per use."""
+    return F.explode(F.array(F.struct(*columns)))
+
+
 def order_rules(
     df: DataFrame, rules: Sequence[Rule], text: str = "text", sample_rows: int = SAMPLE_ROWS, seed: int = 7
 ) -> list[Rule]:
@@ -210,7 +216,9 @@ def judge(
     columns = _Columns(df.drop("kept", "rejected_by"), text)
     _cascade(columns, ordered)
     rejected = columns["rejected_by"]
-    return columns.df.select(*columns.kept, rejected.isNull().alias("kept"), rejected.alias("rejected_by"))
+    verdict = _sealed(rejected.isNull().alias("kept"), rejected.alias("rejected_by"))
+    sealed = fresh(columns.df, "__verdict")
+    return columns.df.select(*columns.kept, verdict.alias(sealed)).select(*columns.kept, f"{sealed}.*")
 
 
 def keep_good(df: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -218,9 +226,8 @@ def keep_good(df: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS)
     ordered = order_rules(df, default_rules(), text, sample_rows)
     columns = _Columns(df, text)
     _cascade(columns, ordered)
-    # a filter would be pushed below the stages, with all of them written out inside it once per use
-    alive = F.explode(F.when(columns["rejected_by"].isNull(), F.array(F.lit(True))))
-    return columns.df.select(*columns.kept, alive.alias(fresh(columns.df, "__alive"))).select(*columns.kept)
+    alive = F.when(columns["rejected_by"].isNull(), F.array(F.lit(True)))
+    return columns.df.select(*columns.kept, F.explode(alive).alias(fresh(columns.df, "__alive"))).select(*columns.kept)
 
 
 def rule_report(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -245,10 +252,10 @@ def rule_report(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sampl
         columns.set({counter: F.coalesce(columns[f"first_{counter}"], columns[counter]).cast("long")})
     n_words = F.size(columns["words"]).cast("long")
     base_failed = (n_words < 20) | (columns["n_repeat_words"] * 100 > n_words * 30)
-    return columns.df.select(
-        "doc_id",
+    report = _sealed(
         n_words.alias("n_words"),
         *(columns[name].alias(name) for name in ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
         base_failed.alias("base_failed"),
         columns["rejected_by"].isNull().alias("kept"),
     )
+    return columns.df.select("doc_id", report.alias("report")).select("doc_id", "report.*")
