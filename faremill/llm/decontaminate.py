@@ -16,7 +16,7 @@
 Everything is DataFrame functions. Items' shingles are broadcast after they have been counted, and joined
 by shuffle if they are many; so are the ids of the documents that go on, so that texts stay where they are.
 
-Defined results: null or empty items and texts match nothing; an item with fewer words than a shingle is
+Defined results: null or empty items and texts, and items without an id, match nothing; an item with fewer words than a shingle is
 one shingle and matches texts of just these words; equal items are each reported; a document is reported
 once per item with its best window (most similar, then first); repeated rows are reported once, repeated
 ids with other texts apart; a null id is kept; extra columns are ignored; an empty table gives an empty
@@ -111,7 +111,7 @@ def item_index(benchmark: DataFrame, k: int = K, item_id: str = "item_id", text:
 
     The weight is 1000 ln(1 + items / items with the shingle), rounded, so that sums are exact.
     """
-    items = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
+    items = benchmark.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
     listed = with_shingles(items, "text", k, "shingles").select(
         "item_id", F.size("shingles").alias("n"), F.posexplode("shingles").alias("at", "h")
     )
