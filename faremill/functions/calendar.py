@@ -50,13 +50,30 @@ def hour_of_day(ts: str = "pickup_ts") -> Column:
     return F.hour(F.col(ts))
 
 
-def in_year(year: int, ts: str = "pickup_ts") -> Column:
-    """Calendar-year predicate as a half-open range, which parquet scans can prune on."""
-    return between_instants(ts, dt.datetime(year, 1, 1), dt.datetime(year + 1, 1, 1))
+def _on_month_folders(trips: DataFrame | None, months: list[str]) -> Column:
+    """The months as a test on ``pickup_month``, by which a stored trip table is partitioned."""
+    if trips is None or "pickup_month" not in trips.columns:
+        return F.lit(True)
+    return F.col("pickup_month").isin(months)
 
 
-def in_months(months: list[str] | tuple[str, ...], ts: str = "pickup_ts") -> Column:
-    """Membership in a list of ``yyyy-MM`` months as pushable ranges, one per run."""
+def in_year(year: int, ts: str = "pickup_ts", trips: DataFrame | None = None) -> Column:
+    """Calendar-year predicate as a half-open range, which parquet scans can prune on.
+
+    With the frame it is meant for, partitions of other months are left out as well.
+    """
+    months = [f"{year:04d}-{month:02d}" for month in range(1, 13)]
+    inside = between_instants(ts, dt.datetime(year, 1, 1), dt.datetime(year + 1, 1, 1))
+    return inside & _on_month_folders(trips, months)
+
+
+def in_months(
+    months: list[str] | tuple[str, ...], ts: str = "pickup_ts", trips: DataFrame | None = None
+) -> Column:
+    """Membership in a list of ``yyyy-MM`` months as pushable ranges, one per run.
+
+    With the frame it is meant for, partitions of other months are left out as well.
+    """
     starts = sorted({dt.datetime.strptime(m, "%Y-%m") for m in months})
     runs: list[list[dt.datetime]] = []
     for start in starts:
@@ -67,7 +84,7 @@ def in_months(months: list[str] | tuple[str, ...], ts: str = "pickup_ts") -> Col
     inside = F.lit(False)
     for low, high in runs:
         inside = inside | between_instants(ts, low, high)
-    return inside
+    return inside & _on_month_folders(trips, sorted(months))
 
 
 def between_instants(ts: str, low: dt.datetime, high: dt.datetime) -> Column:

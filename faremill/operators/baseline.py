@@ -14,7 +14,6 @@ from faremill.functions.calendar import (
     weekday_name,
     weekday_number,
 )
-from faremill.operators.bounded import lookup_value
 from faremill.schema import CELL_KEYS
 
 _AVERAGE = "avg_amount_per_trip"
@@ -25,7 +24,7 @@ def holdout_rows(trips: DataFrame, test_months: Sequence[str]) -> DataFrame:
 
     Months are tested as time ranges, so the table scan is pruned to them.
     """
-    return trips.filter(in_months(list(test_months))).select(
+    return trips.filter(in_months(list(test_months), trips=trips)).select(
         "color",
         "pu_borough",
         "do_borough",
@@ -41,15 +40,19 @@ def history_keys(history_before: str | None) -> list[str]:
     return [k for k in CELL_KEYS if history_before is None or k != "month_ym"]
 
 
-def lookup_table(cells: DataFrame, history_before: str | None = None) -> DataFrame:
+def lookup_table(
+    cells: DataFrame, history_before: str | None = None, test_months: Sequence[str] | None = None
+) -> DataFrame:
     """The averages to look up.
 
-    By default cells of the test months themselves are used, as published. With
+    By default cells of the test months themselves are used, as published; other months' cells
+    can't be found by any test trip and are left out where ``test_months`` are given. With
     ``history_before`` (a ``yyyy-MM`` month) only earlier cells count, weighted by trips.
     """
     keys = history_keys(history_before)
     if history_before is None:
-        return cells.select(*keys, _AVERAGE)
+        within = cells if test_months is None else cells.filter(F.col("month_ym").isin(list(test_months)))
+        return within.select(*keys, _AVERAGE)
     weighted = F.try_divide(
         F.sum(F.col(_AVERAGE) * F.col("total_trips")),
         F.sum(F.when(F.col(_AVERAGE).isNotNull(), F.col("total_trips"))),
@@ -67,17 +70,15 @@ def baseline_predictions(
     """Test trips with ``y_true``, the cell average (NULL if unmatched) and ``y_hat``.
 
     An unmatched trip gets its colour's mean of the matched averages. That mean is summed
-    up cell by cell, so no window ever holds all trips of one colour; the row join is an
-    ordinary left join, in which adaptive execution splits a hot cell.
+    up cell by cell, so no window ever holds all trips of one colour; both joins are
+    ordinary left joins, which Spark broadcasts on measured size and splits where a key is hot.
     """
     keys = history_keys(history_before)
-    lookup = lookup_table(cells, history_before)
+    lookup = lookup_table(cells, history_before, test_months)
     rows = holdout_rows(trips, test_months)
     means = _per_cell(rows, lookup, keys).groupBy("color").agg(_color_mean().alias("mean"))
-    fallback = lookup_value(means, "color", "mean", probe="color", what="colour means")
-    return rows.join(lookup, keys, "left").select(
-        *CELL_KEYS, "y_true", _AVERAGE, F.coalesce(_AVERAGE, fallback).alias("y_hat")
-    )
+    filled = rows.join(lookup, keys, "left").join(means, "color", "left")
+    return filled.select(*CELL_KEYS, "y_true", _AVERAGE, F.coalesce(_AVERAGE, "mean").alias("y_hat"))
 
 
 def baseline_metrics(
@@ -94,7 +95,7 @@ def baseline_metrics(
     share its fallback, so they too need only their count, mean and mean square.
     """
     keys = history_keys(history_before)
-    per_cell = _per_cell(holdout_rows(trips, test_months), lookup_table(cells, history_before), keys)
+    per_cell = _per_cell(holdout_rows(trips, test_months), lookup_table(cells, history_before, test_months), keys)
     n, mean, variance, looked_up = (
         F.col(c) for c in ("n_true", "mean_true", "var_true", _AVERAGE)
     )

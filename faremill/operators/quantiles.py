@@ -15,7 +15,6 @@ from operator import add, and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faremill.operators.bounded import broadcast_bounded
 
 _BUCKETS = 4096  # equal-width slices of one bracket
 
@@ -50,7 +49,7 @@ def exact_quantiles(
 
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
     lines = brackets.select(*keys, *facts, wanted)
-    return _match(lines, F.broadcast(found), [*keys, "probability"], "left")  # one row per line
+    return _match(lines, found, [*keys, "probability"], "left")
 
 
 def _brackets(
@@ -104,7 +103,7 @@ def _runs(long: DataFrame, brackets: DataFrame, keys: list[str], count: int) ->
     )
     # Brackets ascend, so the first one whose upper edge reaches the value decides.
     edges_below = [F.when(F.get("highs", F.lit(i)) < value, 1).otherwise(0) for i in range(count)]
-    edges = broadcast_bounded(brackets.select(*keys, "lows", "highs"), "quantile brackets")
+    edges = brackets.select(*keys, "lows", "highs")
     placed = (
         _match(long, edges, keys)
         .withColumn("above", reduce(add, edges_below))
@@ -169,7 +168,7 @@ def _select_ranks(runs: DataFrame, targets: DataFrame, keys: list[str]) -> DataF
     in_order = Window.partitionBy(*keys).orderBy("slot", "bucket")
     buckets = buckets.withColumn("_end", F.sum("n_bucket").over(in_order))
     hit_buckets = (
-        _match(buckets, F.broadcast(targets), keys)  # brackets x probabilities rows
+        _match(buckets, targets, keys)
         .filter(
             (F.col("rank") <= F.col("_end")) & (F.col("rank") > F.col("_end") - F.col("n_bucket"))
         )
@@ -184,7 +183,7 @@ def _select_ranks(runs: DataFrame, targets: DataFrame, keys: list[str]) -> DataF
     )
     within = Window.partitionBy(*bucket_keys, "probability", "weight", "rank").orderBy("run_min")
     located = (
-        _match(runs, F.broadcast(hit_buckets), bucket_keys)  # at most one row per target
+        _match(runs, hit_buckets, bucket_keys)
         .filter(
             F.col("single").isNull()
             | F.col("single").between(F.col("bucket_min"), F.col("bucket_max"))

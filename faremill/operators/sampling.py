@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faremill.functions.portions import unit_hash
-from faremill.operators.bounded import broadcast_bounded
 
 
 def month_fractions(
@@ -66,8 +65,7 @@ def stratified_sample(
 ) -> DataFrame:
     """Keep each row whose number in [0, 1) is below the given fraction of its month."""
     known = fractions.filter(F.col(month).isNotNull()).select(month, "fraction")
-    wanted = broadcast_bounded(known, "month fractions")
-    joined = df.join(wanted, month)
+    joined = df.join(known, month)
     return joined.filter(unit < F.col("fraction")).drop("fraction")
 
 

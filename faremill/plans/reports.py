@@ -175,7 +175,7 @@ def pair_revenue_share(trips: DataFrame, year: int, top: int = 10) -> DataFrame:
     """Revenue share of the top borough pairs of one year (rank ties are all kept)."""
     pairs = (
         trips.filter(
-            in_year(year) & F.col("pu_borough").isNotNull() & F.col("do_borough").isNotNull()
+            in_year(year, trips=trips) & F.col("pu_borough").isNotNull() & F.col("do_borough").isNotNull()
         )
         .groupBy("pu_borough", "do_borough")
         .agg(F.round(F.sum("total_amount"), 2).alias("total_revenue"))

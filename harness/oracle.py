@@ -306,9 +306,10 @@ ORACLE: dict[str, str] = {
     ),
     "speed_offenders": _with(
         """
-        SELECT speed_kmh, distance_km, duration_sec FROM flagged
+        SELECT color, speed_kmh, distance_km, duration_sec FROM flagged
         WHERE failed_rule = 'rule_4'
-        ORDER BY speed_kmh DESC, distance_km DESC, duration_sec DESC LIMIT 10"""
+        QUALIFY row_number() OVER (
+          PARTITION BY color ORDER BY speed_kmh DESC, distance_km DESC, duration_sec DESC) <= 10"""
     ),
     "enriched_trips": _with(
         f"""

@@ -124,14 +124,8 @@ def test_category_shares(spark):
     assert got == {("color", "a"): 0.75, ("color", "b"): 0.25, ("payment_type", "1"): 0.5, ("payment_type", "3"): 0.333}
 
 
-def test_broadcast_is_refused_beyond_its_bound(spark):
-    from faremill.operators.bounded import broadcast_bounded, lookup_value
-
-    facts, lookup = spark.range(10), spark.range(5).withColumn("v", F.col("id") * 2)
-    assert facts.join(broadcast_bounded(lookup, "lookup", max_rows=5), "id").count() == 5
-    with pytest.raises(Exception, match="lookup: too many rows to broadcast: 5"):
-        facts.join(broadcast_bounded(lookup, "lookup", max_rows=4), "id").count()
-    facts = facts.withColumn("v", lookup_value(lookup, "id", "v", probe="id", what="values"))
-    assert [r.v for r in facts.orderBy("id").collect()] == [0, 2, 4, 6, 8, None, None, None, None, None]
-    with pytest.raises(Exception, match="values: more than 4 keys"):
-        facts.select(lookup_value(lookup, "id", "v", probe="id", what="values", max_rows=4)).collect()
+def test_quantiles_of_many_groups(spark):
+    df = spark.range(30_000).select((F.col("id") % 10_000).alias("k"), F.col("id").cast("double").alias("v"))
+    got = exact_quantiles(df, ["v"], [0.5], by=["k"])
+    assert got.count() == 10_000
+    assert got.filter(F.col("quantile") != F.col("k") + 10_000).count() == 0

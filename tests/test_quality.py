@@ -103,7 +103,10 @@ def test_attrition_matches_rule_by_rule_counts(spark, rows):
 
 def test_speed_offenders_are_sorted_and_limited(spark):
     rows = [trip(miles=100.0 + i) for i in range(15)] + [trip(), trip(seconds=-5, miles=900.0)]
-    got = quality.speed_offenders(derive_measures(trips(spark, rows)), n=10).collect()
+    both = derive_measures(trips(spark, rows)).withColumn("color", F.explode(F.array(F.lit("green"), F.lit("yellow"))))
+    got = quality.speed_offenders(both, n=10).collect()
+    assert [r.color for r in got] == ["green"] * 10 + ["yellow"] * 10
+    got = got[:10]
     speeds = [r.speed_kmh for r in got]
     assert len(speeds) == 10 and speeds == sorted(speeds, reverse=True)
     assert speeds[0] == pytest.approx(114 * 1.60934 * 6)

@@ -148,3 +148,12 @@ def test_date_filter_reaches_the_scan(spark, tmp_path):
     for condition in (in_year(2020), in_months(["2020-04", "2020-05"])):
         plan = spark.read.parquet(folder).filter(condition)._jdf.queryExecution().toString()
         assert "GreaterThanOrEqual(pickup_ts" in plan and "LessThan(pickup_ts" in plan
+
+
+def test_date_filter_prunes_the_stored_tables_months(spark):
+    from faremill.functions.calendar import in_months, in_year
+
+    stored = sources.save_trips(trips(spark, [trip()]), "trips_by_month")
+    for condition in (in_year(2020, trips=stored), in_months(["2020-04", "2020-05"], trips=stored)):
+        plan = stored.filter(condition)._jdf.queryExecution().executedPlan().toString()
+        assert "pickup_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
