@@ -85,15 +85,15 @@ def prepare(
     test_months: Sequence[str],
     unit: Column,
     compact: bool,
-    rows_per_partition: int = 10_000,
+    shards: int = 8,
 ) -> Prepared:
     """Split by month and ``unit``, fit the encoder on ``train`` and store encoded rows.
 
     Encoder and models read their input several times; both the split frame and the encoded
-    rows are therefore written to the shared checkpoint folder. Compact rows are spread
-    evenly first, so that every partition is a fair sample whatever the source skew: over
-    all cores, unless that would leave a partition fewer than ``rows_per_partition`` rows
-    (averaging parameters of many tiny partitions learns slowly).
+    rows are therefore written to the shared checkpoint folder. Compact rows are dealt by
+    their hash to ``shards`` partitions in a fixed order. Each shard trains its own copy of the
+    parameters in every epoch, so their number is part of the model and a parameter: more of
+    them for more rows. Cores, source files and their order don't change the result.
     """
     labelled = with_log_target(sampling.temporal_split(frame, test_months, unit))
     columns = ["split", "target", "label"]
@@ -104,9 +104,8 @@ def prepare(
         return Prepared(encoder, materialise(rows), compact)
     rows = encoder.compact(stored, *columns)
     held_out = F.pmod(F.xxhash64(*rows.columns), F.lit(1000)) < int(1000 * VALIDATION_SHARE)
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    partitions = max(1, min(cores, stored.count() // rows_per_partition))
-    spread = rows.withColumn("held_out", held_out).repartition(partitions)
+    identity = F.xxhash64(*rows.columns)
+    spread = rows.withColumn("held_out", held_out).repartition(shards, identity).sortWithinPartitions(identity)
     return Prepared(encoder, materialise(spread), compact)
 
 

@@ -52,7 +52,7 @@ def vectors(frame):
 
 @pytest.fixture(scope="module")
 def compact(frame):
-    return modelling.prepare(frame, ["2024-10"], unit_hash("id"), compact=True, rows_per_partition=700)
+    return modelling.prepare(frame, ["2024-10"], unit_hash("id"), compact=True, shards=4)
 
 
 def test_modes_prefer_the_smallest_on_ties(spark):
