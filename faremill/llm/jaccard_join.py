@@ -74,7 +74,7 @@ def _signature_udf(k: int, percent: int):
                     shown.add(own)
                 ids.append(own)
                 found.append(signatures(items, percent) if new else np.empty(0, np.int64))
-            yield pd.DataFrame({"id": pd.array(ids, dtype="Int64"), "signatures": found})
+            yield pd.DataFrame({"id": pd.array(ids, dtype="Int64"), "signatures": pd.Series(found, dtype=object)})
 
     shape = T.StructType([T.StructField("id", T.LongType()), T.StructField("signatures", T.ArrayType(T.LongType()))])
     return F.pandas_udf(make, shape)
@@ -89,7 +89,8 @@ def _wanted_sets(k: int, wanted: BitFilter):
             batch = batch[wanted.passes(batch["key"].to_numpy())]
             items = [shingles(text, k, hashes) for text in batch["text"]]
             items = [x for x in items if len(x)]
-            yield pd.DataFrame({"class": [set_id(x) for x in items], "items": [x.astype(np.int64) for x in items]})
+            held = pd.Series([x.astype(np.int64) for x in items], dtype=object)
+            yield pd.DataFrame({"class": pd.Series([set_id(x) for x in items], dtype="Int64"), "items": held})
 
     return make
 

@@ -161,7 +161,7 @@ def feature_column(text: Column, lexicon: Lexicon) -> Column:
     def make(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights = _Weights(lexicon)
         for batch in batches:
-            yield pd.Series([features(t, weights) for t in batch])
+            yield pd.Series([features(t, weights) for t in batch], dtype=object)
 
     return array_to_vector(make(text))
 
