@@ -362,7 +362,7 @@ def test_packing_of_an_empty_table(empty):
 
 def test_patterns_hold_exactly_the_histogram_and_come_near_the_bound():
     rng = np.random.default_rng(12)
-    sizes = {int(s): int(n) for s, n in zip(range(1, 65), rng.integers(0, 3000, 64))}
+    sizes = {int(s): int(n) for s, n in zip(range(1, 33), rng.integers(0, 3000, 32))}  # above half, the volume is no bound
     plan = cutting_stock.cut(sizes, 64)
     held = Counter()
     for copies, counts in plan:
