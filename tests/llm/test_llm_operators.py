@@ -426,3 +426,41 @@ def test_licence_lines(spark, odd, empty):
     assert {(0, "MIT"), (1, "proprietary"), (4, "GPL-3.0")} <= got and {d for d, _ in got} == {0, 1, 4}
     assert licences.scan(odd).count() == 0 and licences.scan(empty).count() == 0
     assert Row(doc_id=1, dice=1.0) in licences.scan(frame(spark, texts)).select("doc_id", "dice").collect()
+
+
+def test_licences_in_wrapped_lines_long_sentences_and_whole_texts(spark):
+    rng = np.random.default_rng(12)
+    wrapped = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version."""
+    grant = " ".join(licences.BODIES["MIT-text"].split("\n")[1:6])
+    inside = f"{prose(rng, 40)} it is licensed under the Apache License, Version 2.0, {prose(rng, 40)}"
+    repeated = " ".join(["all rights reserved"] * 60)
+    texts = [wrapped, grant, inside, repeated, f"{prose(rng, 300)}\n{licences.BODIES['GPL-3.0-text']}", prose(rng, 300)]
+    got = {(r.doc_id, r.notice): r for r in licences.scan(frame(spark, texts)).collect()}
+    found = {(0, "GPL-notice"), (1, "MIT-grant"), (2, "Apache-2.0"), (3, "proprietary"), (4, "GPL-3.0-text")}
+    assert found <= set(got) and 5 not in {d for d, _ in got}
+    assert got[2, "Apache-2.0"].line == "licensed under the apache license version 2 0" and got[2, "Apache-2.0"].dice == 1
+
+
+def test_licence_windows_match_brute_force(spark):
+    rng = np.random.default_rng(13)
+    listed = {f"n{n}": prose(rng, n, 30) for n in (2, 5, 9, 30)}
+    texts = []
+    for body in listed.values():
+        for edits in (0, 1, 2, 3):
+            texts.append(f"{prose(rng, 25, 30)} {edited(rng, body, edits)} {prose(rng, 20, 30)}")
+    texts += [" ".join(listed["n30"].split()[:25]), " ".join(listed["n30"].split()[5:]), f"{prose(rng, 9, 30)} {listed['n5']}"]
+    pairs = lambda w: set(zip(w, w[1:]))
+    expected = {}
+    for i, text in enumerate(texts):
+        words = text.split()
+        for name, body in listed.items():
+            own, n = pairs(body.split()), len(body.split())
+            held = [pairs(words[a : a + n]) for a in range(len(words))] + [pairs(words)]
+            best = max(2 * len(x & own) / (len(x) + len(own)) for x in held)
+            if best >= 0.8:
+                expected[i, name] = best
+    got = {(r.doc_id, r.notice): r.dice for r in licences.scan(frame(spark, texts), listed=listed).collect()}
+    assert got == pytest.approx(expected) and len(expected) > 10
