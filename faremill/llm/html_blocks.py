@@ -24,9 +24,13 @@ JUNK_WORDS = frozenset(
     "respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets alert gdpr login "
     "search skip teaser teasers topbar breadcrumb breadcrumbs discussion disqus".split()
 )
+# fixed values: names of what readers write, which may well be longer than the article
+TALK = re.compile(r"comment|discussion|disqus|repl(?:y|ies)|respond")
 JUNK_PARTS = re.compile(
     r"sidebar|advert|breadcrumb|comment|newsletter|cookie|footer|navbar|navigation|topnav|mainnav|menu|masthead|promo|sponsor|paginat"
 )
+# fixed values: what is or isn't beside the element, so not a name of its own ('no-sidebar')
+_FLAGS = re.compile(r"\b(?:no|with|without|has)[-_][\w-]+", re.IGNORECASE)
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.DOTALL
 )
@@ -37,11 +41,12 @@ _HUMPS = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 @dataclass
 class Block:
-    """A run of text without a block boundary inside: its container's path, text, characters in links."""
+    """A run of text without a block boundary inside: its container's path, text, characters in links, whether a title."""
 
     path: str
     text: str
     link_chars: int = 0
+    title: bool = False
 
 
 @dataclass
@@ -50,12 +55,23 @@ class _Open:
     path: str
     junk: bool
     heading_only: bool = False
+    names: tuple[int, ...] = ()
+
+
+@dataclass
+class _Name:
+    """An element that its class or id marks as junk: its text, and whether it may hold the whole page."""
+
+    talk: bool
+    chars: int = 0
+    holds_page: bool = False
 
 
 @dataclass
 class _Run:
-    parts: list[str] = field(default_factory=list)
-    link_parts: list[str] = field(default_factory=list)
+    path: str
+    title: bool
+    parts: list[tuple[str, bool, tuple[int, ...]]] = field(default_factory=list)
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -71,44 +87,52 @@ def class_words(value: str) -> list[str]:
 
 
 def marks_junk(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether the element is junk by what it is, in itself and in all that it holds."""
     if tag in JUNK_TAGS or attrs.get("role", "").lower() in JUNK_ROLES:
         return True
     if "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return True
-    if "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".strip()
+    return "display:none" in attrs.get("style", "").replace(" ", "").lower()
+
+
+def junk_name(tag: str, attrs: dict[str, str]) -> str:
+    """Class and id where they name junk, else nothing: a wrapper of the page may be named so too ('with-sidebar')."""
+    names = _FLAGS.sub(" ", f"{attrs.get('class', '')} {attrs.get('id', '')}").strip()
     if not names or tag in ("html", "body", "article", "main"):
-        return False
-    return not JUNK_WORDS.isdisjoint(class_words(names)) or bool(JUNK_PARTS.search(names.lower()))
+        return ""
+    return names.lower() if not JUNK_WORDS.isdisjoint(class_words(names)) or JUNK_PARTS.search(names.lower()) else ""
 
 
 def blocks_of(html: str) -> list[Block]:
     """The page's blocks outside of menus, notices and the like, in page order.
 
     End tags that match nothing open are passed over, a block start ends an open paragraph, and what
-    is still open at the end of the page ends there, so broken and cut markup gives what it holds.
+    is still open at the end of the page ends there, so broken and cut markup gives what it holds. An
+    element named like junk isn't junk if it holds more than half of the page's text and isn't beside it: it
+    holds a title, main or article element, or the page has no main and article (discussions need the title or main).
     """
     stack = [_Open("", "", False)]
-    run, blocks = _Run(), []
-    links = 0
+    parts: list[tuple[str, bool, tuple[int, ...]]] = []
+    runs: list[_Run] = []
+    names: list[_Name] = []
+    links = page_chars = 0
+    marked = False  # whether main or article elements say where the page's text is
 
     def add(text: str) -> None:
+        nonlocal page_chars
         top = stack[-1]
         if not top.junk and text and (not top.heading_only):
-            run.parts.append(text)
-            if links:
-                run.link_parts.append(text)
+            parts.append((text, links > 0, top.names))
+            chars = len(text.strip())
+            page_chars += chars
+            for name in top.names:
+                names[name].chars += chars
 
     def flush() -> None:
-        if run.parts:
-            text = " ".join(unescape("".join(run.parts)).split())
-            if text:
-                holder = next((x.path for x in reversed(stack) if x.tag in CONTAINERS), "")
-                link_chars = len(" ".join(unescape("".join(run.link_parts)).split()))
-                blocks.append(Block(holder, text, link_chars))
-            run.parts.clear()
-            run.link_parts.clear()
+        if parts:
+            holder = next((x.path for x in reversed(stack) if x.tag in CONTAINERS), "")
+            runs.append(_Run(holder, any(x.tag in ("h1", "h2") for x in stack), parts.copy()))
+            parts.clear()
 
     def close(index: int) -> None:
         nonlocal links
@@ -158,7 +182,15 @@ def blocks_of(html: str) -> list[Block]:
         top = stack[-1]
         attrs = attributes(tag[3]) if tag[3] else {}
         junk = top.junk or marks_junk(name, attrs)
-        heading_only = top.heading_only
+        heading_only, inner = top.heading_only, top.names
+        called = "" if junk else junk_name(name, attrs)
+        if called:
+            inner = (*inner, len(names))
+            names.append(_Name(bool(TALK.search(called))))
+        if name in ("h1", "main", "article"):
+            marked |= name != "h1"
+            for mark in inner:
+                names[mark].holds_page |= name != "article" or not names[mark].talk
         if name == "header":
             inside = any(x.tag in ("article", "main") for x in stack)
             junk, heading_only = junk or not inside, True
@@ -169,8 +201,17 @@ def blocks_of(html: str) -> list[Block]:
             words = "-".join(sorted(set(class_words(attrs.get("class", "")))))
             path = f"{path}>{name}.{words}" if words else f"{path}>{name}"
         links += name == "a"
-        stack.append(_Open(name, path, junk, heading_only))
+        stack.append(_Open(name, path, junk, heading_only, inner))
     flush()
+    wrapper = lambda x: 2 * x.chars > page_chars and (x.holds_page or not marked and not x.talk)
+    junk_names = {i for i, x in enumerate(names) if not wrapper(x)}
+    blocks = []
+    for run in runs:
+        held = [part for part in run.parts if junk_names.isdisjoint(part[2])]
+        text = " ".join(unescape("".join(part[0] for part in held)).split())
+        if text:
+            link_text = unescape("".join(part[0] for part in held if part[1]))
+            blocks.append(Block(run.path, text, len(" ".join(link_text.split())), run.title))
     return blocks
 
 
@@ -198,10 +239,38 @@ def best_first(scores: dict[str, float]) -> list[str]:
     return sorted((p for p, s in scores.items() if s > 0), key=lambda p: (-scores[p], p))
 
 
-def text_under(blocks: list[Block], ranked: list[str]) -> str:
-    """Blocks under the first of the paths that holds text here, else under the page's own best."""
-    for container in [*ranked, *best_first(container_scores(blocks))[:1]]:
-        found = [block.text for block in blocks if inside(block.path, container)]
-        if found:
-            return "\n".join(found)
+def widened(blocks: list[Block], container: str, most: str = "") -> tuple[str, list[Block]]:
+    """The container's widest ancestor, not above ``most``, that adds more text of its own than links; its blocks.
+
+    A container wins by its share of the text; headlines, leads and paragraphs beside it belong to the
+    article. Blocks of links that are added beside more text are left out.
+    """
+    held = [inside(block.path, container) for block in blocks]
+    reach = container
+    while container and container != most:
+        container = container.rpartition(">")[0]
+        added = [i for i, block in enumerate(blocks) if not held[i] and inside(block.path, container)]
+        plain = [i for i in added if blocks[i].title or 2 * blocks[i].link_chars <= len(blocks[i].text)]
+        chars = sum(len(blocks[i].text) for i in plain)
+        if 2 * chars < sum(len(blocks[i].text) for i in added):
+            break
+        for i in plain:
+            held[i], reach = True, container
+    return reach, [block for block, own in zip(blocks, held) if own]
+
+
+def text_under(blocks: list[Block], ranked: list[str], reaches: list[str] | None = None) -> str:
+    """Blocks of the article around the first of the paths that holds text here, else around the page's own best.
+
+    A page whose own best container is on the same branch widens the path as its text allows; any other
+    page up to the host's reach of the path.
+    """
+    own = (best_first(container_scores(blocks)) or [""])[0]
+    for container, reach in zip([*ranked, own], [*(reaches or ranked), ""]):
+        if any(inside(block.path, container) for block in blocks):
+            if inside(container, own):
+                container, reach = own, ""
+            elif inside(own, container):
+                reach = ""
+            return "\n".join(block.text for block in widened(blocks, container, reach)[1])
     return "\n".join(block.text for block in blocks)

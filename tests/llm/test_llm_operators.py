@@ -464,3 +464,39 @@ def test_licence_windows_match_brute_force(spark):
                 expected[i, name] = best
     got = {(r.doc_id, r.notice): r.dice for r in licences.scan(frame(spark, texts), listed=listed).collect()}
     assert got == pytest.approx(expected) and len(expected) > 10
+
+
+def page_text(html):
+    blocks = html_blocks.blocks_of(html)
+    return html_blocks.text_under(blocks, html_blocks.best_first(html_blocks.container_scores(blocks))).split("\n")
+
+
+def test_headlines_and_leads_beside_the_winner_are_kept():
+    a, b, lead = "first part " * 36, "second part " * 33, "intro " * 33
+    nav = "<div class=links><a href=a>one link</a> <a href=b>another one</a></div>" * 20
+    inner = f"<h1>Title</h1><p>{lead}</p><section>{a}</section><section>{b}</section>"
+    want = ["Title", lead.strip(), a.strip(), b.strip()]
+    assert page_text(f"<body>{nav}<article>{inner}</article></body>") == want
+    assert page_text(f"<body>{nav}<div id=x><h1><a href=c>Title</a></h1><p>{lead}</p><div class=entry-content>{a}</div></div></body>") == want[:3]
+    cells = f"<table><tr><td>{a}</td><td>{b}</td></tr></table>"
+    assert page_text(f"<body>{nav}<article><p>{lead}</p>{cells}</article></body>") == want[1:]
+
+
+def test_junk_named_wrappers_of_the_page_are_read():
+    a, other = "long text " * 40, "remark " * 80
+    for name in ("no-sidebar", "with-sidebar", "page comments-open"):
+        html = f"<body><div class='{name}'><article><h1>T</h1><p>{a}</p></article><div class=sidebar>{other}</div></div></body>"
+        assert page_text(html) == ["T", a.strip()]
+    assert page_text(f"<body><article><p>{a}</p></article><div class=comments>{other}</div></body>") == [a.strip()]
+
+
+def test_extraction_is_widened_as_the_host_or_the_page_shows(spark):
+    a, b = "first part " * 30, "second part " * 30
+    page = "<html><body><article><h1>Title</h1><p>lead %d</p><section>%s</section><section>%s</section></article></body></html>"
+    post = "<html><body><div class=wrap><div class=post><p>" + a + "</p></div></div></body></html>"
+    odd = "<html><body><div class=wrap><div class=post><p>ok</p></div><div class=box><p>longer, on this page only</p></div></div></body></html>"
+    pages = [(i, "http://a.example/", page % (i, a, b)) for i in range(3)]
+    pages += [(i, "http://b.example/", post) for i in range(3, 9)] + [(9, "http://b.example/", odd)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Title\nlead {i}\n{a.strip()}\n{b.strip()}" for i in range(3))
+    assert got[3] == a.strip() and got[9] == "ok"
