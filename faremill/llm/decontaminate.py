@@ -4,11 +4,14 @@
    it shares a shingle with the item, and all shingles it shares are worth that part of the item at
    least; so documents' shingles are looked up among the items', and documents whose hits on an item are
    worth less are left out. This loses nothing.
-2. Each hit places a window of the item's size so that the shingle stands where the item has it; windows
-   up to ``SHIFT`` words to either side are added. Each gets a 64-bit SimHash over its shingles, weighted by
-   how rare they are among the items.
+2. Each hit implies a start: where the window stands if the shingle is at the item's place in it. Hits at most
+   an item's length apart form a cluster; a cluster whose shingles are worth the part is tried at every start
+   between the least and the greatest that its hits imply, and ``SHIFT`` words to either side, so that parts in
+   another order are found too. Each window gets a 64-bit SimHash over its shingles, weighted by how rare they
+   are among the items.
 3. Fingerprints are cut into ``RADIUS + 1`` blocks. Two fingerprints within the radius agree in one block
-   at least, so joining windows and their items on block number and value finds all of them.
+   at least, so joining windows and their items on block number and value finds all of them. Step 1 proposes
+   the pairs and the blocks only discard: blocks of three bits alone would propose nearly every pair.
 4. Pairs within the radius are verified by the exact weighted Jaccard similarity of their bags of shingles.
    (At the similarity asked for, fingerprints lie 10 bits apart on average, with a deviation of 3; the
    radius of 19 is three deviations away. Equal passages have distance 0.)
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from faremill.llm.common import SPACES, fresh, small_side, stored, text_of
 
@@ -130,6 +134,21 @@ def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     return same
 
 
+def _clusters(hits: DataFrame, worth: DataFrame, key: list[str], percent: int) -> DataFrame:
+    """key, n, low and high: the starts to be tried for each cluster of hits that may reach the similarity."""
+    hits = hits.withColumn("pos", F.col("start") + F.col("at")).distinct()
+    order = Window.partitionBy(*key).orderBy("pos")
+    cut = F.coalesce((F.col("pos") - F.lag("pos").over(order) > F.col("n")).cast("int"), F.lit(0))
+    numbered = hits.withColumn("cut", cut).withColumn("cluster", F.sum("cut").over(order))
+    ends = [F.first("n").alias("n"), F.max("w").alias("w"), F.min("start").alias("low"), F.max("start").alias("high")]
+    by_place = numbered.groupBy(*key, "cluster", "at").agg(*ends)
+    ends = [F.first("n").alias("n"), F.sum("w").alias("seen"), F.min("low").alias("low"), F.max("high").alias("high")]
+    whole = by_place.groupBy(*key, "cluster").agg(*ends).join(worth, "item_id")
+    whole = whole.where(F.col("seen") * 100 >= F.col("worth") * percent)
+    low = F.greatest(F.col("low") - SHIFT, F.lit(0))
+    return whole.select(*key, "n", low.alias("low"), F.greatest(F.col("high") + SHIFT, low).alias("high"))
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, k: int = K, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -145,22 +164,17 @@ def contaminated(
     seen = hits.groupBy(*key, "at").agg(F.max("w").alias("w")).groupBy(*key).agg(F.sum("w").alias("seen"))
     able = seen.join(worth, "item_id").where(F.col("seen") * 100 >= F.col("worth") * percent).select(*key)
     able = stored(able, "able")
-    places = hits.select(*key, "n", "start").distinct()
-    places = places.join(able, _same(places, able, key), "left_semi")
+    places = _clusters(hits.join(able, _same(hits, able, key), "left_semi"), worth, key, percent)
     # texts of the few documents that go on; equal rows once
     few = able.select("doc_id", "text_hash").distinct()
     chosen = source.join(small_side(few), _same(source, few, ["doc_id", "text_hash"]), "left_semi")
     chosen = with_shingles(chosen, "text", k, "shingles").groupBy("doc_id", "text_hash").agg(F.first("shingles").alias("shingles"))
-    first = F.greatest(F.col("start") - SHIFT, F.lit(0))
-    window = F.slice("shingles", first + 1, F.col("start") + F.col("n") + SHIFT - first)
     placed = places.join(chosen.select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), "shingles"),
                          F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
-    placed = placed.select(*key, "n", "start", first.alias("first"), window.alias("around"))
-    moved = placed.withColumn("begin", F.explode(F.sequence(F.greatest(F.col("start") - SHIFT, F.lit(0)), F.col("start") + SHIFT)))
-    moved = moved.where(F.col("begin") >= F.col("first")).select(
-        *key, "begin", F.slice("around", F.col("begin") - F.col("first") + 1, F.col("n")).alias("held")
-    )
-    moved = moved.groupBy(*key, "begin").agg(F.max_by("held", F.size("held")).alias("held"))
+    begins = F.sequence("low", F.least("high", F.greatest(F.col("low"), F.size("shingles") - 1)))
+    windows = F.transform(begins, lambda b: F.struct(b.alias("begin"), F.slice("shingles", b + 1, F.col("n")).alias("held")))
+    # clusters of one document may overlap in their starts
+    moved = placed.select(*key, F.inline(windows)).groupBy(*key, "begin").agg(F.first("held").alias("held"))
     bags = moved.select(*key, "begin", F.explode("held").alias("h")).groupBy(*key, "begin", "h").agg(F.count("*").alias("c"))
     weights = index.select("h", "w").distinct()
     rare = F.round(1000 * F.log1p(index.select(F.count_distinct("item_id").cast("double")).scalar())).cast("long")

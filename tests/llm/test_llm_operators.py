@@ -500,3 +500,15 @@ def test_extraction_is_widened_as_the_host_or_the_page_shows(spark):
     got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"Title\nlead {i}\n{a.strip()}\n{b.strip()}" for i in range(3))
     assert got[3] == a.strip() and got[9] == "ok"
+
+
+def test_windows_with_parts_in_another_order(spark):
+    rng = np.random.default_rng(14)
+    item = prose(rng, 60, 30_000).split()
+    swapped = item[30:] + item[:30]
+    texts = [" ".join(prose(rng, 80, 30_000).split() + swapped + prose(rng, 70, 30_000).split()), prose(rng, 200, 30_000)]
+    apart = prose(rng, 300, 30_000).split()
+    texts.append(" ".join(item[:30] + apart + item[30:]))  # both halves, but not in one window
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    got = [(r.doc_id, r.start, round(r.similarity, 2)) for r in decontaminate.report(frame(spark, texts), bench).collect()]
+    assert [(d, s) for d, s, _ in got] == [(0, 80)] and got[0][2] >= 0.8
