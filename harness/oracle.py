@@ -165,7 +165,18 @@ _CORRELATED = [
     "duration_sec",
     "distance_km",
     "speed_kmh",
+    "airport_fee",
+    "ehail_fee",
+    "trip_type",
 ]
+# all numeric columns of the united feeds
+_NUMERIC = ["total_amount", *_CORRELATED]
+_FEEDS = """(
+  SELECT *,
+    CASE color WHEN 'green' THEN l_linenumber / 4e0 ELSE 0e0 END AS ehail_fee,
+    CASE color WHEN 'green' THEN l_linenumber % 2 + 1e0 ELSE 0e0 END AS trip_type,
+    CASE color WHEN 'yellow' THEN CAST(l_linenumber % 3 AS DOUBLE) ELSE 0e0 END AS airport_fee
+  FROM trips)"""
 _TEXTS = [
     "color",
     "pu_borough",
@@ -183,8 +194,8 @@ def _union(parts: list[str]) -> str:
 
 def _summary() -> str:
     lines = []
-    for name in _EDA:
-        v = f"CAST({name} AS DOUBLE)"
+    for name in _NUMERIC:
+        v = f'CAST("{name}" AS DOUBLE)'
         stats = {
             "mean": f"avg({v})",
             "stddev": f"stddev_samp({v})",
@@ -195,7 +206,7 @@ def _summary() -> str:
             "p75": f"quantile_cont({v}, 0.75)",
         }
         columns = ", ".join(f'{_round(e, 6)} AS "{k}"' for k, e in stats.items())
-        lines.append(f"SELECT '{name}' AS \"column\", count({name}) AS \"count\", {columns} FROM trips")
+        lines.append(f"SELECT '{name}' AS \"column\", count(\"{name}\") AS \"count\", {columns} FROM {_FEEDS}")
     return _with(_union(lines))
 
 
@@ -215,7 +226,7 @@ def _target_correlation() -> str:
         _union(
             [
                 f"SELECT '{c}' AS \"column\", {_round(f'corr(coalesce(CAST(\"{c}\" AS DOUBLE), 0), coalesce(total_amount, 0))', 9)}"
-                " AS correlation FROM trips"
+                f" AS correlation FROM {_FEEDS}"
                 for c in _CORRELATED
             ]
         )

@@ -25,17 +25,6 @@ EDA_COLUMNS = [
     "total_amount",
     "tip_amount",
 ]
-CORRELATED = [
-    "trip_distance",
-    "tip_amount",
-    "passenger_count",
-    "payment_type",
-    "PULocationID",
-    "DOLocationID",
-    "duration_sec",
-    "distance_km",
-    "speed_kmh",
-]
 CATEGORIES = ["color", "pu_borough", "do_borough", "payment_type", "day_of_week"]
 EXACT = "exact_cents"
 
@@ -48,6 +37,10 @@ def _on_cleaned(report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: report(tv.cleaned_trips(spark, sf_dir))
 
 
+def _on_feeds(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: report(tv.cleaned_feeds(spark, sf_dir))
+
+
 def _on_raw(report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: report(tv.raw_trips(spark, sf_dir))
 
@@ -170,17 +163,17 @@ QUERIES: dict[str, Query] = {
     "duration_bins": _on_cleaned(reports.duration_bins),
     "duration_bin_revenue": _on_cleaned(lambda t: reports.duration_bin_revenue(t, money=EXACT)),
     # profiling
-    "summary": _on_cleaned(
+    "summary": _on_feeds(
         lambda t: _rounded(
-            profile.summary(t, EDA_COLUMNS, quartiles="exact"),
+            profile.summary(t, quartiles="exact"),
             6,
             *["mean", "stddev", "min", "max", "p25", "p50", "p75"],
         )
     ),
-    "summary_approx": _on_cleaned(lambda t: profile.summary(t, EDA_COLUMNS)),
+    "summary_approx": _on_feeds(profile.summary),
     "text_summary": _on_enriched(profile.text_summary),
-    "target_correlation": _on_cleaned(
-        lambda t: _rounded(profile.target_correlation(t, columns=CORRELATED), 9, "correlation")
+    "target_correlation": _on_feeds(
+        lambda t: _rounded(profile.target_correlation(t), 9, "correlation")
     ),
     "correlation_matrix": _on_cleaned(
         lambda t: _rounded(profile.correlation_matrix(t, EDA_COLUMNS), 9, "correlation")

@@ -126,10 +126,15 @@ def enriched_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(cleaned_trips(spark, sf_dir), zones(spark, sf_dir))
 
 
-def enriched_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full path from two differently shaped feeds to the enriched table."""
+def cleaned_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two differently shaped feeds, conformed, cleaned and united, with the columns that only one carries."""
     feeds = [
         clean(derive_measures(conform(raw_feed(spark, sf_dir, spec), spec)), LIMITS)
         for spec in (YELLOW_FEED, GREEN_FEED)
     ]
-    return enrich(union_feeds(*feeds), zones(spark, sf_dir))
+    return union_feeds(*feeds)
+
+
+def enriched_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full path from the feeds to the enriched table."""
+    return enrich(cleaned_feeds(spark, sf_dir), zones(spark, sf_dir))

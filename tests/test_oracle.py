@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from faremill.sources.catalog import numeric_columns
 from harness import compare
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -46,3 +47,11 @@ def test_attrition_golden_numbers(spark):
     got = {(r.color, r.rule): r.rows_after for r in rows}
     for rule, (green, yellow) in KEPT.items():
         assert (got["green", rule], got["yellow", rule]) == (green, yellow)
+
+
+def test_profiles_cover_all_numeric_columns_of_the_feeds(spark):
+    numeric = set(numeric_columns(contract.queries()["enriched_trips"](spark, SF_DIR)))
+    assert len(numeric) == 13 and {"ehail_fee", "trip_type", "airport_fee"} < numeric
+    for name, left_out in (("summary", set()), ("summary_approx", set()), ("target_correlation", {"total_amount"})):
+        got = {r["column"] for r in contract.queries()[name](spark, SF_DIR).collect()}
+        assert got == numeric - left_out
