@@ -153,7 +153,7 @@ lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS li
 parts AS (
   SELECT doc_id, line FROM lines UNION
   SELECT doc_id, unnest(string_split(regexp_replace(line, '([.!?;])[ \\t\\n\\x0b\\f\\r]+', '\\1' || chr(1), 'g'), chr(1))) FROM lines),
-held AS (SELECT DISTINCT doc_id, line, {normal('line')} AS plain FROM parts WHERE length(line) BETWEEN 1 AND 4000),
+held AS (SELECT DISTINCT doc_id, line, {normal('line')} AS plain FROM parts WHERE length(line) > 0),
 bags AS (SELECT doc_id, line, {pairs('plain')} AS pairs FROM held),
 scored AS (
   SELECT doc_id, notice, line, len(list_intersect(b.pairs, n.pairs)) AS common, len(b.pairs) + len(n.pairs) AS total

@@ -512,3 +512,10 @@ def test_windows_with_parts_in_another_order(spark):
     bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
     got = [(r.doc_id, r.start, round(r.similarity, 2)) for r in decontaminate.report(frame(spark, texts), bench).collect()]
     assert [(d, s) for d, s, _ in got] == [(0, 80)] and got[0][2] >= 0.8
+
+
+def test_licence_sql_takes_lines_of_any_length():
+    duckdb = pytest.importorskip("duckdb")
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents AS SELECT 1 AS doc_id, ? AS text", [" ".join(["all rights reserved"] * 300)])
+    assert [r[:2] for r in connection.execute(licences.scan_sql()).fetchall()] == [(1, "proprietary")]
