@@ -141,7 +141,7 @@ def ranked(df: DataFrame, *order: str) -> DataFrame:
 
 
 def _tree(frame: pd.DataFrame) -> tuple[pd.DataFrame, Node, int]:
-    frame = frame.sort_values("place", kind="stable")
+    frame = frame.astype({"grp": object, "leaf": object}).sort_values("place", kind="stable")
     root, levels = grown(frame["leaf"].tolist(), DEEP if frame["size"].iloc[0] > BLOCK else None)
     return frame, root, levels
 
@@ -175,7 +175,7 @@ def _proofs(frame: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         mine = "".join(before + after for before, after in siblings(root, steps))
         proofs.append(digest(mine + upper_text))
         ends.append(first if tampered is None else folded(replaced(root, steps, tampered).digest, upper))
-    made = pd.DataFrame({"doc_id": frame["doc_id"], "leaf": frame["leaf"], "subroot": subroot, "root": top})
+    made = pd.DataFrame({"doc_id": frame["doc_id"].astype(object), "leaf": frame["leaf"], "subroot": subroot, "root": top})
     return made.assign(proof_sha256=proofs, folded_root=ends, verified=[end == top for end in ends])
 
 
