@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import decontaminate, html_extract, jaccard_join, katz, licences, merkle, packing, quality_rules, resampling, sharding, spelling, toxicity
+from faremill.llm import decontaminate, html_extract, jaccard_join, katz, licences, merkle, nearest, packing, quality_rules, resampling, sharding, spelling, toxicity
 from faremill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def _variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read(spark, sf_dir, "documents"))
 
 
+def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_host_paths": _extraction,
     "op2_gumbel_resampling": _resampling,
@@ -71,12 +75,14 @@ QUERIES: dict[str, Query] = {
     "op8_licence_dice": _licences,
     "op9_boosted_toxicity": _toxicity,
     "op10_virtual_slots": _sharding,
+    "op11_int8_tiles": _nearest,
     "op12_prefix_suffix_tiles": _variants,
     "op13_path_copying": _manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op8_licence_dice": licences.scan_sql(),
+    "op11_int8_tiles": nearest.nearest_sql(),
     "op12_prefix_suffix_tiles": spelling.variants_sql(),
     "op13_path_copying": merkle.manifest_sql(),
 }

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.common import ascii_lower, small_side, stored, text_of
+from faremill.llm.common import ascii_lower, stored, text_of
 
 # fixed values: what a word consists of, and which words are damaged
 LETTERS = r"[A-Za-zÀ-ÿ]+"
@@ -223,13 +223,13 @@ def with_roots(found: DataFrame) -> DataFrame:
     pointers = found.where(F.col("form").isNotNull()).select(F.col("word").alias("from"), F.col("form").alias("to"))
     pointers = stored(pointers, "spelling-pointers")
     while True:
-        onward = small_side(pointers.select(F.col("from").alias("to"), F.col("to").alias("next")))
+        onward = pointers.select(F.col("from").alias("to"), F.col("to").alias("next"))
         jumped = pointers.join(onward, "to", "left")
         jumped = jumped.select("from", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved"))
         jumped = stored(jumped, "spelling-pointers")
         if jumped.where("moved").isEmpty():
             ends = pointers.select(F.col("from").alias("word"), F.col("to").alias("end"))
-            return found.join(small_side(ends), "word", "left").withColumn("root", F.coalesce("end", "word")).drop("end")
+            return found.join(ends, "word", "left").withColumn("root", F.coalesce("end", "word")).drop("end")
         pointers = jumped.select("from", "to")
 
 
