@@ -65,16 +65,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Remove a table of this run that nothing reads any more."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+#: Bytes of data, written as text, that may be broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
-#: Rows of a few numbers each that may be broadcast: some 30 MB.
-BROADCAST_ROWS = 1_000_000
-
-
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame, to be broadcast if it has been counted to hold few short rows; else joined by shuffle."""
-    return F.broadcast(df) if df.count() <= rows else df
+def small_side(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """The frame, to be broadcast if it has been measured to hold few bytes; else joined by shuffle."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long")).alias("size")).first()["size"] or 0
+    return F.broadcast(df) if size <= most else df

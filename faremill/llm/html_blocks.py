@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -31,10 +33,15 @@ JUNK_PARTS = re.compile(
 )
 # fixed values: what is or isn't beside the element, so not a name of its own ('no-sidebar')
 _FLAGS = re.compile(r"\b(?:no|with|without|has)[-_][\w-]+", re.IGNORECASE)
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.DOTALL
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+_BARE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+_TAG_START = re.compile(r"<[a-zA-Z/!?]")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# elements that a page may leave out, so its host's pages differ in them
+OPTIONAL = frozenset(("html", "body", "tbody"))
+#: Levels that a path names, and names of junk that are told apart inside each other; what lies deeper counts as its
+#: ancestor there.
+DEEPEST, NESTED = 100, 10
 _WORDS = re.compile(r"[a-z]+")
 _HUMPS = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -56,6 +63,10 @@ class _Open:
     junk: bool
     heading_only: bool = False
     names: tuple[int, ...] = ()
+    holder: str = ""  # path of the nearest container
+    title: bool = False  # inside a title
+    article: bool = False  # inside an article or main element
+    depth: int = 0
 
 
 @dataclass
@@ -65,6 +76,8 @@ class _Name:
     talk: bool
     chars: int = 0
     holds_page: bool = False
+    prose: bool = False  # a paragraph of an article
+    link_chars: int = 0
 
 
 @dataclass
@@ -103,6 +116,45 @@ def junk_name(tag: str, attrs: dict[str, str]) -> str:
     return names.lower() if not JUNK_WORDS.isdisjoint(class_words(names)) or JUNK_PARTS.search(names.lower()) else ""
 
 
+def _tags(html: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Start and end of each tag, "/" for an end tag, its name and its attributes; no name for comments and the like.
+
+    Every character is passed a fixed number of times: what no ">" follows is text, and once a tag's
+    quotes are found to be unbalanced up to the page's end, quotes count for nothing in later tags.
+    """
+    place, close, balanced = 0, 0, True
+    while start := _TAG_START.search(html, place):
+        at = start.start()
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            place = len(html) if end < 0 else end + 3
+            yield at, place, "", "", ""
+            continue
+        if close <= at:
+            close = html.find(">", at)
+        if close < 0:
+            return
+        if html[at + 1] in "!?":
+            place = close + 1
+            yield at, place, "", "", ""
+            continue
+        tag = _TAG.match(html, at) if balanced else None
+        if tag is None:
+            tag = _BARE_TAG.match(html, at, close + 1)
+            balanced = balanced and tag is None
+        if tag is None:  # "</" and no name
+            place = at + 2
+            continue
+        name = tag[2].lower()
+        place = tag.end()
+        yield at, place, tag[1], name, tag[3]
+        if name in RAW and not tag[1]:
+            after = re.compile(rf"</{re.escape(name)}\b", re.IGNORECASE).search(html, place)
+            end = html.find(">", after.end()) if after else -1
+            at, place = place, len(html) if end < 0 else end + 1
+            yield at, place, "", "", ""
+
+
 def blocks_of(html: str) -> list[Block]:
     """The page's blocks outside of menus, notices and the like, in page order.
 
@@ -110,11 +162,14 @@ def blocks_of(html: str) -> list[Block]:
     is still open at the end of the page ends there, so broken and cut markup gives what it holds. An
     element named like junk isn't junk if it holds more than half of the page's text and isn't beside it: it
     holds a title, main or article element, or the page has no main and article (discussions need the title or main).
+    Nor is a paragraph of an article that has more text than links.
     """
-    stack = [_Open("", "", False)]
+    stack = [_Open("body", ">body", False, holder=">body")]
     parts: list[tuple[str, bool, tuple[int, ...]]] = []
     runs: list[_Run] = []
     names: list[_Name] = []
+    opened: Counter[str] = Counter()
+    lines: list[int] = []  # places of open paragraphs and headings
     links = page_chars = 0
     marked = False  # whether main or article elements say where the page's text is
 
@@ -127,48 +182,42 @@ def blocks_of(html: str) -> list[Block]:
             page_chars += chars
             for name in top.names:
                 names[name].chars += chars
+                names[name].link_chars += chars if links else 0
 
     def flush() -> None:
         if parts:
-            holder = next((x.path for x in reversed(stack) if x.tag in CONTAINERS), "")
-            runs.append(_Run(holder, any(x.tag in ("h1", "h2") for x in stack), parts.copy()))
+            runs.append(_Run(stack[-1].holder, stack[-1].title, parts.copy()))
             parts.clear()
 
     def close(index: int) -> None:
         nonlocal links
-        if any(x.tag in BLOCKS for x in stack[index:]):
+        ended = stack[index:]
+        if any(x.tag in BLOCKS for x in ended):
             flush()
-        links -= sum(x.tag == "a" for x in stack[index:])
+        for x in ended:
+            opened[x.tag] -= 1
+            links -= x.tag == "a"
+        while lines and lines[-1] >= index:
+            lines.pop()
         del stack[index:]
 
     place, end = 0, len(html)
-    while place < end:
-        tag = _TAG.search(html, place)
-        if tag is None:
-            rest = html[place:]
-            cut = re.search(r"<[a-zA-Z/!][^<]*\Z", rest)  # a tag that the end of the page cuts off
-            add(rest[: cut.start()] if cut else rest)
-            break
-        add(html[place : tag.start()])
-        place = tag.end()
-        name = (tag[2] or "").lower()
+    for start, after, slash, name, source in _tags(html):
+        add(html[place:start])
+        place = after
         if not name:
             continue
-        if tag[1]:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name), 0)
-            if at:
-                close(at)
+        if slash:
+            if opened[name]:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name))
             continue
         if name in RAW:
-            after = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(html, place)
-            place = after.end() if after else end
             continue
         if name == "br":
             add(" ")
         if name in BLOCKS:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag in ("p", *HEADINGS)), 0)
-            if at and (name == "p" or name in HEADINGS or stack[at].tag == "p"):
-                close(at)
+            if lines and (name == "p" or name in HEADINGS or stack[lines[-1]].tag == "p"):
+                close(lines[-1])
             if name in ("li", "td", "th", "tr", "dt", "dd", "option"):
                 same = ("dt", "dd") if name in ("dt", "dd") else ("td", "th") if name in ("td", "th") else (name,)
                 at = len(stack) - 1
@@ -177,34 +226,42 @@ def blocks_of(html: str) -> list[Block]:
                 if at > 0 and stack[at].tag in same:
                     close(at)
             flush()
-        if name in VOID or tag[3].rstrip().endswith("/") and name not in BLOCKS:
+        if name in VOID or source.rstrip().endswith("/") and name not in BLOCKS:
             continue
         top = stack[-1]
-        attrs = attributes(tag[3]) if tag[3] else {}
+        attrs = attributes(source) if source else {}
         junk = top.junk or marks_junk(name, attrs)
         heading_only, inner = top.heading_only, top.names
-        called = "" if junk else junk_name(name, attrs)
+        called = "" if junk or len(inner) >= NESTED else junk_name(name, attrs)
         if called:
             inner = (*inner, len(names))
-            names.append(_Name(bool(TALK.search(called))))
+            names.append(_Name(bool(TALK.search(called)), prose=name == "p" and top.article))
         if name in ("h1", "main", "article"):
             marked |= name != "h1"
             for mark in inner:
                 names[mark].holds_page |= name != "article" or not names[mark].talk
         if name == "header":
-            inside = any(x.tag in ("article", "main") for x in stack)
-            junk, heading_only = junk or not inside, True
+            junk, heading_only = junk or not top.article, True
         elif name in HEADINGS:
             heading_only = False
         path = top.path
-        if name in BLOCKS:
+        if name in BLOCKS and name not in OPTIONAL and top.depth < DEEPEST:
             words = "-".join(sorted(set(class_words(attrs.get("class", "")))))
             path = f"{path}>{name}.{words}" if words else f"{path}>{name}"
         links += name == "a"
-        stack.append(_Open(name, path, junk, heading_only, inner))
+        opened[name] += 1
+        if name == "p" or name in HEADINGS:
+            lines.append(len(stack))
+        holder = path if name in CONTAINERS else top.holder
+        title, article = top.title or name in ("h1", "h2"), top.article or name in ("article", "main")
+        stack.append(_Open(name, path, junk, heading_only, inner, holder, title, article, top.depth + (name in BLOCKS)))
+    rest = html[place:end]
+    cut = re.search(r"<[a-zA-Z/!][^<]*\Z", rest)  # a tag that the end of the page cuts off
+    add(rest[: cut.start()] if cut else rest)
     flush()
     wrapper = lambda x: 2 * x.chars > page_chars and (x.holds_page or not marked and not x.talk)
-    junk_names = {i for i, x in enumerate(names) if not wrapper(x)}
+    prose = lambda x: x.prose and 2 * x.link_chars < x.chars
+    junk_names = {i for i, x in enumerate(names) if not wrapper(x) and not prose(x)}
     blocks = []
     for run in runs:
         held = [part for part in run.parts if junk_names.isdisjoint(part[2])]

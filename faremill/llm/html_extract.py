@@ -9,8 +9,8 @@
    holds none of them falls back on its own best container.
 
 A vote is at most three short rows a page, combined before the shuffle, so a host with a third of
-all pages costs its paths, not its pages. The join adds at most five paths to a page and carries no
-hint: Spark broadcasts the leaders where they measure small and splits a skewed host where not.
+all pages costs its paths, not its pages. The leaders are stored and measured: while they are small they
+are broadcast and pages stay where they are, beyond that Spark joins by host and splits a skewed one.
 
 Defined results: a null, empty or textless page gives an empty text; a page without a host in its
 url votes with all such pages; repeated pages repeat their result; a page of any length is read
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from faremill.llm.common import text_of
+from faremill.llm.common import small_side, stored, text_of
 from faremill.llm.html_blocks import best_first, blocks_of, container_scores, text_under, widened
 
 VOTES = 3
@@ -84,7 +84,7 @@ def host_leaders(pages: DataFrame, url: str = "url", html: str = "html", leaders
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Page id, url, main text and its length in code points."""
     source = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
-    winners = host_leaders(source)
+    winners = small_side(stored(host_leaders(source), "host-leaders"))
     joined = source.withColumn("host", host_of(F.col("url"))).join(winners, "host", "left")
     read = joined.select("page_id", "url", main_text(text_of("html"), F.col("paths"), F.col("reaches")).alias("text"))
     return read.withColumn("n_chars", F.length("text").cast("long"))

@@ -7,7 +7,7 @@ slots, writes a new version beside the old ones, and leaves all other slots wher
 Only one line per slot (at most ``slots``) reaches the driver, whatever the number of records.
 
 Defined results: a null text has no bytes and checksum 0; null and repeated ids are placed by
-id, checksum and size together; equal records share a slot and get successive positions there;
+id, checksum and size together; equal records are dealt over all slots, so that no slot outgrows the others;
 an empty table gives an empty result and a map of empty slots; other columns don't matter.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from faremill.llm.common import scratch_path, stored, text_of
+from faremill.llm.common import scratch_path, small_side, stored, text_of
 
 SLOTS = 4096
 MAP_SCHEMA = "version int, virtual_slot int, shard int, slot_bytes long, slot_rows long"
@@ -36,8 +36,14 @@ def records(df: DataFrame, doc_id: str = "doc_id", text: str = "text", slots: in
         (F.octet_length(body) + F.lit(1)).cast("long").alias("size"),
         F.crc32(body).cast("long").alias("text_crc32"),
     )
-    key = slot_of(F.col("doc_id"), F.col("text_crc32"), F.col("size"), slots=slots)
-    return light.withColumn("virtual_slot", key)
+    # equal records are dealt over the slots by the place that they are read at; all others by themselves alone
+    names = ["doc_id", "text_crc32", "size"]
+    several = light.groupBy(*names).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
+    several = small_side(stored(several.drop("copies").withColumn("salted", F.lit(True)), "shard-copies"))
+    same = [light[c].eqNullSafe(several[c]) for c in names]
+    marked = light.join(several, same, "left").select(*(light[c] for c in names), "salted")
+    salt = F.when(F.col("salted"), F.monotonically_increasing_id())
+    return marked.withColumn("virtual_slot", slot_of(*(F.col(c) for c in names), salt, slots=slots)).drop("salted")
 
 
 def slot_totals(placed: DataFrame, slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray]:
