@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -58,6 +58,11 @@ class Preprocessor:
     categorical: tuple[str, ...]
     category_sizes: tuple[int, ...]
 
+    @property
+    def labels(self) -> list[list[str]]:
+        """The known values of each category, in the order of their indices."""
+        return [list(values) for stage in self.model.stages for values in getattr(stage, "labelsArray", [])]
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``features`` (sparse vector), ``numeric_scaled`` and one index per category."""
         return self.model.transform(df)
@@ -122,9 +127,8 @@ def fit_preprocessor(
         ]
     )
     model = pipeline.fit(train)
-    indexer = model.stages[4]
-    sizes = tuple(len(labels) for labels in indexer.labelsArray)
-    return Preprocessor(model, tuple(numeric), tuple(categorical), sizes)
+    fitted = Preprocessor(model, tuple(numeric), tuple(categorical), ())
+    return replace(fitted, category_sizes=tuple(len(values) for values in fitted.labels))
 
 
 def with_log_target(df: DataFrame, label: str = LABEL) -> DataFrame:

@@ -1,16 +1,16 @@
-"""Data-parallel gradient training for losses and networks that ``pyspark.ml`` lacks.
+"""Synchronous gradient training for losses and networks that ``pyspark.ml`` lacks.
 
-Rows stay where Spark put them. In every epoch each partition starts from the shared
-parameters, runs minibatch updates over its own rows and returns its parameters weighted by
-row count; Spark sums these by position and the driver keeps the mean. One epoch is one job
-and moves parameters, never rows. With ``batch=None`` partitions return gradient sums
-instead and the driver takes one full-batch step per job.
+Rows stay where Spark put them. A step is one job: every task adds up the gradient of its rows at the
+shared parameters and returns one array, the arrays are added in a two-level tree, and the driver takes
+the step. No task updates parameters of its own, so neither cores, files nor partitions are part of the
+model. Mini-batches are chosen by row hash (``part``), which layouts don't change either; stored by
+``part``, a step reads its own rows only.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 # Tasks carry this module's functions with them, so workers need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Positions below zero carry the epoch's counters next to the parameter sums.
-_TRAIN_ROWS, _TRAIN_LOSS, _VAL_ROWS, _VAL_LOSS = -4, -3, -2, -1
+#: Rows that are never trained on, only scored.
+HELD_OUT = -1
+#: Arrays that the driver adds by itself; more are added in groups on the cluster first.
+FAN = 32
 
 
 @dataclass(frozen=True)
@@ -51,21 +53,16 @@ class Layout:
 
 @dataclass(frozen=True)
 class Training:
-    """Optimiser settings; ``batch=None`` means one synchronous full-batch step per job.
-
-    With ``per_row`` the SGD rate and its decay count rows, as if a batch were its rows one
-    after the other, evaluated at once.
-    """
+    """Optimiser settings: ``batches`` steps an epoch, each on the rows of one part of the hash."""
 
     loss: str = "squared"
     huber_epsilon: float = 0.1
     optimiser: str = "sgd"
     rate: float = 0.01
     power_t: float = 0.25
-    per_row: bool = False
     l1: float = 0.0
     l2: float = 0.0
-    batch: int | None = 200
+    batches: int = 1
     max_epochs: int = 50
     tolerance: float = 1e-4
     patience: int = 5
@@ -78,16 +75,16 @@ class TrainedModel:
     parameters: np.ndarray
     history: list[dict] = field(default_factory=list)
 
-    def prediction(self) -> Column:
-        """Vectorised score of the compact columns ``x0.. c0..``."""
+    def prediction(self, inputs: list[Column] | None = None) -> Column:
+        """Vectorised score of the compact columns ``x0.. c0..``, or of expressions in their place."""
         layout, parameters = self.layout, self.parameters
 
         @F.pandas_udf("double")
         def score(*columns: pd.Series) -> pd.Series:
-            inputs = design_matrix(np.column_stack([c.to_numpy(float) for c in columns]), layout)
-            return pd.Series(forward(parameters, inputs, layout)[-1])
+            matrix = design_matrix(np.column_stack([c.to_numpy(float) for c in columns]), layout)
+            return pd.Series(forward(parameters, matrix, layout)[-1])
 
-        return score(*[F.col(c) for c in layout.columns])
+        return score(*(inputs or [F.col(c) for c in layout.columns]))
 
     def save(self, spark: SparkSession, path: str) -> None:
         row = (
@@ -204,15 +201,9 @@ class Optimiser:
     def start(parameters: np.ndarray) -> Optimiser:
         return Optimiser(parameters, np.zeros_like(parameters), np.zeros_like(parameters), 0)
 
-    def copy(self) -> Optimiser:
-        return Optimiser(
-            self.parameters.copy(), self.first.copy(), self.second.copy(), self.steps
-        )
-
-    def step(self, gradient: np.ndarray, rows: int, mask: np.ndarray, training: Training) -> None:
-        """One update with the mean gradient of ``rows``: SGD or Adam, then proximal L1."""
-        weight = rows if training.per_row else 1
-        self.steps += weight
+    def step(self, gradient: np.ndarray, mask: np.ndarray, training: Training) -> None:
+        """One update with a mean gradient: SGD or Adam, then proximal L1."""
+        self.steps += 1
         gradient = gradient + training.l2 * mask * self.parameters
         if training.optimiser == "adam":
             self.first = 0.9 * self.first + 0.1 * gradient
@@ -222,7 +213,7 @@ class Optimiser:
             rate = training.rate
             self.parameters = self.parameters - rate * first / (np.sqrt(second) + 1e-8)
         else:
-            rate = training.rate * weight / self.steps**training.power_t
+            rate = training.rate / self.steps**training.power_t
             self.parameters = self.parameters - rate * gradient
         if training.l1:
             shrunk = np.maximum(np.abs(self.parameters) - rate * training.l1 * mask, 0.0)
@@ -232,140 +223,104 @@ class Optimiser:
 # --- one distributed pass ---------------------------------------------------------------
 
 
+def summed(rows: DataFrame, kernel: Callable[[pd.DataFrame], np.ndarray], size: int, fan: int = FAN) -> np.ndarray:
+    """The sum of ``kernel`` (an array of ``size`` numbers) over all batches of all tasks.
+
+    Every task returns one row. Up to ``fan`` of these go to the driver; more are first added in about as
+    many groups as each group has members. Rows are added in the order of their tasks.
+    """
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(size)
+        for batch in batches:
+            if len(batch):
+                total += kernel(batch)
+        yield pd.DataFrame({"task": [TaskContext.get().partitionId()], "sums": [total]})
+
+    def added(lines: pd.DataFrame) -> pd.DataFrame:
+        lines = lines.sort_values("task")
+        return pd.DataFrame({"task": lines["task"].iloc[:1], "sums": [np.sum(np.stack(lines["sums"]), axis=0)]})
+
+    shape = "task int, sums array<double>"
+    parts = rows.mapInPandas(partial, shape)
+    tasks = rows.rdd.getNumPartitions()
+    if tasks > fan:
+        groups = int(np.ceil(np.sqrt(tasks)))
+        parts = parts.groupBy(F.pmod("task", F.lit(groups)).alias("group")).applyInPandas(added, shape)
+    total = np.zeros(size)
+    for line in sorted(parts.collect(), key=lambda line: line["task"]):
+        total += np.asarray(line["sums"])
+    return total
+
+
+def batch_arrays(frame: pd.DataFrame, layout: Layout) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs and labels of one batch of compact rows."""
+    inputs = design_matrix(frame[layout.columns].to_numpy(float), layout)
+    return inputs, frame["label"].to_numpy(float)
+
+
 def fit(rows: DataFrame, layout: Layout, training: Training) -> TrainedModel:
-    """Train on ``rows``: compact columns, ``label`` and a boolean ``held_out``.
+    """Train on ``rows``: compact columns, ``label`` and ``part`` (from 0, or ``HELD_OUT``).
 
-    ``rows`` is read once per epoch, so hand in materialised data. Stops when the held-out
-    loss has not improved by ``tolerance`` for ``patience`` epochs; returns the best epoch.
+    Reads the rows of one part per step, so hand in data stored by part. Held-out rows are scored at
+    the start of each epoch. Stops when their loss has not improved by ``tolerance`` for ``patience``
+    epochs; returns the best epoch.
     """
     state = Optimiser.start(initial_parameters(layout, training.seed))
+    mask = weight_mask(layout)
     best, best_loss, waited = state.parameters, np.inf, 0
     history: list[dict] = []
     for epoch in range(training.max_epochs + 1):  # the last pass only scores
-        measured, following = _pass(rows, state, layout, training, epoch)
-        watched = measured["val_loss"] if measured["val_rows"] else measured["train_loss"]
+        start, seen = state.parameters, np.zeros(4)
+        order = np.random.default_rng([training.seed, epoch]).permutation(training.batches)
+        for turn, part in enumerate(order):
+            counters, gradient = _pass(rows, state.parameters, layout, training, int(part), turn == 0)
+            seen += counters
+            if epoch < training.max_epochs and counters[0]:
+                state.step(gradient / counters[0], mask, training)
+        measured = {
+            "train_rows": int(seen[0]),
+            "train_loss": seen[1] / seen[0] if seen[0] else 0.0,
+            "val_rows": int(seen[2]),
+            "val_loss": seen[3] / seen[2] if seen[2] else 0.0,
+        }
         history.append({"epoch": epoch, **measured})
+        watched = measured["val_loss"] if measured["val_rows"] else measured["train_loss"]
         waited = 0 if watched < best_loss - training.tolerance else waited + 1
         if watched < best_loss:
-            best, best_loss = state.parameters, watched
-        if waited >= training.patience or following is None:
+            best, best_loss = start, watched
+        if waited >= training.patience or not seen[0]:
             break
-        state = following
     return TrainedModel(layout, best, history)
 
 
 def distributed_gradient(
     rows: DataFrame, parameters: np.ndarray, layout: Layout, training: Training
 ) -> tuple[float, np.ndarray, int]:
-    """Full-batch loss and gradient sums over the training rows, and their number."""
-    sums = _sum_by_position(rows, Optimiser.start(parameters), layout, training, 0, True)
-    gradient = np.array([sums.get(i, 0.0) for i in range(layout.size)])
-    return sums.get(_TRAIN_LOSS, 0.0), gradient, int(sums.get(_TRAIN_ROWS, 0))
-
-
-def _pass(rows, state: Optimiser, layout: Layout, training: Training, epoch: int):
-    full_batch = training.batch is None
-    sums = _sum_by_position(rows, state, layout, training, epoch, full_batch)
-    n = sums.get(_TRAIN_ROWS, 0.0)
-    held = sums.get(_VAL_ROWS, 0.0)
-    measured = {
-        "train_rows": int(n),
-        "train_loss": sums.get(_TRAIN_LOSS, 0.0) / n if n else 0.0,
-        "val_rows": int(held),
-        "val_loss": sums.get(_VAL_LOSS, 0.0) / held if held else 0.0,
-    }
-    if not n:
-        return measured, None
-    size = layout.size
-    following = state.copy()
-    if full_batch:
-        gradient = np.array([sums[i] for i in range(size)]) / n
-        following.step(gradient, int(n), weight_mask(layout), training)
-        return measured, following
-    vector = np.array([sums[i] for i in range(3 * size + 1)]) / n
-    following.parameters = vector[:size]
-    following.first, following.second = vector[size : 2 * size], vector[2 * size : 3 * size]
-    following.steps = max(int(round(vector[3 * size])), state.steps + 1)
-    return measured, following
-
-
-def _sum_by_position(
-    rows: DataFrame,
-    state: Optimiser,
-    layout: Layout,
-    training: Training,
-    epoch: int,
-    full_batch: bool,
-) -> dict[int, float]:
-    """Run one pass and add up what partitions return; as many result rows as parameters."""
-    # plain arrays: a broadcast value, unlike the task's code, is not shipped with its class
-    shared = rows.sparkSession.sparkContext.broadcast(
-        (state.parameters, state.first, state.second, state.steps)
-    )
-    columns = layout.columns
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from partition_pass(
-            batches, Optimiser(*shared.value), columns, layout, training, epoch, full_batch
-        )
+    """Loss and gradient sums over the rows that aren't held out, and their number."""
+    counters, gradient = _pass(rows, parameters, layout, training, None, False)
+    return counters[1], gradient, int(counters[0])
+
+
+def _pass(rows, parameters: np.ndarray, layout: Layout, training: Training, part: int | None, score: bool):
+    """(training rows, their loss, held-out rows, their loss) and the gradient's sum, all at ``parameters``."""
+    wanted = F.col("part") != HELD_OUT if part is None else F.col("part") == part
+    if score:
+        wanted = wanted | (F.col("part") == HELD_OUT)
+    needed = rows.filter(wanted).select(*layout.columns, "label", "part")
 
-    needed = rows.select(*columns, "label", "held_out")
-    partial = needed.mapInPandas(run, "position int, total double")
-    result = partial.groupBy("position").agg(F.sum("total").alias("total")).collect()
-    shared.unpersist()
-    return {row["position"]: row["total"] for row in result}
-
-
-def partition_pass(
-    batches: Iterator[pd.DataFrame],
-    shared: Optimiser,
-    columns: list[str],
-    layout: Layout,
-    training: Training,
-    epoch: int,
-    full_batch: bool,
-) -> Iterator[pd.DataFrame]:
-    context = TaskContext.get()
-    partition = context.partitionId() if context else 0
-    random = np.random.default_rng([training.seed, epoch, partition])
-    local, mask = shared.copy(), weight_mask(layout)
-    total_gradient = np.zeros(layout.size)
-    counters = {_TRAIN_ROWS: 0.0, _TRAIN_LOSS: 0.0, _VAL_ROWS: 0.0, _VAL_LOSS: 0.0}
-    for frame in batches:
-        values = frame[columns].to_numpy(float)
-        label = frame["label"].to_numpy(float)
-        held = frame["held_out"].to_numpy(bool)
+    def kernel(frame: pd.DataFrame) -> np.ndarray:
+        out = np.zeros(4 + layout.size)
+        held = frame["part"].to_numpy() == HELD_OUT
         if held.any():
-            guess = forward(shared.parameters, design_matrix(values[held], layout), layout)[-1]
-            counters[_VAL_ROWS] += held.sum()
-            counters[_VAL_LOSS] += loss_of(guess - label[held], training)[0].sum()
-        values, label = values[~held], label[~held]
-        counters[_TRAIN_ROWS] += len(label)
-        order = np.arange(len(label)) if full_batch else random.permutation(len(label))
-        width = max(len(label), 1) if full_batch else training.batch
-        for start in range(0, len(label), width):
-            chosen = order[start : start + width]
-            inputs = design_matrix(values[chosen], layout)
-            loss, gradient = loss_and_gradient(
-                local.parameters, inputs, label[chosen], layout, training
-            )
-            counters[_TRAIN_LOSS] += loss
-            if full_batch:
-                total_gradient += gradient
-            else:
-                local.step(gradient / len(chosen), len(chosen), mask, training)
-    n = counters[_TRAIN_ROWS]
-    if n:
-        if full_batch:
-            vector = total_gradient
-        else:
-            vector = n * np.concatenate(
-                [local.parameters, local.first, local.second, [float(local.steps)]]
-            )
-        yield pd.DataFrame({"position": np.arange(len(vector), dtype="int32"), "total": vector})
-    yield pd.DataFrame(
-        {
-            "position": np.array(list(counters), dtype="int32"),
-            "total": np.array(list(counters.values()), dtype=float),
-        }
-    )
+            inputs, label = batch_arrays(frame[held], layout)
+            guess = forward(parameters, inputs, layout)[-1]
+            out[2:4] = held.sum(), loss_of(guess - label, training)[0].sum()
+        if not held.all():
+            inputs, label = batch_arrays(frame[~held], layout)
+            loss, out[4:] = loss_and_gradient(parameters, inputs, label, layout, training)
+            out[:2] = len(label), loss
+        return out
+
+    sums = summed(needed, kernel, 4 + layout.size)
+    return sums[:4], sums[4:]

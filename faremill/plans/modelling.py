@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faremill.functions.calendar import calendar_features
-from faremill.operators import gradient, regression, sampling
+from faremill.operators import gradient, least_squares, regression, sampling
 from faremill.operators.features import (
     CATEGORICAL,
     LABEL,
@@ -19,30 +19,25 @@ from faremill.operators.features import (
     original_scale,
     with_log_target,
 )
-from faremill.session import materialise
+from faremill.session import stored
 
-# Settings of the two gradient-trained regressors.
+# Loss, penalties and rate of the two gradient-trained regressors. Both are trained
+# synchronously, so passes and hash batches take the place of row-wise updates.
 HUBER = gradient.Training(
     loss="huber",
     huber_epsilon=0.1,
-    optimiser="sgd",
-    rate=0.01,
-    power_t=0.25,
-    per_row=True,
     l1=1e-4 * 0.15,
     l2=1e-4 * 0.85,
-    batch=16,
-    max_epochs=2000,
-    tolerance=1e-4,
-    patience=5,
+    max_epochs=100,
+    tolerance=1e-8,
 )
 MLP = gradient.Training(
     loss="squared",
     optimiser="adam",
-    rate=1e-3,
+    rate=5e-3,
     l2=1e-4 / 200,
-    batch=200,
-    max_epochs=300,
+    batches=8,
+    max_epochs=60,
     tolerance=1e-4,
     patience=10,
 )
@@ -85,28 +80,27 @@ def prepare(
     test_months: Sequence[str],
     unit: Column,
     compact: bool,
-    shards: int = 8,
+    batches: int = MLP.batches,
 ) -> Prepared:
     """Split by month and ``unit``, fit the encoder on ``train`` and store encoded rows.
 
-    Encoder and models read their input several times; both the split frame and the encoded
-    rows are therefore written to the shared checkpoint folder. Compact rows are dealt by
-    their hash to ``shards`` partitions in a fixed order. Each shard trains its own copy of the
-    parameters in every epoch, so their number is part of the model and a parameter: more of
-    them for more rows. Cores, source files and their order don't change the result.
+    Encoder and models read their input several times; both the split frame and the encoded rows are
+    therefore stored in the shared checkpoint folder, in folders by split and, where compact, by
+    ``part``: the mini-batch (or held-out rows) that a row's own hash puts it into. Cores, source files,
+    their order and the number of partitions change neither.
     """
     labelled = with_log_target(sampling.temporal_split(frame, test_months, unit))
     columns = ["split", "target", "label"]
-    stored = materialise(labelled.select(*columns, *NUMERIC, *CATEGORICAL))
-    encoder = fit_preprocessor(stored.filter(F.col("split") == "train"))
+    split = stored(labelled.select(*columns, *NUMERIC, *CATEGORICAL), "split-rows", "split")
+    encoder = fit_preprocessor(split.filter(F.col("split") == "train"))
     if not compact:
-        rows = encoder.transform(stored).select(*columns, "features")
-        return Prepared(encoder, materialise(rows), compact)
-    rows = encoder.compact(stored, *columns)
-    held_out = F.pmod(F.xxhash64(*rows.columns), F.lit(1000)) < int(1000 * VALIDATION_SHARE)
-    identity = F.xxhash64(*rows.columns)
-    spread = rows.withColumn("held_out", held_out).repartition(shards, identity).sortWithinPartitions(identity)
-    return Prepared(encoder, materialise(spread), compact)
+        rows = encoder.transform(split).select(*columns, "features")
+        return Prepared(encoder, stored(rows, "encoded-rows", "split"), compact)
+    rows = encoder.compact(split, *columns)
+    share = F.pmod(F.xxhash64(*rows.columns), F.lit(1000))
+    batch = F.pmod(F.xxhash64(F.lit("part"), *rows.columns), F.lit(batches)).cast("int")
+    part = F.when(share < int(1000 * VALIDATION_SHARE), gradient.HELD_OUT).otherwise(batch)
+    return Prepared(encoder, stored(rows.withColumn("part", part), "compact-rows", "split", "part"), compact)
 
 
 def linear_metrics(prepared: Prepared, clip: float | None = None) -> DataFrame:
@@ -122,7 +116,7 @@ def ridge_metrics(prepared: Prepared, alpha: float = 1.0, clip: float | None = N
 def huber_metrics(
     prepared: Prepared, training: gradient.Training = HUBER, clip: float | None = None
 ) -> DataFrame:
-    return _compact_metrics(prepared, "huber", fit_compact(prepared, (), training), clip)
+    return _compact_metrics(prepared, "huber", fit_huber(prepared, training), clip)
 
 
 def mlp_metrics(
@@ -134,12 +128,51 @@ def mlp_metrics(
     return _compact_metrics(prepared, "mlp", fit_compact(prepared, hidden, training), clip)
 
 
+def layout_of(prepared: Prepared, hidden: tuple[int, ...] = ()) -> gradient.Layout:
+    return gradient.Layout(len(prepared.encoder.numeric), prepared.encoder.category_sizes, hidden)
+
+
 def fit_compact(
     prepared: Prepared, hidden: tuple[int, ...], training: gradient.Training
 ) -> gradient.TrainedModel:
-    encoder = prepared.encoder
-    layout = gradient.Layout(len(encoder.numeric), encoder.category_sizes, hidden)
-    return gradient.fit(prepared.split("train"), layout, training)
+    return gradient.fit(prepared.split("train"), layout_of(prepared, hidden), training)
+
+
+def fit_linear(prepared: Prepared, alphas: Sequence[float] = (0.0,)) -> list[gradient.TrainedModel]:
+    """Ordinary least squares (0) and ridge models of compact rows, all from one pass."""
+    return least_squares.ridge_path(prepared.split("train"), layout_of(prepared), alphas)
+
+
+def fit_huber(prepared: Prepared, training: gradient.Training = HUBER) -> gradient.TrainedModel:
+    return least_squares.fit_huber(prepared.split("train"), layout_of(prepared), training)
+
+
+def input_names(prepared: Prepared) -> list[str]:
+    """A name for every parameter of a linear model, in order; the intercept last."""
+    labels = prepared.encoder.labels
+    blocks = [f"{c}={value}" for c, values in zip(prepared.encoder.categorical, labels) for value in values]
+    return [*prepared.encoder.numeric, *blocks, "intercept"]
+
+
+def optimality(prepared: Prepared, alpha: float = 1.0, tolerance: float = 1e-6) -> DataFrame:
+    """(model, input, optimal): whether each parameter of the linear models meets its condition of a minimum.
+
+    Least squares: residuals and inputs are orthogonal; ridge: up to the penalty's slope; Huber with L1:
+    the slope of the loss equals the penalty's, or is no greater where the parameter is zero.
+    """
+    rows, layout = prepared.split("train"), layout_of(prepared)
+    sums = least_squares.gram(rows, layout)
+    found = {}
+    for name, penalty in (("linear", 0.0), ("ridge", alpha)):
+        parameters = least_squares.solved(sums, penalty)
+        slope = sums.xx @ parameters - sums.xy
+        slope[:-1] += penalty * parameters[:-1]
+        found[name] = slope / max(sums.rows, 1)
+    robust = fit_huber(prepared)
+    state = least_squares.huber_state(rows, robust.parameters, layout, HUBER)
+    found["huber"] = least_squares.conditions(state, robust.parameters, HUBER)
+    lines = [(m, n, bool(abs(x) <= tolerance)) for m, left in found.items() for n, x in zip(input_names(prepared), left)]
+    return prepared.rows.sparkSession.createDataFrame(lines, "model string, input string, optimal boolean")
 
 
 def shortened(training: gradient.Training, max_epochs: int) -> gradient.Training:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,3 +71,16 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` as a table of the shared checkpoint folder and read it back.
+
+    Like ``materialise``, but later reads prune columns and, with ``partition_by``, folders.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -12,11 +12,13 @@ from faremill.functions.money import clean_target
 from faremill.functions.portions import unit_hash
 from faremill.operators import baseline, enrich, features, profile, quality, sampling
 from faremill.plans import modelling, reports
+from harness import models
 from harness import trip_view as tv
+from harness.models import ROW_KEYS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ROW_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+# The columns that the published analysis lists.
 EDA_COLUMNS = [
     "passenger_count",
     "distance_km",
@@ -132,11 +134,6 @@ def _modes(trips: DataFrame) -> DataFrame:
     return features.column_modes(modelling.model_frame(trips), features.CATEGORICAL)
 
 
-def _prepared(trips: DataFrame, compact: bool) -> modelling.Prepared:
-    frame = modelling.model_frame(trips, *ROW_KEYS)
-    return modelling.prepare(frame, tv.TEST_MONTHS, unit_hash(*ROW_KEYS, seed=43), compact)
-
-
 # Reports that need no zone run on the cleaned trips: a left join cannot change them.
 QUERIES: dict[str, Query] = {
     # cleaning and enrichment
@@ -195,8 +192,9 @@ QUERIES: dict[str, Query] = {
     # modelling
     "mode_imputation": _on_enriched(_modes),
     "log_target": _on_cleaned(_log_target),
-    "linear_metrics": _on_enriched(lambda t: modelling.linear_metrics(_prepared(t, False))),
-    "ridge_metrics": _on_enriched(lambda t: modelling.ridge_metrics(_prepared(t, False))),
-    "huber_metrics": _on_enriched(lambda t: modelling.huber_metrics(_prepared(t, True))),
-    "mlp_metrics": _on_enriched(lambda t: modelling.mlp_metrics(_prepared(t, True))),
+    "linear_metrics": _on_enriched(lambda t: modelling.linear_metrics(models.prepared(t, False))),
+    "ridge_metrics": _on_enriched(lambda t: modelling.ridge_metrics(models.prepared(t, False))),
+    "huber_metrics": _on_enriched(lambda t: modelling.huber_metrics(models.prepared(t))),
+    "mlp_metrics": _on_enriched(lambda t: modelling.mlp_metrics(models.prepared(t))),
+    **{name: _on_enriched(query) for name, query in models.QUERIES.items()},
 }

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from dataclasses import replace
 
 import numpy as np
@@ -8,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faremill.functions import unit_hash
-from faremill.operators import gradient, regression
+from faremill.operators import gradient, least_squares, regression, saved
 from faremill.operators.features import column_modes, fit_preprocessor, with_log_target
 from faremill.operators.gradient import Layout, Training
 from faremill.plans import modelling
@@ -52,7 +55,7 @@ def vectors(frame):
 
 @pytest.fixture(scope="module")
 def compact(frame):
-    return modelling.prepare(frame, ["2024-10"], unit_hash("id"), compact=True, shards=4)
+    return modelling.prepare(frame, ["2024-10"], unit_hash("id"), compact=True, batches=4)
 
 
 def test_modes_prefer_the_smallest_on_ties(spark):
@@ -122,7 +125,7 @@ def test_distributed_gradient_equals_single_process(compact, hidden, loss):
     parameters = np.random.default_rng(1).normal(0, 0.3, layout.size)
     rows = compact.split("train")
     total, slope, n = gradient.distributed_gradient(rows, parameters, layout, training)
-    pdf = rows.filter("NOT held_out").toPandas()
+    pdf = rows.filter("part >= 0").toPandas()
     inputs = gradient.design_matrix(pdf[layout.columns].to_numpy(float), layout)
     label = pdf["label"].to_numpy(float)
     want_loss, want = gradient.loss_and_gradient(parameters, inputs, label, layout, training)
@@ -140,18 +143,18 @@ def test_distributed_gradient_equals_single_process(compact, hidden, loss):
 
 def test_full_batch_training_lowers_the_loss(compact):
     layout = Layout(5, compact.encoder.category_sizes)
-    training = Training(rate=0.2, power_t=0.0, batch=None, max_epochs=6)
-    model = gradient.fit(compact.split("train"), layout, training)
+    training = Training(rate=0.2, power_t=0.0, max_epochs=6)
+    model = gradient.fit(compact.split("train").withColumn("part", F.lit(0)), layout, training)
     losses = [h["train_loss"] for h in model.history]
     assert len(losses) == 7 and losses == sorted(losses, reverse=True)
 
 
 def test_huber_and_network_learn_and_round_trip(spark, compact, tmp_path):
-    huber = modelling.fit_compact(compact, (), modelling.shortened(modelling.HUBER, 25))
-    assert huber.history[-1]["val_loss"] < 0.3 * huber.history[0]["val_loss"]
-    assert huber.history[0]["val_rows"] > 0
-    small_batches = replace(modelling.MLP, batch=16, max_epochs=12)
-    net = modelling.fit_compact(compact, (16, 8), small_batches)
+    huber = modelling.fit_huber(compact)
+    assert huber.history[-1]["objective"] < huber.history[0]["objective"] and huber.history[-1]["gap"] <= 1e-8
+    few_batches = replace(modelling.MLP, batches=4, max_epochs=25)
+    net = modelling.fit_compact(compact, (16, 8), few_batches)
+    assert net.history[0]["val_rows"] > 0
     assert min(h["val_loss"] for h in net.history) < 0.2 * net.history[0]["val_loss"]
     net.save(spark, str(tmp_path / "net"))
     loaded = gradient.TrainedModel.load(spark, str(tmp_path / "net"))
@@ -163,8 +166,8 @@ def test_huber_and_network_learn_and_round_trip(spark, compact, tmp_path):
 
 def test_l1_drives_weights_to_zero(compact):
     layout = Layout(5, compact.encoder.category_sizes)
-    heavy = Training(rate=0.1, power_t=0.0, l1=5.0, batch=None, max_epochs=5)
-    model = gradient.fit(compact.split("train"), layout, heavy)
+    heavy = Training(rate=0.1, power_t=0.0, l1=5.0, max_epochs=5)
+    model = gradient.fit(compact.split("train").withColumn("part", F.lit(0)), layout, heavy)
     assert (model.parameters[:-1] == 0).all()
 
 
@@ -187,3 +190,88 @@ def test_log_target(spark):
     df = with_log_target(spark.createDataFrame([(None,), (-1.0,), (9.0,)], "total_amount double").coalesce(1))
     assert [r.target for r in df.collect()] == [0.001, 0.001, 9.0]
     assert df.collect()[2].label == pytest.approx(np.log(10))
+
+
+@pytest.mark.parametrize("partitions, fan", [(1, 32), (4, 32), (9, 2)])
+def test_training_does_not_depend_on_the_layout(compact, partitions, fan, monkeypatch):
+    """Equal parameters from any number of partitions, added by the driver or in groups first."""
+    monkeypatch.setattr(gradient.summed, "__defaults__", (fan,))
+    rows = compact.split("train").repartition(partitions).cache()
+    layout = Layout(5, compact.encoder.category_sizes, (3,))
+    model = gradient.fit(rows, layout, replace(modelling.MLP, batches=4, max_epochs=2))
+    want = gradient.fit(compact.split("train"), layout, replace(modelling.MLP, batches=4, max_epochs=2))
+    assert model.parameters == pytest.approx(want.parameters, abs=1e-9)
+    robust = least_squares.fit_huber(rows, Layout(5, compact.encoder.category_sizes), modelling.HUBER)
+    assert robust.parameters == pytest.approx(modelling.fit_huber(compact).parameters, abs=1e-7)
+
+
+def test_gram_solves_every_penalty_and_singular_blocks(compact):
+    layout = modelling.layout_of(compact)
+    pdf = compact.split("train").toPandas()
+    x = gradient.design_matrix(pdf[layout.columns].to_numpy(float), layout)
+    y = pdf["label"].to_numpy(float)
+    xc, yc = x - x.mean(axis=0), y - y.mean()
+    models = modelling.fit_linear(compact, (0.0, 1.0, 50.0))
+    least = np.linalg.lstsq(xc, yc, rcond=1e-10)[0]
+    assert models[0].parameters[:-1] == pytest.approx(least, abs=1e-7)
+    for model, alpha in zip(models[1:], (1.0, 50.0)):
+        want = np.linalg.solve(xc.T @ xc + alpha * np.eye(x.shape[1]), xc.T @ yc)
+        assert model.parameters[:-1] == pytest.approx(want, abs=1e-8)
+        assert model.parameters[-1] == pytest.approx(y.mean() - x.mean(axis=0) @ want, abs=1e-8)
+    sums = least_squares.gram(compact.split("train"), layout)
+    residual = y - x @ models[1].parameters[:-1] - models[1].parameters[-1]
+    assert sums.squared_error(models[1].parameters) == pytest.approx(residual @ residual, rel=1e-6)
+
+
+def test_penalised_minimum_meets_its_conditions():
+    draw = np.random.default_rng(8)
+    for _ in range(20):
+        half = draw.normal(size=(40, 12))
+        a, b = half.T @ half / 40 + 1e-4 * np.eye(12), draw.normal(size=12)
+        l1 = np.append(np.full(11, draw.uniform(0.05, 2.0)), 0.0)
+        w = least_squares.penalised_minimum(a, b, l1, draw.normal(size=12) * draw.integers(0, 2, 12))
+        slope = a @ w - b
+        assert np.abs(np.where(w != 0, slope + l1 * np.sign(w), 0.0)).max() < 1e-9
+        assert (np.abs(slope[w == 0]) <= l1[w == 0] + 1e-9).all()
+
+
+def test_huber_minimum_beats_its_neighbours(compact):
+    layout, training = modelling.layout_of(compact), replace(modelling.HUBER, l1=0.01)
+    model = modelling.fit_huber(compact, training)
+    assert (model.parameters[:-1] == 0).any() and (model.parameters[:-1] != 0).any()
+    draw = np.random.default_rng(9)
+    near = [model.parameters] + [model.parameters + draw.normal(size=layout.size) * 10.0**-k for k in (1, 2, 3, 4)]
+    values = least_squares.huber_objectives(compact.split("train"), near, layout, training)
+    assert values.argmin() == 0
+
+
+def test_saved_pipelines_score_raw_trips_alike(spark, frame, compact, tmp_path):
+    """A saved model needs nothing but its folder: a new session loads it and predicts the same."""
+    raw = frame.drop("month", "day_of_week", "hour_of_day").withColumn("pickup_ts", F.expr("timestamp'2024-07-01' + make_dt_interval(0, id)"))
+    models = dict(zip(("linear", "ridge"), modelling.fit_linear(compact, (0.0, 1.0))))
+    models["huber"] = modelling.fit_huber(compact)
+    models["mlp"] = modelling.fit_compact(compact, (4, 3), modelling.shortened(modelling.MLP, 2))
+    for name, model in models.items():
+        pipeline = saved.amount_pipeline(compact.encoder, model, clip=9.0)
+        path = str(tmp_path / name)
+        regression.save_model(pipeline, path)
+        before = pipeline.transform(raw).select("id", "prediction").orderBy("id").collect()
+        code = (
+            "import sys; sys.path.insert(0, sys.argv[1])\n"
+            "from faremill.session import get_session; from faremill.operators.regression import load_pipeline\n"
+            "spark = get_session(master='local[1]')\n"
+            "model = load_pipeline(sys.argv[2]); rows = spark.read.parquet(sys.argv[3])\n"
+            "print(','.join(repr(r.prediction) for r in model.transform(rows).orderBy('id').collect()))"
+        )
+        if name == "mlp":
+            raw.limit(50).write.mode("overwrite").parquet(str(tmp_path / "raw"))
+            some = [r.id for r in spark.read.parquet(str(tmp_path / "raw")).orderBy("id").collect()]
+            root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+            out = subprocess.run([sys.executable, "-c", code, root, path, str(tmp_path / "raw")], capture_output=True, text=True, check=True)
+            known = {r.id: r.prediction for r in before}
+            assert [float(x) for x in out.stdout.strip().splitlines()[-1].split(",")] == [known[i] for i in some]
+        again = regression.load_pipeline(path).transform(raw).select("id", "prediction").orderBy("id").collect()
+        assert again == before
+        direct = compact.encoder.compact(saved.CalendarFeatures(inputCol="pickup_ts").transform(raw), "id")
+        want = {r.id: r.p for r in direct.select("id", F.expm1(F.least(model.prediction(), F.lit(9.0))).alias("p")).collect()}
+        assert all(r.prediction == pytest.approx(want[r.id], rel=1e-9) for r in before)

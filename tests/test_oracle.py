@@ -11,7 +11,6 @@ from faremill.sources.catalog import numeric_columns
 from harness import compare
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SLOW = {"huber_metrics", "mlp_metrics"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="provided tables not present")
 
@@ -27,7 +26,7 @@ def test_query_equals_oracle(spark, connection, name):
     assert compare.difference(actual, connection, contract.oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql())))
 def test_query_without_oracle_runs(spark, name):
     assert contract.queries()[name](spark, SF_DIR).count() > 0
 
