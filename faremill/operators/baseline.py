@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from faremill.functions.calendar import (
     hour_of_day,
     in_months,
+    instant,
     month_key,
     weekday_name,
     weekday_number,
@@ -35,6 +36,15 @@ def holdout_rows(trips: DataFrame, test_months: Sequence[str]) -> DataFrame:
     )
 
 
+def needed_trips(
+    trips: DataFrame, test_months: Sequence[str], history_before: str | None = None
+) -> DataFrame:
+    """The trips whose cells a lookup can find, as a time range that reaches the scan."""
+    if history_before is None:
+        return trips.filter(in_months(list(test_months), trips=trips))
+    return trips.filter(F.col("pickup_ts") < instant(f"{history_before}-01"))
+
+
 def history_keys(history_before: str | None) -> list[str]:
     """Join keys: without test months in the lookup, the month cannot be part of the key."""
     return [k for k in CELL_KEYS if history_before is None or k != "month_ym"]

@@ -15,7 +15,7 @@ from faremill.functions.calendar import (
     weekday_name,
     weekday_number,
 )
-from faremill.functions.money import average_money
+from faremill.functions.money import average_money, to_cents
 from faremill.functions.trip import duration_minutes
 from faremill.operators.quantiles import exact_quantiles
 from faremill.operators.ranking import top_per_group, top_ranks, total_of
@@ -155,7 +155,7 @@ def cell_stats(trips: DataFrame, money: str = "round") -> DataFrame:
             F.count(F.lit(1)).alias("total_trips"),
             F.round(F.avg("distance_km"), 2).alias("avg_distance_km"),
             average_money("total_amount", money).alias("avg_amount_per_trip"),
-            F.round(F.sum("total_amount"), 2).alias("total_amount_paid"),
+            (F.sum(to_cents("total_amount")) / 100).alias("total_amount_paid"),
         )
     )
     labels = {"month_ym": month_key("month_start"), "dow_name": weekday_name("dow")}
@@ -178,14 +178,15 @@ def pair_revenue_share(trips: DataFrame, year: int, top: int = 10) -> DataFrame:
             in_year(year, trips=trips) & F.col("pu_borough").isNotNull() & F.col("do_borough").isNotNull()
         )
         .groupBy("pu_borough", "do_borough")
-        .agg(F.round(F.sum("total_amount"), 2).alias("total_revenue"))
+        .agg(F.sum(to_cents("total_amount")).alias("cents"))
     )
-    leaders = top_ranks(pairs, "total_revenue", top)
-    share = F.try_divide(F.col("total_revenue") * 100, total_of(pairs, "total_revenue"))
+    # whole cents: ranks, cut and total are the same in every evaluation
+    leaders = top_ranks(pairs, "cents", top)
+    share = F.try_divide(F.col("cents") * 100, total_of(pairs, "cents"))
     return leaders.select(
         "pu_borough",
         "do_borough",
-        "total_revenue",
+        (F.col("cents") / 100).alias("total_revenue"),
         F.round(share, 2).alias("revenue_share_pct"),
     ).orderBy(F.col("total_revenue").desc(), "pu_borough", "do_borough")
 

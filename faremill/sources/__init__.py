@@ -4,7 +4,8 @@ from faremill.sources.catalog import (
     numeric_columns,
     schema_report,
 )
-from faremill.sources.readers import list_files, preview, read_trips, read_zones, table
+from faremill.sources.readers import list_files, preview, read_trips, read_zones, read_zones_checked, table
+from faremill.sources.versions import publish, refresh_partitions, save_bucketed, version_path
 from faremill.sources.writers import save_table, save_trips, temp_view
 
 __all__ = [
@@ -14,10 +15,15 @@ __all__ = [
     "numeric_columns",
     "preview",
     "read_trips",
+    "publish",
     "read_zones",
+    "read_zones_checked",
+    "refresh_partitions",
+    "save_bucketed",
     "save_table",
     "save_trips",
     "schema_report",
     "table",
     "temp_view",
+    "version_path",
 ]

@@ -25,6 +25,23 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
     return normalise_zones(raw)
 
 
+def read_zones_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Zones of the well-formed lines, and the other lines as text (``line``), of a CSV read by its declared types.
+
+    A line with another number of fields, or a key that isn't a number, is kept as a rejected line.
+    """
+    bad = T.StructField("_line", T.StringType())
+    declared = T.StructType([*[T.StructField(f.name, f.dataType) for f in ZONE_CONTRACT], bad])
+    options = {"header": True, "columnNameOfCorruptRecord": bad.name, "ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
+    raw = spark.read.schema(declared).options(**options).csv(path)
+    good = normalise_zones(raw.filter(F.col(bad.name).isNull()))
+    # only columns that a query names are parsed, and so checked: all are named here, though never used
+    line = F.coalesce(F.col(bad.name), F.concat_ws(",", *ZONE_CONTRACT.fieldNames())).alias("line")
+    # a plain test of the flag would be pushed into the parser, which sets it only afterwards
+    flagged = F.coalesce(F.length(bad.name), F.lit(-1)) >= 0
+    return good, raw.filter(flagged).select(line)
+
+
 def normalise_zones(raw: DataFrame) -> DataFrame:
     key, *labels = ZONE_CONTRACT.fieldNames()
     return raw.select(
@@ -38,11 +55,12 @@ def table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def list_files(df: DataFrame) -> DataFrame:
-    """Files behind a file-based scan, one row per file, without reading row data."""
-    return df.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size"),
-    ).distinct()
+    """Files behind a file-based scan, one row per file, from its file index; no row is read."""
+    files = df.inputFiles()
+    if not files:
+        return df.sparkSession.createDataFrame([], "file_path string, file_size long")
+    listed = df.sparkSession.read.format("binaryFile").load(files)
+    return listed.select(F.col("path").alias("file_path"), F.col("length").alias("file_size"))
 
 
 def preview(df: DataFrame, n: int = 10, *order_by) -> DataFrame:

@@ -59,11 +59,10 @@ def difference(actual: DataFrame, connection: duckdb.DuckDBPyConnection, sql: st
 
 def main(argv: list[str]) -> int:
     from faremill.session import get_session
-    from harness.model_sql import ORACLE as MODELS
-    from harness.oracle import ORACLE as REPORTS
+    from harness import model_sql, oracle, table_sql
     from harness.registry import QUERIES
 
-    ORACLE = REPORTS | MODELS
+    ORACLE = oracle.ORACLE | model_sql.ORACLE | table_sql.ORACLE
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     wanted = argv[1:] or list(QUERIES)
     spark = get_session("compare", master="local[8]", shuffle_partitions=8)

@@ -12,7 +12,7 @@ from faremill.functions.money import clean_target
 from faremill.functions.portions import unit_hash
 from faremill.operators import baseline, enrich, features, profile, quality, sampling
 from faremill.plans import modelling, reports
-from harness import models
+from harness import models, tables
 from harness import trip_view as tv
 from harness.models import ROW_KEYS
 
@@ -98,19 +98,20 @@ def _native_split(trips: DataFrame) -> DataFrame:
 
 
 def _baseline_rows(trips: DataFrame) -> DataFrame:
-    predicted = baseline.baseline_predictions(trips, _cells(trips), tv.TEST_MONTHS)
+    cells = _cells(baseline.needed_trips(trips, tv.TEST_MONTHS))
+    predicted = baseline.baseline_predictions(trips, cells, tv.TEST_MONTHS)
     return _rounded(predicted, 6, "y_hat")
 
 
 def _baseline_metrics(trips: DataFrame) -> DataFrame:
-    scored = baseline.baseline_metrics(trips, _cells(trips), tv.TEST_MONTHS)
+    cells = _cells(baseline.needed_trips(trips, tv.TEST_MONTHS))
+    scored = baseline.baseline_metrics(trips, cells, tv.TEST_MONTHS)
     return _rounded(scored, 6, "coverage", "rmse")
 
 
 def _baseline_history(trips: DataFrame) -> DataFrame:
-    scored = baseline.baseline_metrics(
-        trips, _cells(trips), tv.TEST_MONTHS, history_before=tv.TEST_MONTHS[0]
-    )
+    cells = _cells(baseline.needed_trips(trips, tv.TEST_MONTHS, tv.TEST_MONTHS[0]))
+    scored = baseline.baseline_metrics(trips, cells, tv.TEST_MONTHS, history_before=tv.TEST_MONTHS[0])
     return _rounded(scored, 6, "coverage", "rmse")
 
 
@@ -197,4 +198,6 @@ QUERIES: dict[str, Query] = {
     "huber_metrics": _on_enriched(lambda t: modelling.huber_metrics(models.prepared(t))),
     "mlp_metrics": _on_enriched(lambda t: modelling.mlp_metrics(models.prepared(t))),
     **{name: _on_enriched(query) for name, query in models.QUERIES.items()},
+    # stored tables and sketches
+    **tables.QUERIES,
 }
