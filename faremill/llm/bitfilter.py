@@ -1,8 +1,9 @@
-"""A bitmap of fixed size that tells which rows can't belong to a set of keys.
+"""A bitmap that tells which rows can't belong to a set of keys.
 
-It is a one-hash Bloom filter: the cluster ors the bits of all keys together, at most ``BITS / 64``
-numbers reach the driver, and rows whose bit is unset are known to be strangers. Rows that pass still
-need an exact join; as the set grows the filter passes more, and the result stays the same.
+It is a one-hash Bloom filter of some sixteen bits a key, between ``BITS`` and ``MOST`` (32 MB): the cluster
+ors the bits of all keys together, at most one number per 64 bits reaches the driver, and rows whose bit
+is unset are known to be strangers. Rows that pass still need an exact join; beyond ``MOST`` the filter
+passes more, and the result stays the same.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BITS = 1 << 22
+BITS, MOST = 1 << 22, 1 << 28
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,8 @@ class BitFilter:
         return (self.table.value[spots >> 6] >> np.mod(hashes, 64).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def bit_filter(keys: DataFrame, column: str, bits: int = BITS) -> BitFilter:
+def bit_filter(keys: DataFrame, column: str) -> BitFilter:
+    bits = min(max(BITS, 1 << (16 * keys.count()).bit_length()), MOST)
     key = F.xxhash64(F.col(column))
     bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{column}`), 64) as int))")
     words = (

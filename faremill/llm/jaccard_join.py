@@ -9,10 +9,14 @@
 3. Groups of classes that show a signature are candidates. A group isn't expanded into pairs: its most
    central member (the one whose signatures are most frequent) is compared with all others, verified
    pairs are joined to components, and the group is finished once it lies in one component. After two
-   such rounds what remains is settled exactly: small groups (up to ``SMALL``) compare the pairs that
-   lie in different components. In larger groups two members in different components can only be
-   linked if both differ from the pivot in a common shingle (a member that isn't linked to the pivot
-   has a larger difference from it than a link allows), so they meet by these shingles.
+   such rounds small groups (up to ``SMALL``) compare the pairs that lie in different components.
+   Larger groups are narrowed: members are told apart by their differences to the pivot. Of two linked
+   members in different components at least one isn't linked to the pivot, which bounds how much of their
+   differences they must share; so they share one of the first items of both, rarest first (see
+   ``_narrowed``), and items that hardly any member has separate nearly all of them at once. The narrower
+   groups go through the same steps, with new pivots, until all are settled; each lacks its old pivot, so
+   they shrink. Where up to ``FEW`` members of a narrower group come into question as the one with less
+   difference, these are compared with all others.
 4. Every candidate pair is verified on the whole sets: ``100 * common >= percent * union``.
 
 Nothing about documents, candidates or components reaches the driver, except a bitmap of fixed size
@@ -27,6 +31,7 @@ identified by 64-bit hashes; n classes collide with a probability below n * n /
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +46,8 @@ from faremill.llm.common import fresh, stored, text_of
 from faremill.llm.graph import components
 from faremill.llm.segments import WordHashes, allocate, set_id, shingles, signatures
 
-SMALL = 64
+#: Members of a group whose pairs are compared directly; and ``first`` members that are compared with all of a larger one.
+SMALL, FEW = 64, 8
 ROUNDS = 2
 SET = T.StructType([T.StructField("n", T.LongType()), T.StructField("id", T.LongType())])
 
@@ -180,27 +186,86 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _last_pairs(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs in different components that may still link: see step 3 of the module's description."""
-    small = groups.where(F.col("n") <= SMALL)
-    one, two = (small.select("grp", F.col("class").alias(x), F.col("label").alias(f"{x}_label")) for x in "ab")
-    near = one.join(two, "grp").where((F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label"))).select("a", "b")
-    # the pivot of the first round: labels have changed since, its group hasn't
-    large = groups.where(F.col("n") > SMALL).select("p0", "class", "label").distinct()
-    pivots = sets.select(F.col("class").alias("p0"), F.col("items").alias("p_items"))
-    apart = large.join(sets, "class").join(pivots, "p0")
-    apart = apart.select(
-        "p0",
-        "class",
-        "label",
-        F.explode(F.array_union(F.array_except("items", "p_items"), F.array_except("p_items", "items"))).alias("item"),
+def _pairs_within(groups: DataFrame) -> DataFrame:
+    """Pairs that lie in different components, one of them marked ``first``; for groups where these are few."""
+    keep = lambda x: groups.select("grp", F.col("class").alias(x), F.col("label").alias(f"{x}_label"), F.col("first").alias(f"{x}_first"))
+    near = keep("a").where("a_first").join(keep("b"), "grp")
+    # of two first ones, each pair once
+    apart = (F.col("a_label") != F.col("b_label")) & ((F.col("a") < F.col("b")) | ~F.col("b_first"))
+    return _ordered(near.where(apart).select("a", "b"))
+
+
+def _narrowed(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(grp, class, width, first): narrower groups in which linked members of different components meet again.
+
+    A member's items that no other one has can't be shared, so with r others it links with none of more
+    than a = r (100 + percent) / percent - n items. Members that no other one is small enough for, or that
+    are too large for all others, are done: so are pages of one template with much text of their own.
+
+    D(x) is the symmetric difference of x and the pivot p, d(x) its size. Linked x and y of sizes n and m
+    differ in at most h(n + m) = (n + m)(100 - percent)/(100 + percent) items, which is also the difference
+    of D(x) and D(y), so these share at least (d(x) + d(y) - h) / 2 items, and at least one: else
+    d(x) + d(y) <= h(n + m) <= h(m + |p|) + d(x), and y would be linked to p. Items are ordered by how
+    many members of the group have them, rarest first. The first shared item is then among the first
+    d - (d(x) + d(y) - h) / 2 + 1 of both: of the one with less difference among its first h / 2 + 1,
+    which makes it ``first`` there, and of the other as far as the band of the first one's d allows.
+    Items that a single member has are counted, but make no group.
+    """
+    members = large.select("p", "class", "label").distinct()
+    pivots = sets.select(F.col("class").alias("p"), F.col("items").alias("p_items"))
+    both = members.join(sets, "class").join(pivots, "p")
+    mine, lacking = F.array_except("items", "p_items"), F.array_except("p_items", "items")
+    told = both.select(
+        "p", "class", "label", F.size("items").alias("n"), F.size(mine).alias("m"), F.concat(mine, lacking).alias("away")
+    ).where(F.size("away") > 0)
+    reach = F.floor((F.col("n") + F.floor(F.col("n") * 100 / percent)) * (100 - percent) / (100 + percent))
+    lines = told.select(
+        "p", "class", "label", "n", "m", F.size("away").alias("d"), reach.alias("h"), F.posexplode("away").alias("at", "item")
+    )
+    lines = stored(lines, "differences")
+    seen = lines.groupBy("p", "item").agg(F.count("*").alias("seen")).where(F.col("seen") > 1)
+    shared = lines.join(seen, ["p", "item"])
+    held = shared.where(F.col("at") < F.col("m")).groupBy("p", "class").agg(F.count("*").alias("held"))
+    bounds = told.select("p", "class", "n", "m").join(held, ["p", "class"], "left")
+    common = F.col("n") - F.col("m") + F.coalesce("held", F.lit(0))
+    bounds = bounds.select("p", "class", "n", F.floor(common * (100 + percent) / percent - F.col("n")).alias("a"))
+    ends = bounds.groupBy("p").agg(F.min("n").alias("least"), F.max("a").alias("most"))
+    alive = bounds.join(ends, "p").where((F.col("a") >= F.col("least")) & (F.col("n") <= F.col("most")))
+    shared = shared.join(alive.select("p", "class"), ["p", "class"], "left_semi")
+    own = Window.partitionBy("p", "class")
+    alone = F.col("d") - F.count("*").over(own)
+    placed = shared.withColumn("place", alone + F.row_number().over(own.orderBy("seen", "item")))
+    # bands of d grow by a tenth; a band's floor is taken a little lower than it is
+    band = lambda x: F.floor(F.log(x) / math.log(1.1))
+    least = band(F.greatest(F.lit(1), F.col("d") - F.col("h")))
+    fits = lambda b: F.col("place") <= F.col("d") + 1 - F.greatest(
+        F.lit(1), F.ceil((F.floor(F.pow(F.lit(1.1), b)) - 1 + F.col("d") - F.col("h")) / 2)
+    )
+    bands = F.filter(F.sequence(F.greatest(least - 1, F.lit(0)), band(F.col("d"))), fits)
+    spread = placed.where(F.col("place") <= F.col("h") + 2).select(
+        "p", "item", "class", "label", "n", "d", "h", "place", F.explode(bands).alias("band")
     )
-    homes = large.where(F.col("class") == F.col("p0")).select("p0", F.col("label").alias("home"))
-    apart = apart.join(homes, "p0")
-    outer = apart.where(F.col("label") != F.col("home")).select("p0", "item", F.col("class").alias("a"), F.col("label").alias("a_label"))
-    every = apart.select("p0", "item", F.col("class").alias("b"), F.col("label").alias("b_label"))
-    far = outer.join(every, ["p0", "item"]).where(F.col("a_label") != F.col("b_label")).select("a", "b")
-    return _ordered(near.union(far))
+    first = (F.col("band") == band(F.col("d"))) & (F.col("place") <= F.floor(F.col("h") / 2) + 1)
+    marked = spread.select(F.xxhash64("p", "item", "band").alias("key"), "class", "label", F.col("n").alias("width"), first.alias("first"))
+    marked = stored(marked, "narrowed")
+    named = marked.groupBy("key").agg(
+        F.count("*").alias("n"),
+        F.bit_xor("class").alias("x"),
+        F.bit_xor(F.xxhash64("class", "first")).alias("y"),
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.max("first").alias("any"),
+    )
+    named = named.where((F.col("low") < F.col("high")) & F.col("any"))
+    alike = named.select("key", F.xxhash64("n", "x", "y").alias("grp"))
+    return marked.join(alike, "key").groupBy("grp", "class").agg(F.max("first").alias("first"), F.first("width").alias("width"))
+
+
+def _fresh_pivots(groups: DataFrame) -> DataFrame:
+    """Adds p and p_label: of the first ones the least, which links with all that any page of its template links with."""
+    order = F.struct("first", (-F.col("width")).alias("w"), F.xxhash64("grp", "class").alias("h"), "class", "label")
+    chosen = groups.groupBy("grp").agg(F.max(order).alias("pivot"))
+    return groups.join(chosen, "grp").withColumns({"p": F.col("pivot.class"), "p_label": F.col("pivot.label")}).drop("pivot")
 
 
 def link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -233,7 +298,25 @@ def link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
         pairs = paired.where(F.col("label") != F.col("p_label")).select(F.col("p").alias("a"), F.col("class").alias("b"))
         labels = _merged(labels, _verified(_ordered(pairs), sets, percent))
         open_groups = stored(_open(open_groups, labels), "open-groups")
-    return _merged(labels, _verified(_last_pairs(open_groups, sets), sets, percent))
+    return _settled(open_groups, labels, sets, percent)
+
+
+def _settled(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Labels after all open groups: (grp, class, label, n, p0), where p0 has been compared with all members."""
+    groups = groups.withColumns({"first": F.lit(True), "p": F.col("p0")})
+    while True:
+        leading = groups.groupBy("grp").agg(F.count_if("first").alias("leading"))
+        groups = groups.join(leading, "grp")
+        few = (F.col("n") <= SMALL) | (F.col("leading") <= FEW)
+        labels = _merged(labels, _verified(_pairs_within(groups.where(few)), sets, percent))
+        large = _open(groups.where(~few).drop("leading"), labels)
+        if large.isEmpty():
+            return labels
+        narrow = _open(_narrowed(large, sets, percent), labels)
+        narrow = stored(_fresh_pivots(narrow).drop("width"), "narrowed-groups")
+        pairs = narrow.where(F.col("label") != F.col("p_label")).select(F.col("p").alias("a"), F.col("class").alias("b"))
+        labels = _merged(labels, _verified(_ordered(pairs), sets, percent))
+        groups = stored(_open(narrow.drop("p_label"), labels), "open-groups")
 
 
 def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
