@@ -117,9 +117,9 @@ def item_index(benchmark: DataFrame, k: int = K, item_id: str = "item_id", text:
     """
     items = benchmark.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
     listed = with_shingles(items, "text", k, "shingles").select(
-        "item_id", F.size("shingles").alias("n"), F.posexplode("shingles").alias("at", "h")
+        "item_id", F.size("shingles").alias("n"), F.posexplode_outer("shingles").alias("at", "h")
     )
-    listed = stored(listed, "item-shingles")
+    listed = stored(listed.where(F.col("h").isNotNull()), "item-shingles")
     every = listed.select(F.count_distinct("item_id").alias("items"))
     among = listed.groupBy("h").agg(F.count_distinct("item_id").alias("df"))
     weight = F.round(1000 * F.log1p(every.scalar() / F.col("df"))).cast("long").alias("w")
@@ -156,7 +156,9 @@ def contaminated(
     index = item_index(benchmark, k)
     source = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     source = source.withColumn("text_hash", F.xxhash64("text"))
-    rolled = with_shingles(source, "text", k, "shingles").select("doc_id", "text_hash", F.posexplode("shingles").alias("pos", "h"))
+    # outer, as Spark puts a filter on the array's size before other explodes, which works out the shingles several times more
+    rolled = with_shingles(source, "text", k, "shingles")
+    rolled = rolled.select("doc_id", "text_hash", F.posexplode_outer("shingles").alias("pos", "h")).where(F.col("h").isNotNull())
     key = ["doc_id", "text_hash", "item_id"]
     hits = rolled.join(small_side(index), "h").select(*key, "at", "n", "w", (F.col("pos") - F.col("at")).alias("start"))
     hits = stored(hits, "benchmark-hits")
@@ -174,7 +176,7 @@ def contaminated(
     begins = F.sequence("low", F.least("high", F.greatest(F.col("low"), F.size("shingles") - 1)))
     windows = F.transform(begins, lambda b: F.struct(b.alias("begin"), F.slice("shingles", b + 1, F.col("n")).alias("held")))
     # clusters of one document may overlap in their starts
-    moved = placed.select(*key, F.inline(windows)).groupBy(*key, "begin").agg(F.first("held").alias("held"))
+    moved = placed.select(*key, F.inline_outer(windows)).where(F.col("begin").isNotNull()).groupBy(*key, "begin").agg(F.first("held").alias("held"))
     bags = moved.select(*key, "begin", F.explode("held").alias("h")).groupBy(*key, "begin", "h").agg(F.count("*").alias("c"))
     weights = index.select("h", "w").distinct()
     rare = F.round(1000 * F.log1p(index.select(F.count_distinct("item_id").cast("double")).scalar())).cast("long")
