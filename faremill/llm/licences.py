@@ -89,7 +89,7 @@ def _lines(chosen: DataFrame, known: DataFrame, dice: int) -> DataFrame:
         F.transform(F.array_distinct(F.concat(lines, sentences)), lambda x: F.struct(F.lit(0).alias("rank"), x.alias("line"))),
         F.array(F.struct(F.lit(1).alias("rank"), F.col("text").alias("line"))),
     )
-    held = chosen.select("doc_id", "able", F.inline(cut)).withColumn("pairs", F.array_distinct(_neighbours(_words(F.col("line")))))
+    held = chosen.select("doc_id", "able", F.inline_outer(cut)).withColumn("pairs", F.array_distinct(_neighbours(_words(F.col("line")))))
     n, size = F.size("pairs"), F.col("size")
     common = F.size(F.array_intersect("pairs", "held"))
     fits = (n > 0) & (n * dice <= size * (200 - dice)) & (size * dice <= n * (200 - dice)) & F.array_contains("able", F.col("notice"))
@@ -127,7 +127,8 @@ def scan(docs: DataFrame, dice: int = DICE, doc_id: str = "doc_id", text: str =
     known = notices(docs.sparkSession, listed)
     source = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     source = source.withColumn("key", F.xxhash64("doc_id", "text"))
-    hits = source.select("key", F.explode(F.array_distinct(_neighbours(_words(F.col("text"))))).alias("pair"))
+    # outer, as Spark puts a filter on the array's size before other explodes, which works out the bigrams once more
+    hits = source.select("key", F.explode_outer(F.array_distinct(_neighbours(_words(F.col("text"))))).alias("pair"))
     hits = hits.join(F.broadcast(known.select("notice", "size", F.explode("held").alias("pair"))), "pair")
     # repeated rows count their bigrams again, which only lets more texts through
     able = hits.groupBy("key", "notice").agg(F.count("*").alias("common"), F.first("size").alias("size"))
