@@ -45,7 +45,8 @@ def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     run = F.col("run")
     runs = docs.select(
         F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("id"),
-        F.explode(F.regexp_extract_all(ascii_lower(text_of(text)), F.lit(LETTERS), F.lit(0))).alias("run"),
+        # outer, as Spark filters by the array's size before other explodes, which searches the text once more
+        F.explode_outer(F.regexp_extract_all(ascii_lower(text_of(text)), F.lit(LETTERS), F.lit(0))).alias("run"),
     )
     # a deletion leaves one code point less, so shorter runs can't matter
     runs = runs.where(F.length(run) >= SHORTEST)
