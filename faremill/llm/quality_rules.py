@@ -226,8 +226,10 @@ def keep_good(df: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS)
     ordered = order_rules(df, default_rules(), text, sample_rows)
     columns = _Columns(df, text)
     _cascade(columns, ordered)
-    alive = F.when(columns["rejected_by"].isNull(), F.array(F.lit(True)))
-    return columns.df.select(*columns.kept, F.explode(alive).alias(fresh(columns.df, "__alive"))).select(*columns.kept)
+    # outer: other explodes get a filter on the array's size, which is pushed below the stages
+    alive, mark = F.when(columns["rejected_by"].isNull(), F.array(F.lit(True))), fresh(columns.df, "__alive")
+    marked = columns.df.select(*columns.kept, F.explode_outer(alive).alias(mark))
+    return marked.where(F.col(mark)).select(*columns.kept)
 
 
 def rule_report(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
