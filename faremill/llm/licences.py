@@ -92,8 +92,10 @@ def _lines(chosen: DataFrame, known: DataFrame, dice: int) -> DataFrame:
     held = chosen.select("doc_id", "able", F.inline_outer(cut)).withColumn("pairs", F.array_distinct(_neighbours(_words(F.col("line")))))
     n, size = F.size("pairs"), F.col("size")
     common = F.size(F.array_intersect("pairs", "held"))
-    fits = (n > 0) & (n * dice <= size * (200 - dice)) & (size * dice <= n * (200 - dice)) & F.array_contains("able", F.col("notice"))
-    good = held.join(F.broadcast(known), fits & (common * 200 >= (n + size) * dice))
+    # n times size: a condition on n alone would be pushed down and work out the bigrams once more
+    fits = (n * size > 0) & (n * dice <= size * (200 - dice)) & (size * dice <= n * (200 - dice))
+    tried = held.select("doc_id", "rank", "line", "pairs", F.explode("able").alias("own_notice"))
+    good = tried.join(F.broadcast(known), (F.col("own_notice") == F.col("notice")) & fits & (common * 200 >= (n + size) * dice))
     return good.select("doc_id", "notice", (2 * common / (n + size)).alias("dice"), "rank", "line")
 
 
