@@ -1,26 +1,32 @@
-"""Katz backoff: Good-Turing discounted bigrams over words, exactly normalised, scored per token.
-
-    P(w | h) = d(r) r / c(h)     if the pair was seen r times        (r counts up to K are discounted)
-             = a(h) P(w)         else, and P(w | h) = P(w) after an h never seen
-    P(w)     = d(c) c / N, and what the discounts leave for all words never seen
-
-``a(h)`` is what the discounted pairs of ``h`` leave, over one minus the P(w) of the words seen after h,
-so that the probabilities after each h add up to one. A context whose pairs are all too frequent to be
-discounted gets one more count in its denominator, which leaves its unseen words something.
-
-How it runs. Words are counted (added up in each batch, then on the cluster) and numbered by frequency;
-numbers and counts go to all tasks as two arrays (see README for their size). Pairs are dealt to parts by
-their context, those of the ``HOT`` most frequent contexts by context and word, so no context fills a part.
-A part's counts are one row of the stored model, a table partitioned by part. Scoring deals the tokens
-of all documents out in the same way and meets each part's counts in a co-group; pairs of two hot words,
-of which there are at most ``(HOT + 1) ** 2``, are scored where they are read, from a broadcast table. Batches of
-tokens travel compressed, one row per batch and part; sums per document come back the same way.
-
-Nothing is sampled or cut off: every training token counts, every token of every text is scored.
+"""Katz backoff: Good-Turing discounted n-grams over words, exactly normalised, scored per token.
+
+    P(w | u v) = d3(r) r / c(u v)    if the three words were seen r times   (r counts up to K are discounted)
+               = a(u v) P(w | v)     else, and P(w | v) after two words never seen
+    P(w | v)   = d2(r) r / c(v),     else a(v) P(w), or P(w) after a word never seen
+    P(w)       = d1(r) r / N, and what the discounts leave for all words never seen
+
+``a(h)`` is what the discounted n-grams of ``h`` leave, over one minus the shorter model's probability of
+the words seen after h, so that the probabilities after each h add up to one. A context whose n-grams are
+all too frequent to be discounted gets one more count in its denominator, which leaves its unseen words
+something. A text begins with a start mark, after which its first word is scored; ``order=2`` takes one word of context.
+
+How it runs. Word counts are a stored table. The ``HOT`` most frequent words, a fixed number, go to all
+tasks as two arrays; nothing else of the vocabulary does. N-grams are dealt to parts by the word before
+the last, v, so that (u, v, w), (v, w) and both contexts meet in one part; where v is frequent beyond
+``SPLIT_TOKENS`` (or the start mark), by v and one of as many portions of u as it needs, and the counts of
+its pairs (v, w) are added up in a table of their own. A part's counts are one row of the stored model.
+Scoring deals the tokens of all documents out in the same way and meets each part's counts in a co-group.
+What a part can't know, the counts of words outside of the ``HOT`` ones and of pairs with a split v, is
+looked up by joins with the stored tables: for the model's weights before scoring, for tokens that back off after it.
+Tokens travel compressed, one row per chunk and part; sums per document come back the same way.
+
+Nothing is sampled or cut off: every training token counts, every token of every text is scored. A pair
+(u, v) of contexts lies in one part, whatever its share; a text's repeated n-grams travel once, with their number.
 
 Defined results: a null or empty text is its end token alone; texts are read whole; equal rows each train
 and each get a row; a null id is kept (it trains, as crc32 of the empty text is 0); with nothing to learn
 from every token is unseen, P(w) = 1; an empty table gives an empty result; other columns are ignored.
+Words and n-grams are identified by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -31,17 +37,20 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faremill.llm.common import remainder, stored, text_of, text_words
 from faremill.llm.segments import WordHashes, mix
 
 K = 5
-HOT = 1024
+HOT = 1 << 18
+SPLIT_TOKENS = 1_500_000
 PART_TOKENS = 3_000_000
-CHUNK_DOCS = 2_000
+CHUNK_CHARS = 6_000_000
 END = b""
+START = np.uint64(1)
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def discounts(seen_times: np.ndarray, k: int = K) -> np.ndarray:
@@ -64,294 +73,483 @@ def discounts(seen_times: np.ndarray, k: int = K) -> np.ndarray:
 
 
 def discounted(counts: np.ndarray, d: np.ndarray) -> np.ndarray:
-    return counts * d[np.where(counts < len(d), counts, 0)]
+    return counts * d[np.where(counts < len(d), counts, 0).astype(np.int64)]
+
+
+def _discounted(count: Column, d: np.ndarray) -> Column:
+    factor = F.lit(1.0)
+    for r in range(1, len(d)):
+        factor = F.when(count == r, float(d[r])).otherwise(factor)
+    return count * factor
+
+
+def _seen_times(counts: np.ndarray) -> np.ndarray:
+    return np.bincount(counts[counts <= K + 1], minlength=K + 2)[1:]
+
+
+def _times_of(count: str) -> list[Column]:
+    return [F.count_if(F.col(count) == r).alias(f"n{r}") for r in range(1, K + 2)]
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(mix(a + _GOLD) * _GOLD + b)
+
+
+def _spots(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the wanted values stand in the ordered table, and whether they do."""
+    if not len(table):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.searchsorted(table, wanted).clip(max=len(table) - 1)
+    return at, table[at] == wanted
 
 
 @dataclass
-class Vocabulary:
-    """Words by hash, numbered by falling count; unseen words are number ``len(counts)``, a text's start one more."""
+class Words:
+    """The single-word model: its sums, and the ``HOT`` most frequent words by falling count."""
 
     keys: np.ndarray
-    numbers: np.ndarray
     counts: np.ndarray
+    total: int
+    size: int
     texts: int
+    times: np.ndarray
+    split_tokens: int = SPLIT_TOKENS
 
     def __post_init__(self):
-        self.size = len(self.counts)
-        self.total = int(self.counts.sum())
-        self.start = self.size + 1
-        seen_times = np.bincount(self.counts[self.counts <= K + 1], minlength=K + 2)[1:]
-        kept = discounted(self.counts, discounts(seen_times)) / max(self.total, 1)
-        rest = 1 - float(kept.sum())
-        if self.size and rest < 1e-12:  # no word is rare enough to be discounted
-            kept = kept * self.total / (self.total + 1)
-            rest = 1 / (self.total + 1)
-        self.p = np.append(kept, rest if self.size else 1.0)
-
-    def number(self, hashes: np.ndarray) -> np.ndarray:
+        order = np.argsort(self.keys)
+        self.ordered, self.ranks = self.keys[order], order
+        self.d = discounts(self.times)
+        r = np.arange(1, K + 1)
+        left = float((self.times[:K] * r * (1 - self.d[1:])).sum())
+        self.below, self.rest = max(self.total, 1), left / max(self.total, 1)
+        if self.size and self.rest < 1e-12:  # no word is rare enough to be discounted
+            self.below, self.rest = self.total + 1, 1 / (self.total + 1)
         if not self.size:
-            return np.zeros(len(hashes), np.int64)
-        spots = np.searchsorted(self.keys, hashes).clip(max=self.size - 1)
-        return np.where(self.keys[spots] == hashes, self.numbers[spots], self.size).astype(np.int64)
+            self.rest = 1.0
+
+    def p(self, counts: np.ndarray) -> np.ndarray:
+        return discounted(counts, self.d) / self.below
 
-    def hot(self, numbers: np.ndarray) -> np.ndarray:
-        return (numbers < min(HOT, self.size)) | (numbers == self.start)
+    def codes(self, keys: np.ndarray) -> np.ndarray:
+        """The ranks of hot words; of others ``HOT`` plus their place."""
+        at, known = _spots(self.ordered, keys)
+        ranks = self.ranks[at] if len(self.ranks) else at
+        return np.where(known, ranks, HOT + np.arange(len(keys)))
 
-    def context_count(self, numbers: np.ndarray) -> np.ndarray:
-        """How often a context was followed by a token in training; the end is followed by nothing."""
-        return np.append(self.counts, [0, self.texts])[numbers]
+    def hot_counts(self, words: np.ndarray) -> np.ndarray:
+        """Counts of hot words, 0 of others."""
+        at, known = _spots(self.ordered, words)
+        return np.where(known, self.counts[self.ranks[at]], 0) if len(self.keys) else np.zeros(len(words), np.int64)
+
+    def portions(self, words: np.ndarray) -> np.ndarray:
+        """Into how many portions the n-grams with this word before the last are dealt."""
+        n = -(-self.hot_counts(words) // self.split_tokens)
+        return np.where(words == START, max(2, -(-self.texts // self.split_tokens)), np.maximum(n, 1))
+
+
+@dataclass
+class Levels:
+    """Discounts of pairs and of three words; denominators and backoff weights of the split contexts."""
+
+    two: np.ndarray
+    three: np.ndarray
+    split: np.ndarray
+    below: np.ndarray
+    weight: np.ndarray
 
 
 def _hashes(texts, memory: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words and ends, and the number of tokens of each text."""
     rows = [[memory[w] for w in text_words(t)] + [memory[END]] for t in texts]
     sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-    flat = np.fromiter((h for row in rows for h in row), np.uint64, int(sizes.sum()))
-    return flat.astype(np.int64), sizes
+    return np.fromiter((h for row in rows for h in row), np.uint64, int(sizes.sum())), sizes
 
 
-def _pairs(texts, memory: WordHashes, vocabulary: Vocabulary):
-    """(contexts, words, index of the text) of all tokens."""
-    flat, sizes = _hashes(texts, memory)
-    words = vocabulary.number(flat)
-    contexts = np.roll(words, 1)
-    contexts[np.cumsum(sizes) - sizes] = vocabulary.start
-    return contexts, words, np.repeat(np.arange(len(sizes)), sizes), sizes
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows with about ``CHUNK_CHARS`` characters; one longer text is a chunk of its own."""
+    for batch in batches:
+        ends = batch["text"].str.len().to_numpy(np.int64).cumsum() // CHUNK_CHARS
+        cuts = np.flatnonzero(np.diff(ends)) + 1
+        for low, high in zip([0, *cuts], [*cuts, len(batch)]):
+            if high > low:
+                yield batch.iloc[low:high]
 
 
-def _parts(contexts: np.ndarray, words: np.ndarray, vocabulary: Vocabulary, parts: int) -> np.ndarray:
-    key = contexts.astype(np.uint64) << np.uint64(32)
-    key = key + np.where(vocabulary.hot(contexts), words, 0).astype(np.uint64)
-    return (mix(key + np.uint64(1)) % np.uint64(parts)).astype(np.int64)
+def _encoded(keys: np.ndarray, codes: np.ndarray, words: list[np.ndarray], rest: list[np.ndarray]) -> bytes:
+    """Columns of words (places in ``keys``) and of numbers below 2**32, compressed; hot words travel as ranks."""
+    columns = [codes[w] for w in words]
+    rare = np.unique(np.concatenate([np.unique(w[c >= HOT]) for w, c in zip(words, columns)]))
+    columns = [np.where(c >= HOT, HOT + np.searchsorted(rare, w), c) for w, c in zip(words, columns)]
+    head = np.asarray([len(rare), len(columns[0])], "<i8").tobytes()
+    body = b"".join(c.astype("<u4").tobytes() for c in [*columns, *rest])
+    return zstandard.compress(head + keys[rare].astype("<u8").tobytes() + body, 3)
 
 
-def _packed(*columns: np.ndarray) -> bytes:
-    """Equally long columns of numbers below 2**32, compressed."""
-    return zstandard.compress(b"".join(c.astype("<u4").tobytes() for c in columns), 1)
+def _decoded(blob: bytes, own: Words) -> list[np.ndarray]:
+    """The columns of ``_encoded``, three of them words as hashes."""
+    raw = zstandard.decompress(blob)
+    rare, rows = map(int, np.frombuffer(raw, "<i8", 2))
+    keys = np.frombuffer(raw, "<u8", rare, 16)
+    columns = np.frombuffer(raw, "<u4", offset=16 + 8 * rare).reshape(-1, rows).astype(np.int64)
+    table = lambda c: np.where(c < HOT, _take(own.keys, c), _take(keys, c - HOT))
+    return [table(c) for c in columns[:3]] + list(columns[3:])
 
 
-def _unpacked(blob: bytes, columns: int) -> list[np.ndarray]:
-    raw = np.frombuffer(zstandard.decompress(blob), "<u4")
-    return [c.astype(np.int64) for c in raw.reshape(columns, -1)]
+def _take(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return values[at.clip(0, len(values) - 1)] if len(values) else np.zeros(len(at), np.uint64)
 
 
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for at in range(0, len(batch), CHUNK_DOCS):
-            yield batch.iloc[at : at + CHUNK_DOCS]
+def _ngrams(texts, memory: WordHashes, own: Words, order: int):
+    """(keys, codes, places of u, v and w in keys, index of the text, tokens of each text) of a chunk."""
+    flat, sizes = _hashes(texts, memory)
+    keys, places = np.unique(np.append(flat, START), return_inverse=True)
+    w, start = places[:-1], places[-1]
+    first = np.cumsum(sizes) - sizes
+    v = np.roll(w, 1)
+    v[first] = start
+    u = np.roll(v, 1)
+    u[first] = start
+    if order == 2:
+        u[:] = start
+    return keys, own.codes(keys), u, v, w, np.repeat(np.arange(len(sizes)), sizes), sizes
 
 
-def count_words(train: DataFrame) -> DataFrame:
-    """(w, c): every training token's hash and count; a batch adds up its own first."""
+def _dealt(keys, own: Words, u, v, w, parts: int, order: int) -> np.ndarray:
+    """The part of each n-gram. Those without u are dealt by w where v is split."""
+    portions = own.portions(keys)
+    by = keys[np.where((keys[v] == START) | (order == 2), w, u)]
+    sub = mix(by) % portions[v].astype(np.uint64)
+    return (_pair(keys[v], sub) % np.uint64(parts)).astype(np.int64)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memory = WordHashes()
-        for batch in batches:
-            w, c = np.unique(_hashes(batch["text"], memory)[0], return_counts=True)
-            yield pd.DataFrame({"w": w, "c": c})
 
-    return train.select("text").mapInPandas(count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+def _grouped(part: np.ndarray) -> list[np.ndarray]:
+    order = np.argsort(part, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []
 
 
-def _count_pairs(train: DataFrame, vocabulary, parts: int) -> DataFrame:
-    """The model: one row per part with its pairs in order, their counts, and how many came 1 .. K + 1 times."""
+def _alike(keys: np.ndarray, u, v, w) -> np.ndarray:
+    """A number for each n-gram, ordered by v, u and w where the chunk has few words."""
+    n = len(keys)
+    return (v * n + u) * n + w if n < 1 << 21 else _pair(_pair(keys[u], keys[v]), keys[w]).view(np.int64)
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def count_words(train: DataFrame) -> DataFrame:
+    """(w, c): every training token's hash and count; a batch adds up its own first."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory = WordHashes()
         for chunk in _chunks(batches):
-            contexts, words, _, _ = _pairs(chunk["text"], memory, vocabulary.value)
-            pairs, n = np.unique((contexts << 32) | words, return_counts=True)
-            contexts, words = pairs >> 32, pairs & 0xFFFFFFFF
-            part = _parts(contexts, words, vocabulary.value, parts)
-            order = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.diff(part[order])) + 1
-            groups = np.split(order, cuts)
-            yield pd.DataFrame(
-                {"part": [part[g[0]] for g in groups], "pairs": [_packed(contexts[g], words[g], n[g]) for g in groups]}
-            )
-
-    def add(batch: pd.DataFrame) -> pd.DataFrame:
-        contexts, words, n = (np.concatenate(c) for c in zip(*(_unpacked(b, 3) for b in batch["pairs"])))
-        pairs, where = np.unique((contexts << 32) | words, return_inverse=True)
-        counts = np.bincount(where, weights=n).astype(np.int64)
-        times = np.bincount(counts[counts <= K + 1], minlength=K + 2)[1:]
-        blob = _packed(pairs >> 32, pairs & 0xFFFFFFFF, counts)
-        return pd.DataFrame({"part": [batch["part"].iloc[0]], "pairs": [blob], "times": pd.Series([times], dtype=object)})
+            w, c = np.unique(_hashes(chunk["text"], memory)[0], return_counts=True)
+            yield pd.DataFrame({"w": w.view(np.int64), "c": c})
 
-    dealt = train.select("text").mapInPandas(deal, "part long, pairs binary")
-    return dealt.groupBy("part").applyInPandas(add, "part long, pairs binary, times array<long>")
+    return train.select("text").mapInPandas(count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
-@dataclass
-class HotTables:
-    """Discounts; leftovers of the hot contexts; counts of the pairs of two hot words."""
+def word_model(listed: DataFrame, hot: int = HOT, split_tokens: int = SPLIT_TOKENS) -> Words:
+    """Sums of the stored word counts, and the most frequent words, a fixed number."""
+    end = WordHashes()[END]
+    end = int(np.uint64(end).astype(np.int64))
+    texts = F.max(F.when(F.col("w") == end, F.col("c"))).alias("texts")
+    sums = listed.agg(F.sum("c").alias("total"), F.count("*").alias("size"), texts, *_times_of("c")).first()
+    top = listed.orderBy(F.desc("c"), "w").limit(min(hot, HOT)).toArrow()
+    times = np.asarray([sums[f"n{r}"] or 0 for r in range(1, K + 2)])
+    keys, counts = top["w"].to_numpy().astype(np.int64).view(np.uint64), top["c"].to_numpy().astype(np.int64)
+    return Words(keys, counts, sums["total"] or 0, sums["size"], sums["texts"] or 0, times, split_tokens)
 
-    d: np.ndarray
-    weight: dict[int, float]
-    denominator: dict[int, int]
-    pairs: np.ndarray
-    counts: np.ndarray
 
+def count_ngrams(train: DataFrame, words, parts: int, order: int) -> DataFrame:
+    """The model: one row per part with its n-grams and counts, and how many pairs and threes came 1 .. K + 1 times."""
 
-def _leftovers(contexts, words, counts, vocabulary, d):
-    """By context, in order: discounted count, whether a pair was discounted, P of the words seen after it."""
-    heads, where = np.unique(contexts, return_inverse=True)
-    mass = np.bincount(where, weights=discounted(counts, d))
-    small = np.bincount(where, weights=counts < len(d)) > 0
-    seen = np.bincount(where, weights=vocabulary.p[words])
-    return heads, mass, small, seen
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memory, own = WordHashes(), words.value
+        for chunk in _chunks(batches):
+            keys, codes, u, v, w, _, _ = _ngrams(chunk["text"], memory, own, order)
+            _, first, n = np.unique(_alike(keys, u, v, w), return_index=True, return_counts=True)
+            u, v, w = u[first], v[first], w[first]
+            part = _dealt(keys, own, u, v, w, parts, order)
+            groups = _grouped(part)
+            blobs = [_encoded(keys, codes, [u[g], v[g], w[g]], [n[g]]) for g in groups]
+            yield pd.DataFrame({"part": [part[g[0]] for g in groups], "ngrams": blobs})
 
+    def add(batch: pd.DataFrame) -> pd.DataFrame:
+        own = words.value
+        u, v, w, n = (np.concatenate(c) for c in zip(*(_decoded(b, own) for b in batch["ngrams"])))
+        keys, places = np.unique(np.concatenate([u, v, w]), return_inverse=True)
+        u, v, w = np.split(places, 3)
+        _, first, where = np.unique(_alike(keys, u, v, w), return_index=True, return_inverse=True)
+        n = np.bincount(where, weights=n).astype(np.int64)
+        u, v, w = u[first], v[first], w[first]
+        whole = (own.portions(keys) == 1)[v]
+        _, where = np.unique(_pair(keys[v[whole]], keys[w[whole]]), return_inverse=True)
+        two = _seen_times(np.bincount(where, weights=n[whole]).astype(np.int64))
+        three = _seen_times(n[(keys[v] != START) & (order == 3)])
+        blob = _encoded(keys, own.codes(keys), [u, v, w], [n])
+        part = batch["part"].iloc[0]
+        return pd.DataFrame({"part": [part], "ngrams": [blob], "two": pd.Series([two], dtype=object), "three": pd.Series([three], dtype=object)})
+
+    dealt = train.select("text").mapInPandas(deal, "part long, ngrams binary")
+    return dealt.groupBy("part").applyInPandas(add, "part long, ngrams binary, two array<long>, three array<long>")
+
+
+def _pairs_of(model: DataFrame, words, split: bool) -> DataFrame:
+    """(part, v, w, b, c): the parts' pairs with a split v; or those of other v with a w that isn't hot."""
 
-def _backoff(heads, mass, small, seen, vocabulary):
-    total = vocabulary.context_count(heads)
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = words.value
+        for batch in batches:
+            for part, blob in zip(batch["part"], batch["ngrams"]):
+                _, v, w, n = _decoded(blob, own)
+                wanted = (own.portions(v) > 1) == split
+                if not split:
+                    wanted &= own.hot_counts(w) == 0
+                v, w, n = v[wanted], w[wanted], n[wanted]
+                b, first, where = np.unique(_pair(v, w), return_index=True, return_inverse=True)
+                c = np.bincount(where, weights=n, minlength=len(b)).astype(np.int64)
+                signed = [x.view(np.int64) for x in (v[first], w[first], b)]
+                yield pd.DataFrame({"part": part, "v": signed[0], "w": signed[1], "b": signed[2], "c": c})
+
+    return model.select("part", "ngrams").mapInPandas(look, "part long, v long, w long, b long, c long")
+
+
+def _levels(model: DataFrame, split_pairs: DataFrame, listed: DataFrame, own: Words) -> Levels:
+    """Discounts, and what belongs to the split contexts: a row for each, which are hot words or the start mark."""
+    two, three = np.zeros(K + 1), np.zeros(K + 1)
+    for name, held in (("two", two), ("three", three)):
+        lines = model.select(F.posexplode(name).alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n"))
+        for row in lines.collect():
+            held[row.r] += row.n
+    counted = split_pairs.agg(*_times_of("c")).first()
+    two += [counted[f"n{r}"] or 0 for r in range(1, K + 2)]
+    two, three = discounts(two), discounts(three)
+    known = split_pairs.join(listed.select("w", F.col("c").alias("cw")), "w")
+    seen = (_discounted(F.col("cw"), own.d) / own.below).alias("seen")
+    sums = known.select("v", "c", _discounted(F.col("c"), two).alias("mass"), seen).groupBy("v").agg(
+        F.sum("mass").alias("mass"), F.sum("seen").alias("seen"), F.sum("c").alias("total"), F.min("c").alias("least")
+    )
+    found = sums.toArrow().to_pandas()
+    order = np.argsort(found["v"].to_numpy(np.int64).view(np.uint64))
+    found = found.iloc[order]
+    below, weight = _backoff(found["mass"].to_numpy(float), found["total"].to_numpy(np.int64), found["least"].to_numpy(np.int64) <= K, found["seen"].to_numpy(float))
+    return Levels(two, three, found["v"].to_numpy(np.int64).view(np.uint64), below, weight)
+
+
+def _backoff(mass, total, small, seen):
+    """Denominators and backoff weights of contexts from what their n-grams sum up to."""
     below = total + ~small
     return below, (1 - mass / below) / np.maximum(1 - seen, 1e-300)
 
 
-def _hot_tables(model: DataFrame, vocabulary) -> HotTables:
-    times = model.select(F.posexplode("times").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n")).collect()
-    counted = np.zeros(K + 1)
-    for row in times:
-        counted[row.r] = row.n
-    d = discounts(counted)
+def _sums(where: np.ndarray, size: int, counts: np.ndarray, d: np.ndarray, lower: np.ndarray):
+    add = lambda x: np.bincount(where, weights=x, minlength=size)
+    return _backoff(add(discounted(counts, d)), add(counts).astype(np.int64), add(counts < len(d)) > 0, add(lower))
+
+
+class PartModel:
+    """One part's n-grams with their probabilities, and its contexts with their backoff weights."""
+
+    def __init__(self, counted: pd.DataFrame, own: Words, levels: Levels, order: int):
+        blobs = counted.loc[counted["kind"] == 0, "ngrams"]
+        empty = np.empty(0, np.uint64)
+        u, v, w, n = _decoded(blobs.iloc[0], own) if len(blobs) else (empty, empty, empty, np.empty(0, np.int64))
+        # pairs: counts are whole where v isn't split, else they are looked up
+        self.pairs, first, pair = np.unique(_pair(v, w), return_index=True, return_inverse=True)
+        c = np.bincount(pair, weights=n, minlength=len(self.pairs)).astype(np.int64)
+        pv, pw = v[first], w[first]
+        whole = own.portions(pv) == 1
+        totals = counted[counted["kind"] == 1]
+        at, known = _spots(self.pairs, totals["key"].to_numpy(np.int64).view(np.uint64))
+        c[at[known]] = totals["value"].to_numpy(float)[known].astype(np.int64)
+        hot = own.hot_counts(pw)
+        seen = np.where(hot > 0, own.p(hot), 0.0)
+        self.heads, head = np.unique(pv[whole], return_inverse=True)
+        rare = counted[counted["kind"] == 2]
+        below, _ = _sums(head, len(self.heads), c[whole], levels.two, seen[whole])
+        shares = np.bincount(head, weights=seen[whole], minlength=len(self.heads))
+        at, known = _spots(self.heads, rare["key"].to_numpy(np.int64).view(np.uint64))
+        np.add.at(shares, at[known], rare["value"].to_numpy(float)[known])
+        mass = np.bincount(head, weights=discounted(c[whole], levels.two), minlength=len(self.heads))
+        self.head_weight = (1 - mass / below) / np.maximum(1 - shares, 1e-300)
+        under = np.ones(len(c))
+        under[whole] = below[head]
+        if (~whole).any():
+            under[~whole] = levels.below[_spots(levels.split, pv[~whole])[0]]
+        self.p_pairs = discounted(c, levels.two) / under
+        # three words
+        long = (v != START) & (order == 3)
+        u, v, w, n, pair = u[long], v[long], w[long], n[long], pair[long]
+        context = _pair(u, v)
+        self.contexts, where = np.unique(context, return_inverse=True)
+        below, self.context_weight = _sums(where, len(self.contexts), n, levels.three, self.p_pairs[pair])
+        threes = _pair(context, w)
+        by = np.argsort(threes)
+        self.threes, self.p_threes = threes[by], (discounted(n, levels.three) / below[where])[by]
+
+
+def _scored(model: PartModel, own: Words, order: int, u, v, w):
+    """log10 of what the part knows of each token; whether its pair must be looked up; whether its word must."""
+    logs = np.zeros(len(w))
+    long = (v != START) & (order == 3)
+    context = _pair(u, v)
+    at, done = _spots(model.threes, _pair(context, w))
+    done &= long
+    logs[done] = np.log10(model.p_threes[at[done]])
+    at, known = _spots(model.contexts, context)
+    back = ~done & long & known
+    logs[back] += np.log10(model.context_weight[at[back]])
+    split = own.portions(v) > 1
+    at, known = _spots(model.pairs, _pair(v, w))
+    pair = ~done & ~split & known
+    logs[pair] += np.log10(model.p_pairs[at[pair]])
+    last = ~done & ~split & ~known
+    at, known = _spots(model.heads, v)
+    back = last & known
+    logs[back] += np.log10(model.head_weight[at[back]])
+    c = own.hot_counts(w)
+    hot = last & (c > 0)
+    logs[hot] += np.log10(own.p(c[hot]))
+    return logs, ~done & split, last & (c == 0), c == 0
+
+
+SUMS = "part long, base long, kind int, blob binary, at int, v long, w long, n long, back boolean, rare boolean"
+_LINE = np.dtype(
+    [("none", "?"), ("id", "<i8"), ("held", "?"), ("tokens", "<i8"), ("known", "<i8"), ("base", "<f8"), ("score", "<f8")]
+)
+
 
-    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = vocabulary.value
-        for batch in batches:
-            for blob in batch["pairs"]:
-                contexts, words, counts = _unpacked(blob, 3)
-                hot = own.hot(contexts)
-                if not hot.any():
-                    continue
-                contexts, words, counts = contexts[hot], words[hot], counts[hot]
-                heads, mass, small, seen = _leftovers(contexts, words, counts, own, d)
-                yield pd.DataFrame({"h": heads, "w": -1, "c": 0, "mass": mass, "small": small, "seen": seen})
-                both = own.hot(words)
-                yield pd.DataFrame(
-                    {"h": contexts[both], "w": words[both], "c": counts[both], "mass": 0.0, "small": False, "seen": 0.0}
-                )
-
-    found = model.select("pairs").mapInPandas(look, "h long, w long, c long, mass double, small boolean, seen double")
-    # at most (HOT + 1) ** 2 lines
-    lines = found.groupBy("h", "w").agg(
-        F.sum("c").alias("c"), F.sum("mass").alias("mass"), F.bool_or("small").alias("small"), F.sum("seen").alias("seen")
-    ).toArrow().to_pandas()
-    own = vocabulary.value
-    heads = lines[lines["w"] == -1].sort_values("h")
-    h = heads["h"].to_numpy(np.int64)
-    below, weight = _backoff(h, heads["mass"].to_numpy(), heads["small"].to_numpy(bool), heads["seen"].to_numpy(), own)
-    pairs = lines[lines["w"] >= 0]
-    keys = (pairs["h"].to_numpy(np.int64) << 32) | pairs["w"].to_numpy(np.int64)
-    order = np.argsort(keys)
-    return HotTables(d, dict(zip(h.tolist(), weight.tolist())), dict(zip(h.tolist(), below.tolist())), keys[order], pairs["c"].to_numpy(np.int64)[order])
-
-
-def _log_scores(contexts, words, pairs, counts, heads, below, weight, vocabulary, d) -> np.ndarray:
-    """log10 P(w | h) of each token from the counts of the pairs (in order) and the contexts' leftovers."""
-    out = np.log10(vocabulary.p[words])
-    if len(heads):
-        at = np.searchsorted(heads, contexts).clip(max=len(heads) - 1)
-        known = heads[at] == contexts
-        out[known] += np.log10(weight[at[known]])
-        if len(pairs):
-            key = (contexts << 32) | words
-            spot = np.searchsorted(pairs, key).clip(max=len(pairs) - 1)
-            seen = pairs[spot] == key
-            out[seen] = np.log10(discounted(counts[spot[seen]], d) / below[at[seen]])
-    return out
-
-
-SUMS = "part long, base long, kind int, blob binary"
-
-
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
+def _sent(part: int, base: int, kind: int, rows: int, blob=None, at=0, v=0, w=0, n=0, back=False, rare=False) -> pd.DataFrame:
+    """Rows of ``SUMS``: a chunk's documents (0), its sums in one part (1), its tokens that need a look-up (2)."""
+    columns = {"part": part, "base": base, "kind": kind, "blob": blob, "at": at, "v": v, "w": w, "n": n, "back": back, "rare": rare}
+    made = pd.DataFrame(columns, index=range(rows))
+    return made.astype({"blob": object, "v": "Int64", "back": bool, "rare": bool})
+
+
+def _looked_up(rows: DataFrame, listed: DataFrame, split_pairs: DataFrame, own: Words, levels: Levels) -> DataFrame:
+    """(chunk, at, base_sum, known, score): what tokens add that the parts couldn't score alone."""
+    spark = rows.sparkSession
+    counts = listed.select("w", F.col("c").alias("cw"))
+    signed = levels.split.view(np.int64).tolist()
+    heads = spark.createDataFrame(
+        list(zip(signed, levels.below.astype(float).tolist(), np.log10(levels.weight).tolist())), "v long, below double, weight double"
+    )
+    single = F.log10(F.when(F.col("cw").isNull(), own.rest).otherwise(_discounted(F.col("cw"), own.d) / own.below))
+    plain = rows.where(F.col("v").isNull()).join(counts, "w", "left").withColumn("log", single)
+    paired = rows.where(F.col("v").isNotNull()).join(counts, "w", "left")
+    paired = paired.join(split_pairs.select("v", "w", "c"), ["v", "w"], "left").join(F.broadcast(heads), "v", "left")
+    pair = F.log10(_discounted(F.col("c"), levels.two) / F.col("below"))
+    paired = paired.withColumn("log", F.when(F.col("c").isNotNull(), pair).otherwise(F.coalesce("weight", F.lit(0.0)) + single))
+    columns = ["base", "at", "n", "back", "rare", "cw", "log"]
+    both = plain.select(columns).union(paired.select(columns))
+    unit = F.log10((F.coalesce("cw", F.lit(0)) + 1) / float(own.total + own.size + 1))
+    return both.groupBy(F.col("base").alias("chunk"), "at").agg(
+        F.sum(F.when(F.col("rare"), F.col("n") * unit).otherwise(0.0)).alias("base_sum"),
+        F.sum(F.when(F.col("rare") & F.col("cw").isNotNull(), F.col("n")).otherwise(0)).alias("known"),
+        F.sum(F.when(F.col("back"), F.col("n") * F.col("log")).otherwise(0.0)).alias("score"),
+    )
+
+
+def score(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    order: int = 3,
+    hot: int = HOT,
+    split_tokens: int = SPLIT_TOKENS,
+    part_tokens: int = PART_TOKENS,
+) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
+
+    ``hot`` (at most ``HOT``), ``split_tokens`` and ``part_tokens`` change how the work is dealt, not the scores.
+    """
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     source = source.withColumn("held_out", remainder("doc_id", 7) == 2)
     train = source.where(~F.col("held_out"))
     listed = stored(count_words(train), "word-counts")
-    words = listed.toArrow()
-    keys, counts = words["w"].to_numpy(), words["c"].to_numpy()
-    order = np.lexsort((keys, -counts))
-    keys, counts = keys[order], counts[order]
-    by_key = np.argsort(keys)
-    vocabulary = Vocabulary(keys[by_key], by_key.astype(np.int32), counts, train.count())
-    parts = max(8, -(-vocabulary.total // PART_TOKENS))
-    shared = spark.sparkContext.broadcast(vocabulary)
-    model = stored(_count_pairs(train, shared, parts), "pair-counts")
-    tables = spark.sparkContext.broadcast(_hot_tables(model, shared))
+    held = word_model(listed, hot, split_tokens)
+    parts = max(8, -(-held.total // part_tokens))
+    words = spark.sparkContext.broadcast(held)
+    model = stored(count_ngrams(train, words, parts, order), "ngram-counts")
+    by_part = _pairs_of(model, words, split=True)
+    split_pairs = stored(by_part.groupBy("v", "w", "b").agg(F.sum("c").alias("c")), "split-pairs")
+    levels = _levels(model, split_pairs, listed, held)
+    shared = spark.sparkContext.broadcast(levels)
+
+    rare = _pairs_of(model, words, split=False).join(listed.select("w", F.col("c").alias("cw")), "w")
+    single = _discounted(F.col("cw"), held.d) / held.below
+    rare = rare.select("part", "v", single.alias("p")).groupBy("part", "v").agg(F.sum("p").alias("value"))
+    totals = by_part.select("part", "b").join(split_pairs.select("b", "c"), "b")
+    none = F.lit(None).cast("binary").alias("ngrams")
+    counted = model.select("part", F.lit(0).alias("kind"), "ngrams", F.lit(0).cast("long").alias("key"), F.lit(0.0).alias("value"))
+    counted = counted.union(totals.select("part", F.lit(1), none, "b", F.col("c").cast("double")))
+    counted = counted.union(rare.select("part", F.lit(2), none, "v", "value"))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memory, own, hot = WordHashes(), shared.value, tables.value
-        heads = np.asarray(sorted(hot.weight), np.int64)
-        below = np.asarray([hot.denominator[h] for h in heads.tolist()], np.float64)
-        weight = np.asarray([hot.weight[h] for h in heads.tolist()], np.float64)
+        memory, own = WordHashes(), words.value
         for chunk in _chunks(batches):
-            contexts, tokens, at, sizes = _pairs(chunk["text"], memory, own)
-            c = np.append(own.counts, 0)[tokens]
-            base_of = np.bincount(at, np.log10((c + 1) / (own.total + own.size + 1)), len(sizes))
-            known = np.bincount(at, c > 0, len(sizes)).astype(np.int64)
-            here = own.hot(contexts) & own.hot(tokens)
-            logs = _log_scores(contexts[here], tokens[here], hot.pairs, hot.counts, heads, below, weight, own, hot.d)
-            mine = np.bincount(at[here], logs, len(sizes))
+            keys, codes, u, v, w, at, sizes = _ngrams(chunk["text"], memory, own, order)
+            c = own.hot_counts(keys)
+            unit = np.where(c > 0, np.log10((c + 1) / (own.total + own.size + 1)), 0.0)
             ids = chunk["doc_id"]
-            body = np.rec.fromarrays(
-                [ids.isna(), ids.fillna(0).astype(np.int64), chunk["held_out"], sizes, known, base_of, mine], dtype=_LINE
-            ).tobytes()
+            lines = [ids.isna(), ids.fillna(0).astype(np.int64), chunk["held_out"], sizes]
+            lines += [np.bincount(at, (c > 0)[w], len(sizes)), np.bincount(at, unit[w], len(sizes)), np.zeros(len(sizes))]
+            body = np.rec.fromarrays(lines, dtype=_LINE).tobytes()
+            alike = _alike(keys, u, v, w)
+            by = np.argsort(alike, kind="stable")
+            new = np.append(True, (np.diff(alike[by]) != 0) | (np.diff(at[by]) != 0))
+            n = np.diff(np.append(np.flatnonzero(new), len(by)))
+            by = by[new]
+            u, v, w, at = u[by], v[by], w[by], at[by]
+            part = _dealt(keys, own, u, v, w, parts, order)
+            groups = _grouped(part)
             base = int(chunk["rid"].iloc[0])
-            part = _parts(contexts, tokens, own, parts)
-            part[here] = -1
-            order = np.argsort(part, kind="stable")
-            order = order[int(here.sum()) :]
-            groups = np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []
+            blobs = [_encoded(keys, codes, [u[g], v[g], w[g]], [at[g], n[g]]) for g in groups]
             yield pd.DataFrame(
                 {
                     "part": [base % parts, *(part[g[0]] for g in groups)],
                     "base": base,
                     "kind": [0, *(1 for _ in groups)],
-                    "blob": [zstandard.compress(body, 1), *(_packed(contexts[g], tokens[g], at[g]) for g in groups)],
+                    "blob": [zstandard.compress(body, 1), *blobs],
                 }
             )
 
-    def meet(tokens: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
-        own, hot = shared.value, tables.value
-        pairs, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        heads, below, weight = np.empty(0, np.int64), np.empty(0), np.empty(0)
-        if len(counted):
-            contexts, words, counts = _unpacked(counted["pairs"].iloc[0], 3)
-            pairs = (contexts << 32) | words
-            heads, mass, small, seen = _leftovers(contexts, words, counts, own, hot.d)
-            below, weight = _backoff(heads, mass, small, seen, own)
-        # of a hot context the part has some pairs only: its leftovers were added up over all parts
-        split = np.asarray(sorted(hot.weight), np.int64)
-        cold = ~np.isin(heads, split)
-        heads = np.concatenate([heads[cold], split])
-        below = np.concatenate([below[cold], [hot.denominator[h] for h in split.tolist()]])
-        weight = np.concatenate([weight[cold], [hot.weight[h] for h in split.tolist()]])
-        order = np.argsort(heads)
-        heads, below, weight = heads[order], below[order], weight[order]
-        rows = []
-        for base, kind, blob in zip(tokens["base"], tokens["kind"], tokens["blob"]):
-            if kind == 1:
-                contexts, words, at = _unpacked(blob, 3)
-                logs = _log_scores(contexts, words, pairs, counts, heads, below, weight, own, hot.d)
-                held, where = np.unique(at, return_inverse=True)
-                body = held.astype("<u4").tobytes() + np.bincount(where, logs).astype("<f8").tobytes()
-                blob = zstandard.compress(body, 1)
-            rows.append((int(tokens["part"].iloc[0]), base, kind, blob))
-        return pd.DataFrame(rows, columns=["part", "base", "kind", "blob"])
-
-    train_tokens = vocabulary.total
-
-    def gather(group: pd.DataFrame) -> pd.DataFrame:
+    def meet(tokens: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        own = words.value
+        known = PartModel(counts, own, shared.value, order)
+        found = []
+        for part, base, kind, blob in zip(tokens["part"], tokens["base"], tokens["kind"], tokens["blob"]):
+            if kind == 0:
+                found.append(_sent(part, base, 0, 1, blob=blob))
+                continue
+            u, v, w, at, n = _decoded(blob, own)
+            logs, pair, word, rare = _scored(known, own, order, u, v, w)
+            texts, where = np.unique(at, return_inverse=True)
+            body = texts.astype("<u4").tobytes() + np.bincount(where, logs * n).astype("<f8").tobytes()
+            found.append(_sent(part, base, 1, 1, blob=zstandard.compress(body, 1)))
+            left = pair | word | rare
+            heads = pd.arrays.IntegerArray(v[left].view(np.int64), ~pair[left])
+            last = w[left].view(np.int64)
+            found.append(
+                _sent(part, base, 2, len(last), at=at[left], v=heads, w=last, n=n[left], back=(pair | word)[left], rare=rare[left])
+            )
+        return pd.concat(found, ignore_index=True) if found else _sent(0, 0, 0, 0)
+
+    train_tokens = held.total
+
+    def gather(group: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["kind", "part"])
         lines = np.frombuffer(zstandard.decompress(group["blob"].iloc[0]), _LINE)
-        total = lines["score"].copy()
+        total, base, known = lines["score"].copy(), lines["base"].copy(), lines["known"].copy()
         for blob in group["blob"].iloc[1:]:
             raw = zstandard.decompress(blob)
             n = len(raw) // 12
             total[np.frombuffer(raw[: 4 * n], "<u4")] += np.frombuffer(raw[4 * n :], "<f8")
+        at = more["at"].to_numpy(np.int64)
+        total[at] += more["score"].to_numpy(float)
+        base[at] += more["base_sum"].to_numpy(float)
+        known[at] += more["known"].to_numpy(np.int64)
         ids = pd.array(lines["id"], dtype="Int64")
         ids[lines["none"]] = pd.NA
         return pd.DataFrame(
@@ -359,20 +557,17 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
                 "doc_id": ids,
                 "held_out": lines["held"],
                 "n_tokens": lines["tokens"],
-                "n_known": lines["known"],
+                "n_known": known,
                 "train_tokens": np.int64(train_tokens),
-                "base_score": lines["base"],
+                "base_score": base,
                 "score": total,
             }
         )
 
     numbered = source.withColumn("rid", F.monotonically_increasing_id())
-    dealt = numbered.mapInPandas(deal, SUMS)
-    met = dealt.groupBy("part").cogroup(model.groupBy("part")).applyInPandas(meet, SUMS)
+    dealt = numbered.mapInPandas(deal, "part long, base long, kind int, blob binary")
+    met = stored(dealt.groupBy("part").cogroup(counted.groupBy("part")).applyInPandas(meet, SUMS), "token-sums")
+    more = _looked_up(met.where(F.col("kind") == 2), listed, split_pairs, held, levels)
     shape = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return met.groupBy("base").applyInPandas(gather, shape)
-
-
-_LINE = np.dtype(
-    [("none", "?"), ("id", "<i8"), ("held", "?"), ("tokens", "<i8"), ("known", "<i8"), ("base", "<f8"), ("score", "<f8")]
-)
+    known = met.where(F.col("kind") < 2).select("part", "base", "kind", "blob")
+    return known.groupBy("base").cogroup(more.groupBy("chunk")).applyInPandas(gather, shape)

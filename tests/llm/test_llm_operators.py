@@ -282,41 +282,64 @@ def test_decontamination_of_odd_and_empty(spark, odd, empty):
 # Katz backoff
 
 
-def test_scores_match_brute_force_and_add_up(spark, odd):
-    rng = np.random.default_rng(10)
-    zipf = lambda n: " ".join(f"w{min(int(rng.zipf(1.4)), 500)}" for _ in range(n))
-    texts = [zipf(int(n)) for n in rng.integers(1, 80, 150)] + [None, "", "new Words only", "w1 W1 w1"]
-    got = {r.doc_id: r for r in katz.score(frame(spark, texts)).collect()}
+def katz_by_hand(texts, order):
+    """(tokens, held out, counts of words, log10 scores) by plain recursion over contexts of up to order - 1 words."""
     tokens = [[*(t or "").encode().lower().split(), b""] for t in texts]
     held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
-    uni, pairs = Counter(), defaultdict(Counter)
+    seen = defaultdict(Counter)
+
+    def contexts(t, at):
+        line = [None, *t]
+        return [tuple(line[max(0, at + 1 - n) : at + 1]) for n in range(min(order, at + 2))]
+
     for t, h in zip(tokens, held):
-        if not h:
-            uni.update(t)
-            for a, b in zip([None, *t], t):
-                pairs[a][b] += 1
+        for at, w in enumerate(t if not h else ()):
+            for c in contexts(t, at):
+                seen[c][w] += 1
     times = lambda counts: np.asarray([sum(c == r for c in counts) for r in range(1, 7)])
-    du, db = katz.discounts(times(list(uni.values()))), katz.discounts(times([c for x in pairs.values() for c in x.values()]))
-    cut = lambda c, d: c * (d[c] if c <= 5 else 1)
-    n, v = sum(uni.values()), len(uni)
-    p = {w: cut(c, du) / n for w, c in uni.items()}
-    rest = 1 - sum(p.values())
+    d = [katz.discounts(times([c for h, x in seen.items() if len(h) == n for c in x.values()])) for n in range(order)]
+    cut = lambda c, n: c * (d[n][c] if c <= 5 else 1)
+    total = sum(seen[()].values())
+    rest = 1 - sum(cut(c, 0) for c in seen[()].values()) / total
+    below = {h: sum(x.values()) + all(c > 5 for c in x.values()) for h, x in seen.items() if h}
     back = {}
-    for a, x in pairs.items():
-        below = sum(x.values()) + all(c > 5 for c in x.values())
-        back[a] = below, (1 - sum(cut(c, db) for c in x.values()) / below) / (1 - sum(p[w] for w in x))
-        assert sum(cut(c, db) for c in x.values()) / below + back[a][1] * (1 - sum(p[w] for w in x)) == pytest.approx(1)
+
+    def p(h, w):
+        if not h:
+            return cut(seen[()][w], 0) / total if w in seen[()] else rest
+        if w in seen.get(h, ()):
+            return cut(seen[h][w], len(h)) / below[h]
+        return p(h[1:], w) * back.get(h, 1)
+
+    for h in sorted(below, key=len):
+        left = 1 - sum(p(h, w) for w in seen[h])
+        back[h] = left / (1 - sum(p(h[1:], w) for w in seen[h]))
+        assert sum(p(h, w) for w in seen[()]) + back[h] * (p(h[1:], b"never seen")) == pytest.approx(1)
+    scores = [sum(math.log10(p(contexts(t, at)[-1], w)) for at, w in enumerate(t)) for t in tokens]
+    return tokens, held, seen[()], scores
+
+
+@pytest.mark.parametrize(
+    "order,deal", [(3, {}), (3, {"hot": 30, "split_tokens": 40, "part_tokens": 500}), (3, {"hot": 0}), (2, {}), (2, {"hot": 30, "split_tokens": 40})]
+)
+def test_scores_match_brute_force_and_add_up(spark, order, deal):
+    rng = np.random.default_rng(10)
+    zipf = lambda n: " ".join(f"w{min(int(rng.zipf(1.4)), 500)}" for _ in range(n))
+    texts = [zipf(int(n)) for n in rng.integers(1, 80, 150)] + [None, "", "new Words only", "w1 W1 w1", "w1 " * 900]
+    tokens, held, uni, scores = katz_by_hand(texts, order)
+    n, v = sum(uni.values()), len(uni)
+    got = {r.doc_id: r for r in katz.score(frame(spark, texts), order=order, **deal).collect()}
     for i, t in enumerate(tokens):
-        score = 0.0
-        for a, b in zip([None, *t], t):
-            if b in pairs.get(a, ()):
-                score += math.log10(cut(pairs[a][b], db) / back[a][0])
-            else:
-                score += math.log10(p.get(b, rest) * (back[a][1] if a in back else 1))
         r = got[i]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(t), sum(w in uni for w in t), n)
-        assert r.score == pytest.approx(score) and r.base_score == pytest.approx(sum(math.log10((uni[w] + 1) / (n + v + 1)) for w in t))
+        assert r.base_score == pytest.approx(sum(math.log10((uni[w] + 1) / (n + v + 1)) for w in t))
+        assert r.score == pytest.approx(scores[i])
+
+
+def test_katz_of_odd_rows(spark, odd):
     assert katz.score(odd).count() == odd.count()
+    with pytest.raises(ValueError):
+        katz.score(odd, order=1)
 
 
 def test_katz_of_an_empty_table(empty):
