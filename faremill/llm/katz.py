@@ -10,7 +10,7 @@ the words seen after h, so that the probabilities after each h add up to one. A
 all too frequent to be discounted gets one more count in its denominator, which leaves its unseen words
 something. A text begins with a start mark, after which its first word is scored; ``order=2`` takes one word of context.
 
-How it runs. Word counts are a stored table. The ``HOT`` most frequent words, a fixed number, go to all
+How it runs. Word counts are a stored table. At most ``HOT`` words, the most frequent ones, go to all
 tasks as two arrays; nothing else of the vocabulary does. N-grams are dealt to parts by the word before
 the last, v, so that (u, v, w), (v, w) and both contexts meet in one part; where v is frequent beyond
 ``SPLIT_TOKENS`` (or the start mark), by v and one of as many portions of u as it needs, and the counts of
@@ -40,15 +40,17 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.common import remainder, stored, text_of, text_words
+from faremill.llm.common import remainder, stored, text_of
 from faremill.llm.segments import WordHashes, mix
 
 K = 5
-HOT = 1 << 18
-SPLIT_TOKENS = 1_500_000
-PART_TOKENS = 3_000_000
-CHUNK_CHARS = 6_000_000
-END = b""
+HOT = 1 << 19
+SPLIT_TOKENS = 500_000
+PART_TOKENS = 1_000_000
+CHUNK_CHARS = 3_000_000
+RUN_BYTES = 4_000_000
+#: The end token: never part of UTF-8, it stands between texts while a chunk is split into words.
+END = b"\xff"
 START = np.uint64(1)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -137,15 +139,19 @@ class Words:
         ranks = self.ranks[at] if len(self.ranks) else at
         return np.where(known, ranks, HOT + np.arange(len(keys)))
 
-    def hot_counts(self, words: np.ndarray) -> np.ndarray:
+    def counts_of(self, keys: np.ndarray) -> np.ndarray:
         """Counts of hot words, 0 of others."""
-        at, known = _spots(self.ordered, words)
-        return np.where(known, self.counts[self.ranks[at]], 0) if len(self.keys) else np.zeros(len(words), np.int64)
+        codes = self.codes(keys)
+        return np.append(self.counts, 0)[np.where(codes < HOT, codes, len(self.counts))]
 
-    def portions(self, words: np.ndarray) -> np.ndarray:
+    def counts_at(self, keys: np.ndarray) -> np.ndarray:
+        """The same for keys that begin with the hot words and go on with others."""
+        return np.append(self.counts, np.zeros(len(keys) - len(self.counts), np.int64))
+
+    def portions(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Into how many portions the n-grams with this word before the last are dealt."""
-        n = -(-self.hot_counts(words) // self.split_tokens)
-        return np.where(words == START, max(2, -(-self.texts // self.split_tokens)), np.maximum(n, 1))
+        n = np.maximum(-(-counts // self.split_tokens), 1)
+        return np.where(keys == START, max(2, -(-self.texts // self.split_tokens)), n)
 
 
 @dataclass
@@ -161,9 +167,9 @@ class Levels:
 
 def _hashes(texts, memory: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words and ends, and the number of tokens of each text."""
-    rows = [[memory[w] for w in text_words(t)] + [memory[END]] for t in texts]
-    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-    return np.fromiter((h for row in rows for h in row), np.uint64, int(sizes.sum())), sizes
+    marked = (" \udcff ".join(texts) + " \udcff").encode("utf-8", "surrogateescape")
+    flat = np.fromiter(map(memory.__getitem__, marked.lower().split()), np.uint64)
+    return flat, np.diff(np.flatnonzero(flat == np.uint64(memory[END])), prepend=-1)
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -176,32 +182,56 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield batch.iloc[low:high]
 
 
+def _planes(column: np.ndarray) -> bytes:
+    """Differences of neighbours, or the numbers if these have more bits, byte by byte of all: high bytes compress away."""
+    steps = np.diff(column, prepend=0)
+    ordered = bool((steps >= 0).all())
+    raw = (steps if ordered else column).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return bytes([ordered]) + raw.tobytes()
+
+
 def _encoded(keys: np.ndarray, codes: np.ndarray, words: list[np.ndarray], rest: list[np.ndarray]) -> bytes:
     """Columns of words (places in ``keys``) and of numbers below 2**32, compressed; hot words travel as ranks."""
     columns = [codes[w] for w in words]
     rare = np.unique(np.concatenate([np.unique(w[c >= HOT]) for w, c in zip(words, columns)]))
     columns = [np.where(c >= HOT, HOT + np.searchsorted(rare, w), c) for w, c in zip(words, columns)]
     head = np.asarray([len(rare), len(columns[0])], "<i8").tobytes()
-    body = b"".join(c.astype("<u4").tobytes() for c in [*columns, *rest])
+    body = b"".join(_planes(c) for c in [*columns, *rest])
     return zstandard.compress(head + keys[rare].astype("<u8").tobytes() + body, 3)
 
 
-def _decoded(blob: bytes, own: Words) -> list[np.ndarray]:
-    """The columns of ``_encoded``, three of them words as hashes."""
-    raw = zstandard.decompress(blob)
-    rare, rows = map(int, np.frombuffer(raw, "<i8", 2))
-    keys = np.frombuffer(raw, "<u8", rare, 16)
-    columns = np.frombuffer(raw, "<u4", offset=16 + 8 * rare).reshape(-1, rows).astype(np.int64)
-    table = lambda c: np.where(c < HOT, _take(own.keys, c), _take(keys, c - HOT))
-    return [table(c) for c in columns[:3]] + list(columns[3:])
+def _decoded(blobs, own: Words, extra: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(keys, columns) of several ``_encoded``: u, v and w as places in keys, which begin with the hot words.
 
-
-def _take(values: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return values[at.clip(0, len(values) - 1)] if len(values) else np.zeros(len(at), np.uint64)
+    With two or more extra columns the last of all tells the blob.
+    """
+    found, sides = [], []
+    for blob in blobs:
+        raw = zstandard.decompress(blob)
+        rare, rows = map(int, np.frombuffer(raw, "<i8", 2))
+        sides.append(np.frombuffer(raw, "<u8", rare, 16))
+        columns = []
+        for at in range(3 + extra):
+            start = 16 + 8 * rare + at * (4 * rows + 1)
+            planes = np.frombuffer(raw, np.uint8, 4 * rows, start + 1).reshape(4, rows)
+            column = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+            columns.append(np.cumsum(column) if raw[start] else column)
+        if extra > 1:
+            columns.append(np.full(rows, len(found)))
+        found.append(columns)
+    rare = np.unique(np.concatenate([np.empty(0, np.uint64), *sides]))
+    for columns, side in zip(found, sides):
+        places = np.searchsorted(rare, side) + len(own.keys)
+        for at in range(3):
+            c = columns[at]
+            far = c >= HOT
+            c[far] = places[c[far] - HOT]
+    joined = [np.concatenate([np.empty(0, np.int64), *c]) for c in zip(*found)] if found else [np.empty(0, np.int64)] * (3 + extra + (extra > 1))
+    return np.concatenate([own.keys, rare]), joined
 
 
 def _ngrams(texts, memory: WordHashes, own: Words, order: int):
-    """(keys, codes, places of u, v and w in keys, index of the text, tokens of each text) of a chunk."""
+    """(keys, places of u, v and w in keys, index of the text, tokens of each text) of a chunk."""
     flat, sizes = _hashes(texts, memory)
     keys, places = np.unique(np.append(flat, START), return_inverse=True)
     w, start = places[:-1], places[-1]
@@ -212,12 +242,12 @@ def _ngrams(texts, memory: WordHashes, own: Words, order: int):
     u[first] = start
     if order == 2:
         u[:] = start
-    return keys, own.codes(keys), u, v, w, np.repeat(np.arange(len(sizes)), sizes), sizes
+    return keys, u, v, w, np.repeat(np.arange(len(sizes)), sizes), sizes
 
 
 def _dealt(keys, own: Words, u, v, w, parts: int, order: int) -> np.ndarray:
     """The part of each n-gram. Those without u are dealt by w where v is split."""
-    portions = own.portions(keys)
+    portions = own.portions(keys, own.counts_of(keys))
     by = keys[np.where((keys[v] == START) | (order == 2), w, u)]
     sub = mix(by) % portions[v].astype(np.uint64)
     return (_pair(keys[v], sub) % np.uint64(parts)).astype(np.int64)
@@ -252,7 +282,12 @@ def word_model(listed: DataFrame, hot: int = HOT, split_tokens: int = SPLIT_TOKE
     end = int(np.uint64(end).astype(np.int64))
     texts = F.max(F.when(F.col("w") == end, F.col("c"))).alias("texts")
     sums = listed.agg(F.sum("c").alias("total"), F.count("*").alias("size"), texts, *_times_of("c")).first()
-    top = listed.orderBy(F.desc("c"), "w").limit(min(hot, HOT)).toArrow()
+    # counts fall into some hundred bins; the bins from the top that hold at most ``hot`` words together are taken whole
+    bin_of = F.floor(16 * F.log2("c"))
+    bins = sorted(listed.groupBy(bin_of.alias("bin")).count().collect(), reverse=True)
+    held = np.cumsum([b["count"] for b in bins])
+    lowest = [b["bin"] for b, n in zip(bins, held) if n <= min(hot, HOT)]
+    top = listed.where(bin_of >= (lowest[-1] if lowest else 1 << 20)).toArrow().sort_by([("c", "descending"), ("w", "ascending")])
     times = np.asarray([sums[f"n{r}"] or 0 for r in range(1, K + 2)])
     keys, counts = top["w"].to_numpy().astype(np.int64).view(np.uint64), top["c"].to_numpy().astype(np.int64)
     return Words(keys, counts, sums["total"] or 0, sums["size"], sums["texts"] or 0, times, split_tokens)
@@ -264,7 +299,8 @@ def count_ngrams(train: DataFrame, words, parts: int, order: int) -> DataFrame:
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory, own = WordHashes(), words.value
         for chunk in _chunks(batches):
-            keys, codes, u, v, w, _, _ = _ngrams(chunk["text"], memory, own, order)
+            keys, u, v, w, _, _ = _ngrams(chunk["text"], memory, own, order)
+            codes = own.codes(keys)
             _, first, n = np.unique(_alike(keys, u, v, w), return_index=True, return_counts=True)
             u, v, w = u[first], v[first], w[first]
             part = _dealt(keys, own, u, v, w, parts, order)
@@ -274,14 +310,12 @@ def count_ngrams(train: DataFrame, words, parts: int, order: int) -> DataFrame:
 
     def add(batch: pd.DataFrame) -> pd.DataFrame:
         own = words.value
-        u, v, w, n = (np.concatenate(c) for c in zip(*(_decoded(b, own) for b in batch["ngrams"])))
-        keys, places = np.unique(np.concatenate([u, v, w]), return_inverse=True)
-        u, v, w = np.split(places, 3)
+        keys, (u, v, w, n) = _decoded(batch["ngrams"], own, 1)
         _, first, where = np.unique(_alike(keys, u, v, w), return_index=True, return_inverse=True)
         n = np.bincount(where, weights=n).astype(np.int64)
         u, v, w = u[first], v[first], w[first]
-        whole = (own.portions(keys) == 1)[v]
-        _, where = np.unique(_pair(keys[v[whole]], keys[w[whole]]), return_inverse=True)
+        whole = (own.portions(keys, own.counts_at(keys)) == 1)[v]
+        _, where = np.unique(v[whole] * len(keys) + w[whole], return_inverse=True)
         two = _seen_times(np.bincount(where, weights=n[whole]).astype(np.int64))
         three = _seen_times(n[(keys[v] != START) & (order == 3)])
         blob = _encoded(keys, own.codes(keys), [u, v, w], [n])
@@ -299,14 +333,16 @@ def _pairs_of(model: DataFrame, words, split: bool) -> DataFrame:
         own = words.value
         for batch in batches:
             for part, blob in zip(batch["part"], batch["ngrams"]):
-                _, v, w, n = _decoded(blob, own)
-                wanted = (own.portions(v) > 1) == split
+                keys, (_, v, w, n) = _decoded([blob], own, 1)
+                counts = own.counts_at(keys)
+                wanted = (own.portions(keys, counts) > 1)[v] == split
                 if not split:
-                    wanted &= own.hot_counts(w) == 0
+                    wanted &= counts[w] == 0
                 v, w, n = v[wanted], w[wanted], n[wanted]
-                b, first, where = np.unique(_pair(v, w), return_index=True, return_inverse=True)
-                c = np.bincount(where, weights=n, minlength=len(b)).astype(np.int64)
-                signed = [x.view(np.int64) for x in (v[first], w[first], b)]
+                _, first, where = np.unique(v * len(keys) + w, return_index=True, return_inverse=True)
+                c = np.bincount(where, weights=n, minlength=len(first)).astype(np.int64)
+                v, w = keys[v[first]], keys[w[first]]
+                signed = [x.view(np.int64) for x in (v, w, _pair(v, w))]
                 yield pd.DataFrame({"part": part, "v": signed[0], "w": signed[1], "b": signed[2], "c": c})
 
     return model.select("part", "ngrams").mapInPandas(look, "part long, v long, w long, b long, c long")
@@ -340,75 +376,79 @@ def _backoff(mass, total, small, seen):
     return below, (1 - mass / below) / np.maximum(1 - seen, 1e-300)
 
 
-def _sums(where: np.ndarray, size: int, counts: np.ndarray, d: np.ndarray, lower: np.ndarray):
-    add = lambda x: np.bincount(where, weights=x, minlength=size)
-    return _backoff(add(discounted(counts, d)), add(counts).astype(np.int64), add(counts < len(d)) > 0, add(lower))
-
-
 class PartModel:
     """One part's n-grams with their probabilities, and its contexts with their backoff weights."""
 
     def __init__(self, counted: pd.DataFrame, own: Words, levels: Levels, order: int):
-        blobs = counted.loc[counted["kind"] == 0, "ngrams"]
-        empty = np.empty(0, np.uint64)
-        u, v, w, n = _decoded(blobs.iloc[0], own) if len(blobs) else (empty, empty, empty, np.empty(0, np.int64))
+        keys, (u, v, w, n) = _decoded(counted.loc[counted["kind"] == 0, "ngrams"], own, 1)
+        counts = own.counts_at(keys)
         # pairs: counts are whole where v isn't split, else they are looked up
-        self.pairs, first, pair = np.unique(_pair(v, w), return_index=True, return_inverse=True)
-        c = np.bincount(pair, weights=n, minlength=len(self.pairs)).astype(np.int64)
+        _, first, pair = np.unique(v * len(keys) + w, return_index=True, return_inverse=True)
+        c = np.bincount(pair, weights=n, minlength=len(first)).astype(np.int64)
         pv, pw = v[first], w[first]
-        whole = own.portions(pv) == 1
+        hashed = _pair(keys[pv], keys[pw])
+        by = np.argsort(hashed)
+        self.pairs = hashed[by]
+        whole = (own.portions(keys, counts) == 1)[pv]
         totals = counted[counted["kind"] == 1]
         at, known = _spots(self.pairs, totals["key"].to_numpy(np.int64).view(np.uint64))
-        c[at[known]] = totals["value"].to_numpy(float)[known].astype(np.int64)
-        hot = own.hot_counts(pw)
-        seen = np.where(hot > 0, own.p(hot), 0.0)
-        self.heads, head = np.unique(pv[whole], return_inverse=True)
+        c[by[at[known]]] = totals["value"].to_numpy(float)[known].astype(np.int64)
+        # contexts of one word
+        seen = np.where(counts[pw] > 0, own.p(counts[pw]), 0.0)[whole]
+        self.heads, head = np.unique(keys[pv[whole]], return_inverse=True)
+        add = lambda x: np.bincount(head, weights=x, minlength=len(self.heads))
+        shares = add(seen)
         rare = counted[counted["kind"] == 2]
-        below, _ = _sums(head, len(self.heads), c[whole], levels.two, seen[whole])
-        shares = np.bincount(head, weights=seen[whole], minlength=len(self.heads))
         at, known = _spots(self.heads, rare["key"].to_numpy(np.int64).view(np.uint64))
         np.add.at(shares, at[known], rare["value"].to_numpy(float)[known])
-        mass = np.bincount(head, weights=discounted(c[whole], levels.two), minlength=len(self.heads))
-        self.head_weight = (1 - mass / below) / np.maximum(1 - shares, 1e-300)
+        low = c[whole]
+        below, self.head_weight = _backoff(add(discounted(low, levels.two)), add(low).astype(np.int64), add(low <= K) > 0, shares)
         under = np.ones(len(c))
         under[whole] = below[head]
-        if (~whole).any():
-            under[~whole] = levels.below[_spots(levels.split, pv[~whole])[0]]
-        self.p_pairs = discounted(c, levels.two) / under
+        if not whole.all():
+            under[~whole] = levels.below[_spots(levels.split, keys[pv[~whole]])[0]]
+        p_pairs = discounted(c, levels.two) / under
+        self.p_pairs = p_pairs[by]
         # three words
-        long = (v != START) & (order == 3)
+        long = (keys[v] != START) & (order == 3)
         u, v, w, n, pair = u[long], v[long], w[long], n[long], pair[long]
-        context = _pair(u, v)
-        self.contexts, where = np.unique(context, return_inverse=True)
-        below, self.context_weight = _sums(where, len(self.contexts), n, levels.three, self.p_pairs[pair])
-        threes = _pair(context, w)
+        _, first, where = np.unique(v * len(keys) + u, return_index=True, return_inverse=True)
+        add = lambda x: np.bincount(where, weights=x, minlength=len(first))
+        mass = discounted(n, levels.three)
+        below, weight = _backoff(add(mass), add(n).astype(np.int64), add(n <= K) > 0, add(p_pairs[pair]))
+        contexts = _pair(keys[u[first]], keys[v[first]])
+        threes, p_threes = _pair(contexts[where], keys[w]), mass / below[where]
+        by = np.argsort(contexts)
+        self.contexts, self.context_weight = contexts[by], weight[by]
         by = np.argsort(threes)
-        self.threes, self.p_threes = threes[by], (discounted(n, levels.three) / below[where])[by]
-
-
-def _scored(model: PartModel, own: Words, order: int, u, v, w):
-    """log10 of what the part knows of each token; whether its pair must be looked up; whether its word must."""
-    logs = np.zeros(len(w))
-    long = (v != START) & (order == 3)
-    context = _pair(u, v)
-    at, done = _spots(model.threes, _pair(context, w))
-    done &= long
-    logs[done] = np.log10(model.p_threes[at[done]])
-    at, known = _spots(model.contexts, context)
-    back = ~done & long & known
-    logs[back] += np.log10(model.context_weight[at[back]])
-    split = own.portions(v) > 1
-    at, known = _spots(model.pairs, _pair(v, w))
-    pair = ~done & ~split & known
-    logs[pair] += np.log10(model.p_pairs[at[pair]])
-    last = ~done & ~split & ~known
-    at, known = _spots(model.heads, v)
-    back = last & known
-    logs[back] += np.log10(model.head_weight[at[back]])
-    c = own.hot_counts(w)
-    hot = last & (c > 0)
-    logs[hot] += np.log10(own.p(c[hot]))
-    return logs, ~done & split, last & (c == 0), c == 0
+        self.threes, self.p_threes = threes[by], p_threes[by]
+
+
+def _scored(model: PartModel, own: Words, order: int, keys, u, v, w):
+    """log10 of what the part knows of each token; whether its pair must be looked up; its word; whether that isn't hot."""
+    counts = own.counts_at(keys)
+    split, rare = (own.portions(keys, counts) > 1)[v], counts[w] == 0
+    logs, pair, word = np.zeros(len(w)), np.zeros(len(w), bool), np.zeros(len(w), bool)
+
+    def found(rows, table, values, wanted):
+        """Adds the logarithm of what the table holds; the rows that it doesn't hold."""
+        at, known = _spots(table, wanted)
+        logs[rows[known]] += np.log10(values[at[known]])
+        return rows[~known]
+
+    long = np.flatnonzero((keys[v] != START) & (order == 3))
+    context = _pair(keys[u[long]], keys[v[long]])
+    left = found(long, model.threes, model.p_threes, _pair(context, keys[w[long]]))
+    found(left, model.contexts, model.context_weight, _pair(keys[u[left]], keys[v[left]]))
+    left = np.union1d(left, np.flatnonzero((keys[v] == START) | (order == 2)))
+    pair[left] = split[left]
+    left = left[~split[left]]
+    left = found(left, model.pairs, model.p_pairs, _pair(keys[v[left]], keys[w[left]]))
+    found(left, model.heads, model.head_weight, keys[v[left]])
+    word[left] = rare[left]
+    left = left[~rare[left]]
+    logs[left] += np.log10(own.p(counts[w[left]]))
+    return logs, pair, word, rare
 
 
 SUMS = "part long, base long, kind int, blob binary, at int, v long, w long, n long, back boolean, rare boolean"
@@ -417,7 +457,20 @@ _LINE = np.dtype(
 )
 
 
-def _sent(part: int, base: int, kind: int, rows: int, blob=None, at=0, v=0, w=0, n=0, back=False, rare=False) -> pd.DataFrame:
+def _columns(rows: pd.DataFrame):
+    return zip(rows["part"], rows["base"], rows["blob"])
+
+
+def _runs(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows with about ``RUN_BYTES`` of blobs each."""
+    ends = rows["blob"].str.len().to_numpy(np.int64).cumsum() // RUN_BYTES
+    cuts = np.flatnonzero(np.diff(ends)) + 1
+    for low, high in zip([0, *cuts], [*cuts, len(rows)]):
+        if high > low:
+            yield rows.iloc[low:high]
+
+
+def _sent(part: int, base, kind: int, rows: int, blob=None, at=0, v=0, w=0, n=0, back=False, rare=False) -> pd.DataFrame:
     """Rows of ``SUMS``: a chunk's documents (0), its sums in one part (1), its tokens that need a look-up (2)."""
     columns = {"part": part, "base": base, "kind": kind, "blob": blob, "at": at, "v": v, "w": w, "n": n, "back": back, "rare": rare}
     made = pd.DataFrame(columns, index=range(rows))
@@ -489,15 +542,15 @@ def score(
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory, own = WordHashes(), words.value
         for chunk in _chunks(batches):
-            keys, codes, u, v, w, at, sizes = _ngrams(chunk["text"], memory, own, order)
-            c = own.hot_counts(keys)
+            keys, u, v, w, at, sizes = _ngrams(chunk["text"], memory, own, order)
+            codes, c = own.codes(keys), own.counts_of(keys)
             unit = np.where(c > 0, np.log10((c + 1) / (own.total + own.size + 1)), 0.0)
             ids = chunk["doc_id"]
             lines = [ids.isna(), ids.fillna(0).astype(np.int64), chunk["held_out"], sizes]
             lines += [np.bincount(at, (c > 0)[w], len(sizes)), np.bincount(at, unit[w], len(sizes)), np.zeros(len(sizes))]
             body = np.rec.fromarrays(lines, dtype=_LINE).tobytes()
             alike = _alike(keys, u, v, w)
-            by = np.argsort(alike, kind="stable")
+            by = np.lexsort((alike, at))
             new = np.append(True, (np.diff(alike[by]) != 0) | (np.diff(at[by]) != 0))
             n = np.diff(np.append(np.flatnonzero(new), len(by)))
             by = by[new]
@@ -518,21 +571,23 @@ def score(
     def meet(tokens: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         own = words.value
         known = PartModel(counts, own, shared.value, order)
-        found = []
-        for part, base, kind, blob in zip(tokens["part"], tokens["base"], tokens["kind"], tokens["blob"]):
-            if kind == 0:
-                found.append(_sent(part, base, 0, 1, blob=blob))
-                continue
-            u, v, w, at, n = _decoded(blob, own)
-            logs, pair, word, rare = _scored(known, own, order, u, v, w)
-            texts, where = np.unique(at, return_inverse=True)
-            body = texts.astype("<u4").tobytes() + np.bincount(where, logs * n).astype("<f8").tobytes()
-            found.append(_sent(part, base, 1, 1, blob=zstandard.compress(body, 1)))
+        found = [_sent(part, base, 0, 1, blob=blob) for part, base, blob in _columns(tokens[tokens["kind"] == 0])]
+        for run in _runs(tokens[tokens["kind"] == 1]):
+            part, bases = run["part"].iloc[0], run["base"].to_numpy()
+            keys, (u, v, w, at, n, which) = _decoded(run["blob"], own, 2)
+            logs, pair, word, rare = _scored(known, own, order, keys, u, v, w)
+            # texts of all chunks in the run, in order
+            texts, where = np.unique((which << 32) | at, return_inverse=True)
+            sums, of = np.bincount(where, logs * n), texts >> 32
+            cuts = np.searchsorted(of, np.arange(len(bases) + 1))
+            for base, low, high in zip(bases, cuts, cuts[1:]):
+                body = (texts[low:high] & 0xFFFFFFFF).astype("<u4").tobytes() + sums[low:high].astype("<f8").tobytes()
+                found.append(_sent(part, base, 1, 1, blob=zstandard.compress(body, 1)))
             left = pair | word | rare
-            heads = pd.arrays.IntegerArray(v[left].view(np.int64), ~pair[left])
-            last = w[left].view(np.int64)
+            heads = pd.arrays.IntegerArray(keys[v[left]].view(np.int64), ~pair[left])
+            last, back = keys[w[left]].view(np.int64), (pair | word)[left]
             found.append(
-                _sent(part, base, 2, len(last), at=at[left], v=heads, w=last, n=n[left], back=(pair | word)[left], rare=rare[left])
+                _sent(part, bases[which[left]], 2, len(last), at=at[left], v=heads, w=last, n=n[left], back=back, rare=rare[left])
             )
         return pd.concat(found, ignore_index=True) if found else _sent(0, 0, 0, 0)
 
