@@ -203,7 +203,11 @@ def _select_ranks(runs: DataFrame, targets: DataFrame, keys: list[str]) -> DataF
 
 
 def _match(left: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join on keys that may be NULL (a group of its own)."""
-    renamed = small.withColumnsRenamed({k: f"_{k}" for k in keys})
+    """Equi-join on keys that may be NULL (a group of its own).
+
+    ``small`` has a few rows per group and column, so it goes to the rows: dealt by their few keys, these
+    would all land in as many tasks.
+    """
+    renamed = F.broadcast(small.withColumnsRenamed({k: f"_{k}" for k in keys}))
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     return left.join(renamed, same, how).drop(*[f"_{k}" for k in keys])

@@ -51,8 +51,8 @@ def rank_errors(df: DataFrame, claims: DataFrame, measures: Sequence[str], by: S
     values that repeat span a range of ranks, from which the error is measured.
     """
     named = claims.select(*by, *[F.col(m).alias(f"_{m}") for m in measures])
-    # without groups the claims are one row
-    joined = df.join(named, list(by)) if by else df.join(F.broadcast(named), F.lit(True))
+    # one row per group: dealt by so few keys, the values would all land in as many tasks
+    joined = df.join(F.broadcast(named), list(by) if by else F.lit(True))
 
     def against(measure: str) -> Column:
         return F.transform(
