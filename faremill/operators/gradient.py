@@ -3,8 +3,8 @@
 Rows stay where Spark put them. A step is one job: every task adds up the gradient of its rows at the
 shared parameters and returns one array, the arrays are added in a two-level tree, and the driver takes
 the step. No task updates parameters of its own, so neither cores, files nor partitions are part of the
-model. Mini-batches are chosen by row hash (``part``), which layouts don't change either; stored by
-``part``, a step reads its own rows only.
+model. Mini-batches are chosen by row hash (``part``), which layouts don't change either; each is kept
+as blocks of arrays, dealt over all cores, and a step reads its own blocks only.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext, cloudpickle
+from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 HELD_OUT = -1
 #: Arrays that the driver adds by itself; more are added in groups on the cluster first.
 FAN = 32
+#: Combinations of category columns that are looked up at once.
+GROUPED = 1024
 
 
 @dataclass(frozen=True)
@@ -188,6 +190,69 @@ def loss_and_gradient(parameters, inputs, target, layout: Layout, training: Trai
     return float(value.sum()), gradient
 
 
+def _category_groups(layout: Layout) -> list[list[int]]:
+    """Neighbouring category columns put together while their combinations stay few."""
+    groups: list[list[int]] = []
+    width = GROUPED + 1
+    for j, size in enumerate(layout.category_sizes):
+        width *= size + 1
+        if width > GROUPED:
+            groups.append([])
+            width = size + 1
+        groups[-1].append(j)
+    return groups
+
+
+def _grouped(codes: list[np.ndarray], layout: Layout, group: list[int]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The combination that each row has, and the input (or none, -1) of each combination per column."""
+    sizes, starts = layout.category_sizes, np.cumsum([layout.numeric, *layout.category_sizes])
+    shape = [sizes[j] + 1 for j in group]
+    combined = np.ravel_multi_index([codes[j] for j in group], shape)
+    places = np.unravel_index(np.arange(int(np.prod(shape))), shape)
+    return combined, [np.where(place < sizes[j], starts[j] + place, -1) for j, place in zip(group, places)]
+
+
+def block_forward(parameters: np.ndarray, block: Block, layout: Layout):
+    """Activations from the first layer on, and each group's combinations: one-hot inputs are looked up, not multiplied."""
+    stack = layers(parameters, layout)
+    weights, biases = stack[0]
+    known = np.vstack([weights, np.zeros((1, weights.shape[1]))])  # -1: no input
+    codes = block.codes(layout)
+    grouped = [_grouped(codes, layout, group) for group in _category_groups(layout)]
+    value = block.inputs.T @ weights[: layout.numeric] + biases
+    for combined, inputs in grouped:
+        value += sum(known[x] for x in inputs)[combined]
+    activations = []
+    for depth, (weights, biases) in enumerate(stack):
+        value = activations[-1] @ weights + biases if depth else value
+        activations.append(np.maximum(value, 0.0) if depth < len(stack) - 1 else value[:, 0])
+    return activations, grouped
+
+
+def block_gradient(parameters: np.ndarray, block: Block, layout: Layout, training: Training):
+    """``loss_and_gradient`` of a block, without its design matrix."""
+    activations, grouped = block_forward(parameters, block, layout)
+    value, slope = loss_of(activations[-1] - block.label, training)
+    gradient = np.zeros_like(parameters)
+    stack, out = layers(parameters, layout), layers(gradient, layout)
+    delta = slope[:, None]
+    for depth in range(len(stack) - 1, 0, -1):
+        below = activations[depth - 1]
+        out[depth][0][...] = below.T @ delta
+        out[depth][1][...] = delta.sum(axis=0)
+        delta = (delta @ stack[depth][0].T) * (below > 0)
+    out[0][0][: layout.numeric] = block.inputs @ delta
+    out[0][1][...] = delta.sum(axis=0)
+    for combined, inputs in grouped:
+        order = np.argsort(combined, kind="stable")
+        found, first = np.unique(combined[order], return_index=True)
+        sums = np.add.reduceat(delta[order], first, axis=0)
+        for places in inputs:
+            known = places[found] >= 0
+            np.add.at(out[0][0], places[found][known], sums[known])
+    return float(value.sum()), gradient
+
+
 @dataclass
 class Optimiser:
     """Parameters with their running moments and step counter."""
@@ -223,59 +288,113 @@ class Optimiser:
 # --- one distributed pass ---------------------------------------------------------------
 
 
-def summed(rows: DataFrame, kernel: Callable[[pd.DataFrame], np.ndarray], size: int, fan: int = FAN) -> np.ndarray:
-    """The sum of ``kernel`` (an array of ``size`` numbers) over all batches of all tasks.
+@dataclass(frozen=True)
+class Block:
+    """Some rows as arrays, a line per column: numbers with the label last, and category indices."""
+
+    numbers: np.ndarray
+    categories: np.ndarray
+
+    @property
+    def inputs(self) -> np.ndarray:
+        return self.numbers[:-1]
 
-    Every task returns one row. Up to ``fan`` of these go to the driver; more are first added in about as
-    many groups as each group has members. Rows are added in the order of their tasks.
+    @property
+    def label(self) -> np.ndarray:
+        return self.numbers[-1]
+
+    def codes(self, layout: Layout) -> list[np.ndarray]:
+        """An index per category column; one beyond the known ones for all that is unknown."""
+        return [
+            np.where((index >= 0) & (index < size), index, size)
+            for index, size in zip(self.categories.astype(np.int64), layout.category_sizes)
+        ]
+
+    def design(self, layout: Layout) -> np.ndarray:
+        return design_matrix(np.vstack([self.inputs, self.categories]).T, layout)
+
+
+def blocks_of(rows: DataFrame | RDD, layout: Layout) -> RDD:
+    """Compact rows with ``label`` as blocks, dealt evenly over the cores and kept by the executors.
+
+    Iterated passes read these in place of rows, so decoding, the transfer to Python and the number of
+    files are paid for once. What memory can't hold goes to disk; lost blocks are made again from the rows.
     """
+    if isinstance(rows, RDD):
+        return rows
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size)
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                total += kernel(batch)
-        yield pd.DataFrame({"task": [TaskContext.get().partitionId()], "sums": [total]})
+                numbers = batch[[*layout.columns[: layout.numeric], "label"]].to_numpy(float).T
+                categories = batch[layout.columns[layout.numeric :]].fillna(-1).to_numpy(np.int32).T
+                yield pd.DataFrame({"n": [len(batch)], "numbers": [numbers.tobytes()], "categories": [categories.tobytes()]})
+
+    def unpack(line) -> tuple[np.ndarray, np.ndarray]:
+        numbers = np.frombuffer(line["numbers"]).reshape(-1, line["n"])
+        return numbers, np.frombuffer(line["categories"], np.int32).reshape(-1, line["n"])
 
-    def added(lines: pd.DataFrame) -> pd.DataFrame:
-        lines = lines.sort_values("task")
-        return pd.DataFrame({"task": lines["task"].iloc[:1], "sums": [np.sum(np.stack(lines["sums"]), axis=0)]})
+    needed = rows.select(*layout.columns, "label")
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    dealt = needed.mapInPandas(pack, "n int, numbers binary, categories binary").repartition(max(cores, rows.rdd.getNumPartitions()))
+    return dealt.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def summed(blocks: RDD, kernel: Callable[[Block], np.ndarray], size: int, fan: int = FAN) -> np.ndarray:
+    """The sum of ``kernel`` (an array of ``size`` numbers) over all blocks of all tasks.
+
+    Every task returns one array. Up to ``fan`` of these go to the driver; more are first added in about as
+    many groups as each group has members. Arrays are added in the order of their tasks.
+    """
+
+    def partial(task: int, held: Iterator[tuple]) -> Iterator[tuple[int, np.ndarray]]:
+        total = np.zeros(size)
+        for arrays in held:
+            total += kernel(Block(*arrays))
+        yield task, total
 
-    shape = "task int, sums array<double>"
-    parts = rows.mapInPandas(partial, shape)
-    tasks = rows.rdd.getNumPartitions()
+    def added(lines) -> tuple[int, np.ndarray]:
+        lines = sorted(lines, key=lambda line: line[0])
+        return lines[0][0], np.sum(np.stack([line[1] for line in lines]), axis=0)
+
+    parts = blocks.mapPartitionsWithIndex(partial)
+    tasks = blocks.getNumPartitions()
     if tasks > fan:
         groups = int(np.ceil(np.sqrt(tasks)))
-        parts = parts.groupBy(F.pmod("task", F.lit(groups)).alias("group")).applyInPandas(added, shape)
+        parts = parts.map(lambda line: (line[0] % groups, line)).groupByKey(groups).mapValues(added).values()
     total = np.zeros(size)
-    for line in sorted(parts.collect(), key=lambda line: line["task"]):
-        total += np.asarray(line["sums"])
+    for _, array in sorted(parts.collect(), key=lambda line: line[0]):
+        total += array
     return total
 
 
-def batch_arrays(frame: pd.DataFrame, layout: Layout) -> tuple[np.ndarray, np.ndarray]:
-    """Inputs and labels of one batch of compact rows."""
-    inputs = design_matrix(frame[layout.columns].to_numpy(float), layout)
-    return inputs, frame["label"].to_numpy(float)
-
-
 def fit(rows: DataFrame, layout: Layout, training: Training) -> TrainedModel:
     """Train on ``rows``: compact columns, ``label`` and ``part`` (from 0, or ``HELD_OUT``).
 
-    Reads the rows of one part per step, so hand in data stored by part. Held-out rows are scored at
+    Each part is kept as blocks of its own, and a step reads one part. Held-out rows are scored at
     the start of each epoch. Stops when their loss has not improved by ``tolerance`` for ``patience``
     epochs; returns the best epoch.
     """
+    parts = {p: blocks_of(rows.filter(F.col("part") == p), layout) for p in (HELD_OUT, *range(training.batches))}
+    try:
+        return _fit(parts, layout, training)
+    finally:
+        for blocks in parts.values():
+            blocks.unpersist()
+
+
+def _fit(parts: dict[int, RDD], layout: Layout, training: Training) -> TrainedModel:
     state = Optimiser.start(initial_parameters(layout, training.seed))
     mask = weight_mask(layout)
     best, best_loss, waited = state.parameters, np.inf, 0
     history: list[dict] = []
     for epoch in range(training.max_epochs + 1):  # the last pass only scores
         start, seen = state.parameters, np.zeros(4)
+        seen[2:] = _held_out_loss(parts[HELD_OUT], state.parameters, layout, training)
         order = np.random.default_rng([training.seed, epoch]).permutation(training.batches)
-        for turn, part in enumerate(order):
-            counters, gradient = _pass(rows, state.parameters, layout, training, int(part), turn == 0)
-            seen += counters
+        for part in order:
+            counters, gradient = _pass(parts[int(part)], state.parameters, layout, training)
+            seen[:2] += counters
             if epoch < training.max_epochs and counters[0]:
                 state.step(gradient / counters[0], mask, training)
         measured = {
@@ -298,29 +417,28 @@ def distributed_gradient(
     rows: DataFrame, parameters: np.ndarray, layout: Layout, training: Training
 ) -> tuple[float, np.ndarray, int]:
     """Loss and gradient sums over the rows that aren't held out, and their number."""
-    counters, gradient = _pass(rows, parameters, layout, training, None, False)
+    blocks = blocks_of(rows.filter(F.col("part") != HELD_OUT), layout)
+    counters, gradient = _pass(blocks, parameters, layout, training)
+    blocks.unpersist()
     return counters[1], gradient, int(counters[0])
 
 
-def _pass(rows, parameters: np.ndarray, layout: Layout, training: Training, part: int | None, score: bool):
-    """(training rows, their loss, held-out rows, their loss) and the gradient's sum, all at ``parameters``."""
-    wanted = F.col("part") != HELD_OUT if part is None else F.col("part") == part
-    if score:
-        wanted = wanted | (F.col("part") == HELD_OUT)
-    needed = rows.filter(wanted).select(*layout.columns, "label", "part")
-
-    def kernel(frame: pd.DataFrame) -> np.ndarray:
-        out = np.zeros(4 + layout.size)
-        held = frame["part"].to_numpy() == HELD_OUT
-        if held.any():
-            inputs, label = batch_arrays(frame[held], layout)
-            guess = forward(parameters, inputs, layout)[-1]
-            out[2:4] = held.sum(), loss_of(guess - label, training)[0].sum()
-        if not held.all():
-            inputs, label = batch_arrays(frame[~held], layout)
-            loss, out[4:] = loss_and_gradient(parameters, inputs, label, layout, training)
-            out[:2] = len(label), loss
-        return out
-
-    sums = summed(needed, kernel, 4 + layout.size)
-    return sums[:4], sums[4:]
+def _pass(blocks: RDD, parameters: np.ndarray, layout: Layout, training: Training):
+    """(rows, their loss) and the gradient's sum at ``parameters``."""
+
+    def kernel(block: Block) -> np.ndarray:
+        loss, slope = block_gradient(parameters, block, layout, training)
+        return np.concatenate([[len(block.label), loss], slope])
+
+    sums = summed(blocks, kernel, 2 + layout.size)
+    return sums[:2], sums[2:]
+
+
+def _held_out_loss(blocks: RDD, parameters: np.ndarray, layout: Layout, training: Training) -> np.ndarray:
+    """(rows, their loss) at ``parameters``."""
+
+    def kernel(block: Block) -> np.ndarray:
+        residual = block_forward(parameters, block, layout)[0][-1] - block.label
+        return np.array([len(residual), loss_of(residual, training)[0].sum()])
+
+    return summed(blocks, kernel, 2)

@@ -12,11 +12,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
+from pyspark import RDD, cloudpickle
 from pyspark.sql import DataFrame
 
-from faremill.operators.gradient import Layout, TrainedModel, Training, batch_arrays, loss_of, summed
+from faremill.operators.gradient import Block, Layout, TrainedModel, Training, blocks_of, loss_of, summed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -38,8 +37,55 @@ class Gram:
         return float(self.yy - 2 * parameters @ self.xy + parameters @ self.xx @ parameters)
 
 
-def _with_ones(inputs: np.ndarray) -> np.ndarray:
-    return np.hstack([inputs, np.ones((len(inputs), 1))])
+class Design:
+    """Products with the inputs of a block and a last input of ones.
+
+    A one-hot input is never written out: its products are sums by category, so a row costs a few additions
+    for each pair of columns, not a multiplication for each pair of inputs.
+    """
+
+    def __init__(self, block: Block, layout: Layout):
+        self.dense = np.vstack([block.inputs, np.ones(len(block.label))])
+        self.codes = block.codes(layout)
+        self.sizes = layout.category_sizes
+        self.starts = np.cumsum([layout.numeric, *layout.category_sizes])
+        self.places = np.append(np.arange(layout.numeric), layout.size - 1)
+        self.size = layout.size
+
+    def times(self, parameters: np.ndarray) -> np.ndarray:
+        """The inputs times the parameters, row by row."""
+        out = parameters[self.places] @ self.dense
+        for start, size, code in zip(self.starts, self.sizes, self.codes):
+            out += np.append(parameters[start : start + size], 0.0)[code]
+        return out
+
+    def sums(self, weight: np.ndarray) -> np.ndarray:
+        """The sum of every input, weighted by row."""
+        out = np.empty(self.size)
+        out[self.places] = self.dense @ weight
+        for start, size, code in zip(self.starts, self.sizes, self.codes):
+            out[start : start + size] = np.bincount(code, weight, size + 1)[:size]
+        return out
+
+    def products(self, *weights: np.ndarray) -> list[np.ndarray]:
+        """The weighted sums of the products of all pairs of inputs."""
+        found = [np.zeros((self.size, self.size)) for _ in weights]
+        for out, weight in zip(found, weights):
+            weighted = self.dense * weight
+            out[np.ix_(self.places, self.places)] = weighted @ self.dense.T
+            for start, size, code in zip(self.starts, self.sizes, self.codes):
+                own = np.arange(start, start + size)
+                for place, line in zip(self.places, weighted):
+                    out[place, own] = out[own, place] = np.bincount(code, line, size + 1)[:size]
+                out[own, own] = out[-1, own]
+        for j, (start, size, code) in enumerate(zip(self.starts, self.sizes, self.codes)):
+            for k in range(j):
+                shape = (self.sizes[k] + 1, size + 1)
+                both, across = self.codes[k] * shape[1] + code, slice(self.starts[k], self.starts[k] + shape[0] - 1)
+                for out, weight in zip(found, weights):
+                    pairs = np.bincount(both, weight, shape[0] * shape[1]).reshape(shape)[:-1, :-1]
+                    out[across, start : start + size], out[start : start + size, across] = pairs, pairs.T
+        return found
 
 
 def _checked(layout: Layout) -> int:
@@ -50,16 +96,26 @@ def _checked(layout: Layout) -> int:
     return layout.size
 
 
-def gram(rows: DataFrame, layout: Layout) -> Gram:
-    """One pass over compact rows with ``label``."""
+def _summed(rows: DataFrame | RDD, kernel, size: int, layout: Layout) -> np.ndarray:
+    """The sum over rows, or over blocks that more passes read."""
+    blocks = blocks_of(rows, layout)
+    try:
+        return summed(blocks, kernel, size)
+    finally:
+        if blocks is not rows:
+            blocks.unpersist()
+
+
+def gram(rows: DataFrame | RDD, layout: Layout) -> Gram:
+    """One pass over compact rows with ``label``, or blocks of them."""
     p = _checked(layout)
 
-    def kernel(frame: pd.DataFrame) -> np.ndarray:
-        inputs, label = batch_arrays(frame, layout)
-        x = _with_ones(inputs)
-        return np.concatenate([(x.T @ x).ravel(), x.T @ label, [label @ label, len(label)]])
+    def kernel(block: Block) -> np.ndarray:
+        label, x = block.label, Design(block, layout)
+        xx = x.products(np.ones(len(label)))[0]
+        return np.concatenate([xx.ravel(), x.sums(label), [label @ label, len(label)]])
 
-    sums = summed(rows.select(*layout.columns, "label"), kernel, p * p + p + 2)
+    sums = _summed(rows, kernel, p * p + p + 2, layout)
     return Gram(sums[: p * p].reshape(p, p), sums[p * p : p * p + p], sums[-2], int(sums[-1]))
 
 
@@ -89,14 +145,21 @@ def ridge_path(rows: DataFrame, layout: Layout, alphas: Sequence[float]) -> list
 # --- robust loss ------------------------------------------------------------------------
 
 
-def fit_huber(rows: DataFrame, layout: Layout, training: Training) -> TrainedModel:
+def fit_huber(rows: DataFrame | RDD, layout: Layout, training: Training) -> TrainedModel:
     """The minimum of the mean Huber loss with L1 and L2 penalties on the slopes.
 
     Proximal Newton: a pass gives the gradient, the products of the rows inside the loss's quadratic
     part, and those of all rows weighted so that they bound the loss from above. A second pass compares
     steps towards the minimum of either model; the bound's always lowers the objective, Newton's soon
-    lands on the minimum. Some tens of passes, not thousands; each reads all rows, in any layout.
+    lands on the minimum. Some tens of passes, not thousands; each reads all rows, in any layout, as blocks
+    that the executors keep meanwhile.
     """
+    if isinstance(rows, DataFrame):
+        blocks = blocks_of(rows, layout)
+        try:
+            return fit_huber(blocks, layout, training)
+        finally:
+            blocks.unpersist()
     penalised = np.append(np.ones(layout.size - 1), 0.0)
     parameters = solved(gram(rows, layout), 1.0)
     history: list[dict] = []
@@ -133,38 +196,36 @@ def _penalty(parameters: np.ndarray, training: Training) -> float:
     return float(training.l2 / 2 * slopes @ slopes + training.l1 * np.abs(slopes).sum())
 
 
-def huber_state(rows: DataFrame, parameters: np.ndarray, layout: Layout, training: Training) -> HuberState:
+def huber_state(rows: DataFrame | RDD, parameters: np.ndarray, layout: Layout, training: Training) -> HuberState:
     p = _checked(layout)
 
-    def kernel(frame: pd.DataFrame) -> np.ndarray:
-        inputs, label = batch_arrays(frame, layout)
-        x = _with_ones(inputs)
-        residual = x @ parameters - label
+    def kernel(block: Block) -> np.ndarray:
+        x = Design(block, layout)
+        residual = x.times(parameters) - block.label
         value, slope = loss_of(residual, training)
         size = np.abs(residual)
-        inside = x[size <= training.huber_epsilon]
+        inside = (size <= training.huber_epsilon).astype(float)
         weight = training.huber_epsilon / np.maximum(size, training.huber_epsilon)
-        products = [(inside.T @ inside).ravel(), (x.T @ (x * weight[:, None])).ravel()]
-        return np.concatenate([[len(label), value.sum()], x.T @ slope, *products])
+        products = [found.ravel() for found in x.products(inside, weight)]
+        return np.concatenate([[len(residual), value.sum()], x.sums(slope), *products])
 
-    sums = summed(rows.select(*layout.columns, "label"), kernel, 2 + p + 2 * p * p)
+    sums = _summed(rows, kernel, 2 + p + 2 * p * p, layout)
     means = sums[1:] / max(sums[0], 1.0)
     inside, bound = means[1 + p :].reshape(2, p, p)
     return HuberState(means[0] + _penalty(parameters, training), means[1 : 1 + p], inside, bound)
 
 
 def huber_objectives(
-    rows: DataFrame, trials: Sequence[np.ndarray], layout: Layout, training: Training
+    rows: DataFrame | RDD, trials: Sequence[np.ndarray], layout: Layout, training: Training
 ) -> np.ndarray:
     """The objective of several parameters, in one pass."""
-    together = np.column_stack(trials)
 
-    def kernel(frame: pd.DataFrame) -> np.ndarray:
-        inputs, label = batch_arrays(frame, layout)
-        residual = _with_ones(inputs) @ together - label[:, None]
-        return np.append(loss_of(residual, training)[0].sum(axis=0), len(label))
+    def kernel(block: Block) -> np.ndarray:
+        x = Design(block, layout)
+        losses = [loss_of(x.times(trial) - block.label, training)[0].sum() for trial in trials]
+        return np.append(losses, len(block.label))
 
-    sums = summed(rows.select(*layout.columns, "label"), kernel, len(trials) + 1)
+    sums = _summed(rows, kernel, len(trials) + 1, layout)
     return sums[:-1] / max(sums[-1], 1.0) + np.array([_penalty(t, training) for t in trials])
 
 
