@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -41,10 +41,14 @@ def refresh_partitions(df: DataFrame, path: str, by: str, values: Sequence[str],
     """
     spark = df.sparkSession
     wanted = df.filter(F.col(by).isin(list(values)))
-    fresh = wanted.hint("rebalance", by)
+    # rows per value are counted while they are written: `df` may be a large join
+    written = Observation()
+    counts = [F.count_if(F.col(by) == F.lit(value)).alias(f"n{i}") for i, value in enumerate(values)]
+    fresh = (wanted.observe(written, *counts) if values else wanted).hint("rebalance", by)
     fresh.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).save(path)
     kept = {row[0] for row in spark.read.format(fmt).load(path).filter(F.col(by).isin(list(values))).select(by).distinct().collect()}
-    present = {row[0] for row in wanted.select(by).distinct().collect()}
+    found = written.get if values else {}
+    present = {value for i, value in enumerate(values) if found[f"n{i}"]}
     for value in kept - present:  # as many as values at most
         empty = spark.createDataFrame([], spark.read.format(fmt).load(path).schema).drop(by)
         empty.write.format(fmt).mode("overwrite").save(f"{path}/{by}={value}")

@@ -13,7 +13,7 @@ from faremill.functions.portions import unit_hash
 from faremill.operators import features, gradient, least_squares, regression, sampling, saved
 from faremill.operators.category_index import category_index, onehot_counts
 from faremill.plans import modelling
-from faremill.session import ensure_checkpoint_dir
+from faremill.session import ensure_checkpoint_dir, stored
 from harness import trip_view as tv
 
 ROW_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -34,8 +34,8 @@ def prepared(trips: DataFrame, compact: bool = True) -> modelling.Prepared:
 
 
 def encoded_rows(trips: DataFrame) -> DataFrame:
-    """Imputed, scaled and indexed features of every row."""
-    frame = split_frame(trips)
+    """Imputed, scaled and indexed features of every row; the encoder reads stored rows, several times."""
+    frame = stored(split_frame(trips).select(*ROW_KEYS, "split", *features.NUMERIC, *features.CATEGORICAL), "split-rows")
     encoder = features.fit_preprocessor(frame.filter(F.col("split") == "train"))
     compact = encoder.compact(frame, *ROW_KEYS, "split")
     return compact.withColumns({f"x{i}": F.round(f"x{i}", 6) for i in range(len(encoder.numeric))})
