@@ -42,7 +42,7 @@ def encoded_rows(trips: DataFrame) -> DataFrame:
 
 
 def onehot(trips: DataFrame) -> DataFrame:
-    frame = split_frame(trips).select("split", *features.CATEGORICAL)
+    frame = stored(split_frame(trips).select("split", *features.CATEGORICAL), "split-categories")
     table = category_index(frame.filter(F.col("split") == "train"), features.CATEGORICAL)
     return onehot_counts(frame, table, features.CATEGORICAL, "split")
 
