@@ -113,11 +113,13 @@ def saved_models(trips: DataFrame) -> DataFrame:
     models["huber"] = modelling.fit_huber(made)
     models["mlp"] = modelling.fit_compact(made, modelling.MLP_HIDDEN, modelling.shortened(modelling.MLP, 1))
     folder = f"{ensure_checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
+    scored_columns = ["pickup_ts", *[c for c in (*features.NUMERIC, *features.CATEGORICAL) if c in trips.columns]]
     known = sampling.temporal_split(
         trips.filter(F.col("total_amount").isNotNull()).withColumn("month", F.date_format("pickup_ts", "yyyy-MM")),
         tv.TEST_MONTHS,
         _unit(),
-    ).drop("month")
+    )
+    known = stored(known.select("split", *scored_columns), "scored-trips")  # every model reads them
     parts = []
     for name, model in models.items():
         regression.save_model(saved.amount_pipeline(made.encoder, model, clip=8.0), f"{folder}/{name}")
