@@ -15,11 +15,11 @@ SIZE = 4096
 RANK_ERROR = 0.002
 
 
-def measure_sketches(df: DataFrame, measures: Mapping[str, Column], by: Sequence[str | Column], size: int = SIZE) -> DataFrame:
-    """Per group and measure ``{m}_sketch`` (NULL without values), ``{m}_n``, ``{m}_sum``, ``{m}_min`` and ``{m}_max``."""
+def _parts(measures: Mapping[str, Column], size: int, only: Column | None = None) -> list[Column]:
+    """The columns of ``measure_sketches``, of all rows or of some."""
     parts = []
     for name, value in measures.items():
-        value = value.cast("double")
+        value = value.cast("double") if only is None else F.when(only, value.cast("double"))
         parts += [
             F.kll_sketch_agg_double(value, F.lit(size)).alias(f"{name}_sketch"),
             F.count(value).alias(f"{name}_n"),
@@ -27,7 +27,34 @@ def measure_sketches(df: DataFrame, measures: Mapping[str, Column], by: Sequence
             F.min(value).alias(f"{name}_min"),
             F.max(value).alias(f"{name}_max"),
         ]
-    return df.groupBy(*by).agg(*parts)
+    return parts
+
+
+def measure_sketches(df: DataFrame, measures: Mapping[str, Column], by: Sequence[str | Column], size: int = SIZE) -> DataFrame:
+    """Per group and measure ``{m}_sketch`` (NULL without values), ``{m}_n``, ``{m}_sum``, ``{m}_min`` and ``{m}_max``.
+
+    Meant for few groups: beyond 128 in a task, Spark collects and sorts all of the task's rows.
+    """
+    return df.groupBy(*by).agg(*_parts(measures, size))
+
+
+def month_sketches(
+    df: DataFrame, measures: Mapping[str, Column], by: Sequence[str], month: str, size: int = SIZE, ts: str = "pickup_ts"
+) -> DataFrame:
+    """``measure_sketches`` by ``by`` and the month of ``ts``.
+
+    Rows are grouped by year, with an aggregate for each of its months, so that a task holds sketches in
+    place of rows however many months there are.
+    """
+    # rows without a time are a group of their own: no year, and any one month
+    number = F.coalesce(F.month(ts), F.lit(1))
+    lines = [
+        F.struct(F.lit(f"{m:02d}").alias(month), F.count_if(number == m).alias("__rows"), *_parts(measures, size, number == m))
+        for m in range(1, 13)
+    ]
+    grouped = df.groupBy(*by, F.date_format(ts, "yyyy-").alias("__year")).agg(F.array(*lines).alias("__months"))
+    wide = grouped.select(*by, "__year", F.inline("__months")).where(F.col("__rows") > 0)
+    return wide.withColumn(month, F.concat("__year", month)).drop("__year", "__rows")
 
 
 def merged_stats(sketches: DataFrame, measures: Sequence[str], by: Sequence[str], size: int = SIZE) -> DataFrame:

@@ -22,7 +22,7 @@ def feed_sketches(trips: DataFrame) -> DataFrame:
     """Sketches of duration, distance and speed per feed and month, over trips that have all three."""
     known = F.col("duration_sec").isNotNull() & F.col("distance_km").isNotNull() & F.col("speed_kmh").isNotNull()
     values = {"duration_min": duration_minutes(), "distance_km": F.col("distance_km"), "speed_kmh": F.col("speed_kmh")}
-    return sketches.measure_sketches(trips.filter(known), values, ["color", month_key().alias("pickup_month")])
+    return sketches.month_sketches(trips.filter(known), values, ["color"], "pickup_month")
 
 
 @dataclass(frozen=True)
