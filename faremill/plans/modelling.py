@@ -160,17 +160,21 @@ def optimality(prepared: Prepared, alpha: float = 1.0, tolerance: float = 1e-6)
     Least squares: residuals and inputs are orthogonal; ridge: up to the penalty's slope; Huber with L1:
     the slope of the loss equals the penalty's, or is no greater where the parameter is zero.
     """
-    rows, layout = prepared.split("train"), layout_of(prepared)
-    sums = least_squares.gram(rows, layout)
-    found = {}
-    for name, penalty in (("linear", 0.0), ("ridge", alpha)):
-        parameters = least_squares.solved(sums, penalty)
-        slope = sums.xx @ parameters - sums.xy
-        slope[:-1] += penalty * parameters[:-1]
-        found[name] = slope / max(sums.rows, 1)
-    robust = fit_huber(prepared)
-    state = least_squares.huber_state(rows, robust.parameters, layout, HUBER)
-    found["huber"] = least_squares.conditions(state, robust.parameters, HUBER)
+    layout = layout_of(prepared)
+    rows = gradient.blocks_of(prepared.split("train"), layout)  # all passes of all models read these
+    try:
+        sums = least_squares.gram(rows, layout)
+        found = {}
+        for name, penalty in (("linear", 0.0), ("ridge", alpha)):
+            parameters = least_squares.solved(sums, penalty)
+            slope = sums.xx @ parameters - sums.xy
+            slope[:-1] += penalty * parameters[:-1]
+            found[name] = slope / max(sums.rows, 1)
+        robust = least_squares.fit_huber(rows, layout, HUBER)
+        state = least_squares.huber_state(rows, robust.parameters, layout, HUBER)
+        found["huber"] = least_squares.conditions(state, robust.parameters, HUBER)
+    finally:
+        rows.unpersist()
     lines = [(m, n, bool(abs(x) <= tolerance)) for m, left in found.items() for n, x in zip(input_names(prepared), left)]
     return prepared.rows.sparkSession.createDataFrame(lines, "model string, input string, optimal boolean")
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import DataFrame
 
 from faremill.operators import gradient, least_squares
 from faremill.operators.gradient import Block, Layout, Training
+from harness import registry
 
 
 def arrays(n=500):
@@ -46,3 +48,18 @@ def test_rows_of_one_file_are_dealt_over_all_cores(spark):
     sizes = blocks.mapPartitions(lambda held: [sum(numbers.shape[1] for numbers, _ in held)]).collect()
     assert sum(sizes) == 90_000 and sum(size > 0 for size in sizes) >= 3
     blocks.unpersist()
+
+
+def test_all_models_of_a_query_read_the_same_blocks(spark, monkeypatch):
+    packed, made = [], gradient.blocks_of
+
+    def counted(rows, layout):
+        packed.extend([rows] if isinstance(rows, DataFrame) else [])
+        return made(rows, layout)
+
+    for module in (gradient, least_squares):
+        monkeypatch.setattr(module, "blocks_of", counted)
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    lines = registry.QUERIES["model_optimality"](spark, "/root/testdata/sf0.001").collect()
+    assert len(packed) == 1 and all(line.optimal for line in lines)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= kept
