@@ -39,6 +39,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from faremill.llm.common import remainder, stored, text_of
 from faremill.llm.segments import WordHashes, mix
@@ -326,8 +327,8 @@ def count_ngrams(train: DataFrame, words, parts: int, order: int) -> DataFrame:
     return dealt.groupBy("part").applyInPandas(add, "part long, ngrams binary, two array<long>, three array<long>")
 
 
-def _pairs_of(model: DataFrame, words, split: bool) -> DataFrame:
-    """(part, v, w, b, c): the parts' pairs with a split v; or those of other v with a w that isn't hot."""
+def _pairs_of(model: DataFrame, words) -> DataFrame:
+    """(part, split, v, w, b, c): the parts' pairs with a split v, by hash b too; those of other v with a w that isn't hot."""
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = words.value
@@ -335,17 +336,25 @@ def _pairs_of(model: DataFrame, words, split: bool) -> DataFrame:
             for part, blob in zip(batch["part"], batch["ngrams"]):
                 keys, (_, v, w, n) = _decoded([blob], own, 1)
                 counts = own.counts_at(keys)
-                wanted = (own.portions(keys, counts) > 1)[v] == split
-                if not split:
-                    wanted &= counts[w] == 0
-                v, w, n = v[wanted], w[wanted], n[wanted]
+                split = (own.portions(keys, counts) > 1)[v]
+                wanted = split | (counts[w] == 0)
+                split, v, w, n = split[wanted], v[wanted], w[wanted], n[wanted]
                 _, first, where = np.unique(v * len(keys) + w, return_index=True, return_inverse=True)
                 c = np.bincount(where, weights=n, minlength=len(first)).astype(np.int64)
                 v, w = keys[v[first]], keys[w[first]]
-                signed = [x.view(np.int64) for x in (v, w, _pair(v, w))]
-                yield pd.DataFrame({"part": part, "v": signed[0], "w": signed[1], "b": signed[2], "c": c})
+                split = split[first]
+                both = pd.arrays.IntegerArray(_pair(v, w).view(np.int64), ~split)
+                yield pd.DataFrame({"part": part, "split": split, "v": v.view(np.int64), "w": w.view(np.int64), "b": both, "c": c})
 
-    return model.select("part", "ngrams").mapInPandas(look, "part long, v long, w long, b long, c long")
+    return model.select("part", "ngrams").mapInPandas(look, "part long, split boolean, v long, w long, b long, c long")
+
+
+def _split_totals(pairs: DataFrame) -> DataFrame:
+    """(part, v, w, b, c, first): a line for each part that has the pair, with the count in all parts; one of them is ``first``."""
+    same = Window.partitionBy("v", "w")
+    return pairs.select(
+        "part", "v", "w", "b", F.sum("c").over(same).alias("c"), (F.col("part") == F.min("part").over(same)).alias("first")
+    )
 
 
 def _levels(model: DataFrame, split_pairs: DataFrame, listed: DataFrame, own: Words) -> Levels:
@@ -525,18 +534,18 @@ def score(
     parts = max(8, -(-held.total // part_tokens))
     words = spark.sparkContext.broadcast(held)
     model = stored(count_ngrams(train, words, parts, order), "ngram-counts")
-    by_part = _pairs_of(model, words, split=True)
-    split_pairs = stored(by_part.groupBy("v", "w", "b").agg(F.sum("c").alias("c")), "split-pairs")
+    pairs = stored(_pairs_of(model, words), "pairs")
+    by_part = stored(_split_totals(pairs.where("split")), "split-pairs")
+    split_pairs = by_part.where("first").select("v", "w", "b", "c")
     levels = _levels(model, split_pairs, listed, held)
     shared = spark.sparkContext.broadcast(levels)
 
-    rare = _pairs_of(model, words, split=False).join(listed.select("w", F.col("c").alias("cw")), "w")
+    rare = pairs.where(~F.col("split")).join(listed.select("w", F.col("c").alias("cw")), "w")
     single = _discounted(F.col("cw"), held.d) / held.below
     rare = rare.select("part", "v", single.alias("p")).groupBy("part", "v").agg(F.sum("p").alias("value"))
-    totals = by_part.select("part", "b").join(split_pairs.select("b", "c"), "b")
     none = F.lit(None).cast("binary").alias("ngrams")
     counted = model.select("part", F.lit(0).alias("kind"), "ngrams", F.lit(0).cast("long").alias("key"), F.lit(0.0).alias("value"))
-    counted = counted.union(totals.select("part", F.lit(1), none, "b", F.col("c").cast("double")))
+    counted = counted.union(by_part.select("part", F.lit(1), none, "b", F.col("c").cast("double")))
     counted = counted.union(rare.select("part", F.lit(2), none, "v", "value"))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -336,6 +336,20 @@ def test_scores_match_brute_force_and_add_up(spark, order, deal):
         assert r.score == pytest.approx(scores[i])
 
 
+def test_katz_counts_split_pairs_in_one_pass_without_a_join(spark, monkeypatch):
+    """Every part's pairs with a split word got their totals by a join with themselves, after a pass of their own."""
+    passes, held, pairs_of, split_totals = [], [], katz._pairs_of, katz._split_totals
+    monkeypatch.setattr(katz, "_pairs_of", lambda *a, **b: passes.append(a) or pairs_of(*a, **b))
+    monkeypatch.setattr(katz, "_split_totals", lambda pairs: held.append((pairs, split_totals(pairs))) or held[-1][1])
+    texts = [f"a b{i % 7} a c a b{i % 3}" for i in range(200)]
+    assert katz.score(frame(spark, texts), hot=30, split_tokens=40, part_tokens=500).count() == 200
+    pairs, totals = held[0]
+    assert len(passes) == len(held) == 1 and "Join" not in totals._jdf.queryExecution().executedPlan().toString()
+    rows, sums = totals.collect(), {(r.v, r.w): r.n for r in pairs.groupBy("v", "w").agg(F.sum("c").alias("n")).collect()}
+    assert len(rows) > len(sums) > 0 and len(rows) == pairs.count()
+    assert all(r.c == sums[r.v, r.w] for r in rows) and sum(r.first for r in rows) == len(sums)
+
+
 def test_katz_of_odd_rows(spark, odd):
     assert katz.score(odd).count() == odd.count()
     with pytest.raises(ValueError):
