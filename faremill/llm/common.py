@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,12 @@ def text_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def each_text(batch: pa.Array, rows: int = 256) -> Iterator[str | None]:
+    """The texts of an Arrow batch, some at a time: a batch may hold thousands of long ones."""
+    for low in range(0, len(batch), rows):
+        yield from batch.slice(low, rows).to_pylist()
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the column as text, modulo ``modulus``; a null counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus

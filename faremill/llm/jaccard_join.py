@@ -36,41 +36,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from faremill.llm.bitfilter import BitFilter, bit_filter
-from faremill.llm.common import fresh, stored, text_of
+from faremill.llm.common import each_text, fresh, stored, text_of
 from faremill.llm.graph import components
 from faremill.llm.segments import WordHashes, allocate, set_id, shingles, signatures
 
 #: Members of a group whose pairs are compared directly; and ``first`` members that are compared with all of a larger one.
 SMALL, FEW = 64, 8
 ROUNDS = 2
-SET = T.StructType([T.StructField("n", T.LongType()), T.StructField("id", T.LongType())])
+SET = T.StructType(
+    [T.StructField("n", T.LongType()), T.StructField("id", T.LongType()), T.StructField("signatures", T.ArrayType(T.LongType()))]
+)
 
 
-def _set_udf(k: int):
-    def make(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        for batch in batches:
-            sets = (shingles(text, k, hashes) for text in batch)
-            rows = [(len(s), set_id(s) if len(s) else None) for s in sets]
-            yield pd.DataFrame({"n": [n for n, _ in rows], "id": pd.array([i for _, i in rows], dtype="Int64")})
-
-    return F.pandas_udf(make, SET)
-
+def _set_udf(k: int, percent: int):
+    """The set's size, identity and signatures; no signatures where the task has shown this set before."""
 
-def _signature_udf(k: int, percent: int):
-    """The set's identity and signatures; none where the task has shown this set before."""
-
-    def make(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def make(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes, shown = WordHashes(), set()
         for batch in batches:
-            ids, found = [], []
-            for text in batch:
+            sizes, ids, found = [], [], []
+            for text in each_text(batch):
                 items = shingles(text, k, hashes)
                 own = set_id(items) if len(items) else None
                 new = own is not None and own not in shown
@@ -78,12 +70,14 @@ def _signature_udf(k: int, percent: int):
                     if len(shown) > 100_000:
                         shown.clear()
                     shown.add(own)
+                sizes.append(len(items))
                 ids.append(own)
                 found.append(signatures(items, percent) if new else np.empty(0, np.int64))
-            yield pd.DataFrame({"id": pd.array(ids, dtype="Int64"), "signatures": pd.Series(found, dtype=object)})
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *found])))
+            yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), lists], ["n", "id", "signatures"])
 
-    shape = T.StructType([T.StructField("id", T.LongType()), T.StructField("signatures", T.ArrayType(T.LongType()))])
-    return F.pandas_udf(make, shape)
+    return F.arrow_udf(make, SET)
 
 
 def _wanted_sets(k: int, wanted: BitFilter):
@@ -124,10 +118,9 @@ def _spare(band: Column, percent: int) -> Column:
     return spare
 
 
-def _groups(texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _groups(sets: DataFrame, percent: int) -> DataFrame:
     """(grp, class, weight): groups of at least two classes that share a signature neither has dropped."""
-    made = texts.select(_signature_udf(k, percent)("text").alias("s"))
-    shown = made.select(F.col("s.id").alias("class"), F.explode("s.signatures").alias("sig"))
+    shown = sets.select("class", F.explode("signatures").alias("sig"))
     by_sig = Window.partitionBy("sig").orderBy("class")
     firsts = shown.withColumn("new", F.coalesce(F.lag("class").over(by_sig) != F.col("class"), F.lit(True)))
     counted = firsts.withColumn("seen", F.sum(F.col("new").cast("long")).over(Window.partitionBy("sig")))
@@ -269,8 +262,8 @@ def _fresh_pivots(groups: DataFrame) -> DataFrame:
 
 
 def link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, label) of all classes that link with another. ``texts``: doc_id, text; ``classes``: doc_id, class."""
-    groups = _groups(texts, k, percent)
+    """(node, label) of all classes that link with another. ``texts``: doc_id, text; ``classes``: doc_id, class, signatures."""
+    groups = _groups(classes, percent)
     chosen = groups.groupBy("grp").agg(F.max(F.struct("weight", "class")).alias("pivot"))
     groups = stored(groups.join(chosen, "grp").select("grp", "class", "weight", F.col("pivot.class").alias("p0")), "groups")
     wanted = groups.select("class").distinct()
@@ -333,17 +326,21 @@ def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     return stored(kept.union(added), "labels")
 
 
-def document_sets(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles and class (null for an empty set), one row per document, stored."""
-    made = docs.select(F.col(doc_id).alias("doc_id"), _set_udf(k)(text_of(text)).alias("s"))
-    return stored(made.select("doc_id", F.col("s.n").alias("n_shingles"), F.col("s.id").alias("class")), "document-sets")
+def document_sets(docs: DataFrame, k: int, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, class (null for an empty set) and signatures, one row per document, stored.
+
+    One pass over the texts; every set's signatures are in one of its documents' rows at least.
+    """
+    made = docs.select(F.col(doc_id).alias("doc_id"), _set_udf(k, percent)(text_of(text)).alias("s"))
+    named = made.select("doc_id", F.col("s.n").alias("n_shingles"), F.col("s.id").alias("class"), "s.signatures")
+    return stored(named, "document-sets")
 
 
 def class_components(docs: DataFrame, sets: DataFrame, k: int, percent: int, doc_id: str = "doc_id", text: str = "text"):
     """(class, label, component_id): every class's component and the least id in it."""
     texts = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     full = sets.where(F.col("class").isNotNull())
-    labels = link_classes(texts, full.select("doc_id", "class"), k, percent)
+    labels = link_classes(texts, full, k, percent)
     least = full.groupBy("class").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
     named = least.join(labels.select(F.col("node").alias("class"), "label"), "class", "left")
     named = named.withColumn("label", F.coalesce("label", "class"))
@@ -355,7 +352,7 @@ def join_documents(
     docs: DataFrame, k: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    sets = document_sets(docs, k, doc_id, text)
+    sets = document_sets(docs, k, percent, doc_id, text)
     found = class_components(docs, sets, k, percent, doc_id, text).select("class", "component_id")
     joined = sets.join(found, "class", "left")
     own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -368,9 +365,9 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_
     Texts that the bitmap clears of belonging to a component of several stay where they are; only the
     others are joined and, where an id and text come more than once, reduced to one row.
     """
-    sets = document_sets(docs, k, doc_id, text)
+    sets = document_sets(docs, k, percent, doc_id, text)
     found = class_components(docs, sets, k, percent, doc_id, text).where(F.col("n_rows") > 1)
-    inside = stored(sets.join(found, "class").select("doc_id", "class", "label"), "component-members")
+    inside = stored(sets.select("doc_id", "class").join(found, "class").select("doc_id", "class", "label"), "component-members")
     first = inside.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "class")).alias("w"))
     winners = first.select(F.col("w.doc_id").alias("winner_id"), F.col("w.class").alias("winner_class"))
     found_by = _wanted_class(k, bit_filter(inside, "doc_id"))

@@ -86,3 +86,21 @@ def test_narrowed_groups_stay_in_proportion(spark):
     table = spark.createDataFrame([(classes[i], held[i]) for i in held], "class long, items array<long>")
     large = spark.createDataFrame([(classes[0], classes[i], classes[i]) for i in held], "p long, class long, label long")
     assert jaccard_join._narrowed(large, table, 85).count() == 0
+
+
+def test_texts_are_shingled_once_for_sets_and_signatures(spark, monkeypatch):
+    """One Python pass gives a document's set and signatures; the search for groups reads no texts."""
+    draw = random.Random(2)
+    texts = copies(draw, 40, 60, 1) + ["", None, "a b"]
+    frame = documents(spark, [(i, None, None, None, t) for i, t in enumerate(texts)])
+    kept, groups_of = [], jaccard_join._groups
+    monkeypatch.setattr(jaccard_join, "_groups", lambda source, *a: kept.append(source) or groups_of(source, *a))
+    assert jaccard_join.join_documents(frame).count() == len(texts)
+    plan = kept[0]._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "text" not in kept[0].columns
+    from faremill.llm.segments import WordHashes, shingles, signatures
+
+    hashes = WordHashes()
+    shown = {r["class"]: sorted(r.signatures) for r in kept[0].collect() if r.signatures}
+    want = {jaccard_join.set_id(x): sorted(signatures(x, 85).tolist()) for x in (shingles(t, 4, hashes) for t in texts if t)}
+    assert shown == {x: found for x, found in want.items() if found}  # tiny sets link with equal ones alone
