@@ -24,12 +24,13 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from faremill.llm.common import stored, text_of
+from faremill.llm.common import each_text, stored, text_of
 from faremill.llm.cutting_stock import cut
 
 LENGTH = 2048
@@ -134,21 +135,19 @@ def _chunks(texts: Iterable[str]) -> Iterator[list[str]]:
         yield chunk
 
 
-def _cut_batches(vocabulary: str, length: int) -> Callable[[Iterator[pd.Series]], Iterator[pd.Series]]:
-    def cut_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _cut_batches(vocabulary: str, length: int) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
+    def cut_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = word_ids(vocabulary)
         for batch in batches:
-            out = []
-            for chunk in _chunks(batch):
+            ends, out = [0], []
+            for chunk in _chunks(each_text(batch)):
                 for raw in encode(chunk):
                     n = len(raw) // 4
-                    out.append(
-                        [
-                            (at, min(length, n - at), zlib.crc32(raw[4 * at : 4 * (at + length)]), n)
-                            for at in range(0, n, length)
-                        ]
-                    )
-            yield pd.Series(out, dtype=object)
+                    out += [(at, min(length, n - at), zlib.crc32(raw[4 * at : 4 * (at + length)]), n) for at in range(0, n, length)]
+                    ends.append(len(out))
+            columns = np.asarray(out, np.int64).reshape(-1, len(PIECE)).T
+            pieces = pa.StructArray.from_arrays([pa.array(c) for c in columns], PIECE.names)
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces)
 
     return cut_batches
 
@@ -160,7 +159,7 @@ def pieces_of(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, vocabulary: str = VOCABULARY
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens."""
-    cutter = F.pandas_udf(_cut_batches(vocabulary, length), T.ArrayType(PIECE))
+    cutter = F.arrow_udf(_cut_batches(vocabulary, length), T.ArrayType(PIECE))
     source = df.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     return source.select("doc_id", F.explode(cutter("text")).alias("piece")).select("doc_id", "piece.*")
 

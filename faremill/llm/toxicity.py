@@ -24,14 +24,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.common import fresh, remainder, stored, text_of
+from faremill.llm.common import each_text, fresh, remainder, stored, text_of
 
 MAX_ROWS = 40_000
 MAX_LEXICON = 2_000
@@ -157,11 +157,15 @@ def features(text: str, weights: _Weights) -> list[float]:
 def feature_column(text: Column, lexicon: Lexicon) -> Column:
     """The features as an ML vector."""
 
-    @F.pandas_udf("array<double>")
-    def make(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def make(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights = _Weights(lexicon)
         for batch in batches:
-            yield pd.Series([features(t, weights) for t in batch], dtype=object)
+            made = np.empty((len(batch), len(FEATURES)))
+            for row, t in enumerate(each_text(batch)):
+                made[row] = features(t, weights)
+            ends = np.arange(len(batch) + 1, dtype=np.int32) * len(FEATURES)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(made.ravel()))
 
     return array_to_vector(make(text))
 
