@@ -16,13 +16,19 @@ from pyspark.sql import functions as F
 
 
 def publish(df: DataFrame, name: str, folder: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> DataFrame:
-    """Write a new version of ``name`` under ``folder`` and switch the name to it."""
+    """Write a new version of ``name`` under ``folder`` and switch the name to it.
+
+    A table that has the name, not a view, is kept under another one, ``{name}_before_...``.
+    """
     path = f"{folder}/{name}/{uuid.uuid4().hex}"
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     df.write.format(fmt).partitionBy(*partition_by).save(path)
-    df.sparkSession.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM {fmt}.`{path}`")
-    return df.sparkSession.table(name)
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType in ("MANAGED", "EXTERNAL"):
+        spark.sql(f"ALTER TABLE `{name}` RENAME TO `{name}_before_{uuid.uuid4().hex}`")
+    spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM {fmt}.`{path}`")
+    return spark.table(name)
 
 
 def version_path(spark: SparkSession, name: str) -> str:

@@ -65,6 +65,14 @@ def test_a_table_is_replaced_by_a_query_on_itself_with_one_column_more(spark, ro
     assert first.count() == held  # a reader of the old version still finds its files
 
 
+def test_a_table_that_has_the_name_is_kept_under_another(spark, rows, tmp_path):
+    rows.select("color").write.saveAsTable("named_before")
+    made = sources.publish(spark.table("named_before").withColumn("one", F.lit(1)), "named_before", str(tmp_path))
+    assert made.columns == ["color", "one"] and made.count() == rows.count()
+    kept = [t.name for t in spark.catalog.listTables() if t.name.startswith("named_before_before_")]
+    assert len(kept) == 1 and spark.table(kept[0]).count() == rows.count()
+
+
 def test_bucketed_join_shuffles_neither_side(spark, rows, tmp_path):
     cells = stored.reports.cell_stats(rows)
     made = stored.bucketed_baseline(rows, cells, ["2024-01", "2024-02"], "bucketed", str(tmp_path), 4)
