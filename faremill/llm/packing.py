@@ -17,14 +17,15 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import cache
-from itertools import accumulate, chain
+from itertools import accumulate
 from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +41,7 @@ END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 END = END_ID.to_bytes(4, "little")
 REMEMBERED = 350_000
-CHUNK = 1_000_000
+CHUNK = 4_000_000
 
 
 class _Remembered:
@@ -49,18 +50,25 @@ class _Remembered:
     def __init__(self, most: int):
         self.most, self.young, self.old = most, {}, {}
 
-    def missing(self, wanted: set[str]) -> list[str]:
-        """What neither generation has; everything else wanted is in the young one afterwards."""
-        new = wanted - self.young.keys()
+    def missing(self, wanted: Sequence[str]) -> Sequence[str]:
+        """What neither generation has; everything else wanted, each once, is in the young one afterwards."""
+        new = [word for word in wanted if word not in self.young]
         if len(self.young) + len(new) > self.most:
             self.old, self.young, new = self.young, {}, wanted
-        for word in new & self.old.keys():
-            self.young[word] = self.old[word]
-        return list(new - self.old.keys())
+        left = []
+        for word in new:
+            if (found := self.old.get(word)) is None:
+                left.append(word)
+            else:
+                self.young[word] = found
+        return left
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
 
-def _parts(text: str) -> list[str]:
-    """The text cut where the vocabulary's pre-tokenizer never joins: ids of the parts, in order, are its ids.
+
+def _spaced(text: str) -> str:
+    """The text with blanks where the vocabulary's pre-tokenizer never joins: ids of the parts between, in order, are its ids.
 
     It drops spaces and line feeds, and parts letters from the signs after them. Where a text is letters,
     digits, and single commas and full stops only, these signs are set apart and capitals lowered (as its
@@ -70,7 +78,7 @@ def _parts(text: str) -> list[str]:
     plain = all(c.isalnum() or c in " \n.," for c in chars) and chars.isdisjoint("Σİ")
     if plain and not any(x in text for x in ("..", ",,", ".,", ",.")) and is_normalized("NFC", text):
         text = text.lower().replace(",", " , ").replace(".", " . ")
-    return text.replace("\n", " ").split(" ")
+    return text.replace("\n", " ")
 
 
 class WordIds:
@@ -104,21 +112,34 @@ class WordIds:
         return [raw[i:j] for i, j in zip(bounds, bounds[1:])]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        parts = [_parts(text) for text in texts]
-        new = self.known.missing(set(chain.from_iterable(parts)))
+        parts = pc.split_pattern(pa.array([_spaced(text) for text in texts], pa.large_string()), " ")
+        coded = parts.values.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = self.known.missing(words)
         ids = self.known.young
         letters = [x for x in new if x.isalpha()]
         others = [x for x in new if not x.isalpha()]
         if letters:
             ids.update(zip(letters, self._encode_letters(letters)))
         ids.update(zip(others, self._encode(others)))
-        for words in parts:
-            yield b"".join([ids[w] for w in words]) + END
+        found = [ids[word] for word in words]
+        # the ids of all parts in turn, gathered from those of the different ones; fewer than the texts' bytes, so below 2**31
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        flat, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes, dtype=np.int32) - sizes
+        codes = coded.indices.to_numpy()
+        counts = sizes[codes]
+        ends = np.append(np.int32(0), np.cumsum(counts, dtype=np.int32))
+        places = np.repeat(first[codes] - ends[:-1], counts)
+        places += np.arange(ends[-1], dtype=np.int32)
+        flat = flat[places]
+        bounds = ends[parts.offsets.to_numpy()].tolist()
+        for low, high in zip(bounds, bounds[1:]):
+            yield flat[low:high].tobytes() + END
 
 
 @cache
 def word_ids(vocabulary: str) -> WordIds:
-    """One per Python worker: what a task has remembered serves the next."""
+    """One per Python worker; what a task has remembered goes with it, as workers wait for other steps' tasks too."""
     return WordIds(vocabulary)
 
 
@@ -148,6 +169,7 @@ def _cut_batches(vocabulary: str, length: int) -> Callable[[Iterator[pa.Array]],
             columns = np.asarray(out, np.int64).reshape(-1, len(PIECE)).T
             pieces = pa.StructArray.from_arrays([pa.array(c) for c in columns], PIECE.names)
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces)
+        encode.known.clear()
 
     return cut_batches
 
