@@ -36,6 +36,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +51,7 @@ HOT = 1 << 19
 SPLIT_TOKENS = 500_000
 PART_TOKENS = 1_000_000
 CHUNK_CHARS = 3_000_000
-RUN_BYTES = 4_000_000
+RUN_BYTES = 1_000_000
 #: The end token: never part of UTF-8, it stands between texts while a chunk is split into words.
 END = b"\xff"
 START = np.uint64(1)
@@ -173,14 +175,14 @@ def _hashes(texts, memory: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.diff(np.flatnonzero(flat == np.uint64(memory[END])), prepend=-1)
 
 
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows with about ``CHUNK_CHARS`` characters; one longer text is a chunk of its own."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    """Rows with about ``CHUNK_CHARS`` characters, taken from Arrow one chunk at a time; one longer text is a chunk of its own."""
     for batch in batches:
-        ends = batch["text"].str.len().to_numpy(np.int64).cumsum() // CHUNK_CHARS
-        cuts = np.flatnonzero(np.diff(ends)) + 1
+        ends = pc.utf8_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64).cumsum() // CHUNK_CHARS
+        cuts = (np.flatnonzero(np.diff(ends)) + 1).tolist()
         for low, high in zip([0, *cuts], [*cuts, len(batch)]):
             if high > low:
-                yield batch.iloc[low:high]
+                yield batch.slice(low, high - low).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
 
 
 def _planes(column: np.ndarray) -> bytes:
@@ -268,13 +270,13 @@ def _alike(keys: np.ndarray, u, v, w) -> np.ndarray:
 def count_words(train: DataFrame) -> DataFrame:
     """(w, c): every training token's hash and count; a batch adds up its own first."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordHashes()
         for chunk in _chunks(batches):
             w, c = np.unique(_hashes(chunk["text"], memory)[0], return_counts=True)
-            yield pd.DataFrame({"w": w.view(np.int64), "c": c})
+            yield pa.record_batch({"w": w.view(np.int64), "c": c})
 
-    return train.select("text").mapInPandas(count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+    return train.select("text").mapInArrow(count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
 def word_model(listed: DataFrame, hot: int = HOT, split_tokens: int = SPLIT_TOKENS) -> Words:
@@ -297,7 +299,7 @@ def word_model(listed: DataFrame, hot: int = HOT, split_tokens: int = SPLIT_TOKE
 def count_ngrams(train: DataFrame, words, parts: int, order: int) -> DataFrame:
     """The model: one row per part with its n-grams and counts, and how many pairs and threes came 1 .. K + 1 times."""
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, own = WordHashes(), words.value
         for chunk in _chunks(batches):
             keys, u, v, w, _, _ = _ngrams(chunk["text"], memory, own, order)
@@ -307,7 +309,7 @@ def count_ngrams(train: DataFrame, words, parts: int, order: int) -> DataFrame:
             part = _dealt(keys, own, u, v, w, parts, order)
             groups = _grouped(part)
             blobs = [_encoded(keys, codes, [u[g], v[g], w[g]], [n[g]]) for g in groups]
-            yield pd.DataFrame({"part": [part[g[0]] for g in groups], "ngrams": blobs})
+            yield pa.record_batch({"part": pa.array([part[g[0]] for g in groups], pa.int64()), "ngrams": pa.array(blobs, pa.binary())})
 
     def add(batch: pd.DataFrame) -> pd.DataFrame:
         own = words.value
@@ -323,7 +325,7 @@ def count_ngrams(train: DataFrame, words, parts: int, order: int) -> DataFrame:
         part = batch["part"].iloc[0]
         return pd.DataFrame({"part": [part], "ngrams": [blob], "two": pd.Series([two], dtype=object), "three": pd.Series([three], dtype=object)})
 
-    dealt = train.select("text").mapInPandas(deal, "part long, ngrams binary")
+    dealt = train.select("text").mapInArrow(deal, "part long, ngrams binary")
     return dealt.groupBy("part").applyInPandas(add, "part long, ngrams binary, two array<long>, three array<long>")
 
 
@@ -418,14 +420,17 @@ class PartModel:
             under[~whole] = levels.below[_spots(levels.split, keys[pv[~whole]])[0]]
         p_pairs = discounted(c, levels.two) / under
         self.p_pairs = p_pairs[by]
+        del first, c, pv, pw, hashed, by, whole, seen, head, add, low, under
         # three words
         long = (keys[v] != START) & (order == 3)
-        u, v, w, n, pair = u[long], v[long], w[long], n[long], pair[long]
+        u, v, w, n, p_pairs = u[long], v[long], w[long], n[long], p_pairs[pair[long]]
+        del pair, long
         _, first, where = np.unique(v * len(keys) + u, return_index=True, return_inverse=True)
         add = lambda x: np.bincount(where, weights=x, minlength=len(first))
         mass = discounted(n, levels.three)
-        below, weight = _backoff(add(mass), add(n).astype(np.int64), add(n <= K) > 0, add(p_pairs[pair]))
+        below, weight = _backoff(add(mass), add(n).astype(np.int64), add(n <= K) > 0, add(p_pairs))
         contexts = _pair(keys[u[first]], keys[v[first]])
+        del u, v, n, p_pairs, first
         threes, p_threes = _pair(contexts[where], keys[w]), mass / below[where]
         by = np.argsort(contexts)
         self.contexts, self.context_weight = contexts[by], weight[by]
@@ -466,10 +471,6 @@ _LINE = np.dtype(
 )
 
 
-def _columns(rows: pd.DataFrame):
-    return zip(rows["part"], rows["base"], rows["blob"])
-
-
 def _runs(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
     """Rows with about ``RUN_BYTES`` of blobs each."""
     ends = rows["blob"].str.len().to_numpy(np.int64).cumsum() // RUN_BYTES
@@ -548,7 +549,7 @@ def score(
     counted = counted.union(by_part.select("part", F.lit(1), none, "b", F.col("c").cast("double")))
     counted = counted.union(rare.select("part", F.lit(2), none, "v", "value"))
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, own = WordHashes(), words.value
         for chunk in _chunks(batches):
             keys, u, v, w, at, sizes = _ngrams(chunk["text"], memory, own, order)
@@ -568,19 +569,20 @@ def score(
             groups = _grouped(part)
             base = int(chunk["rid"].iloc[0])
             blobs = [_encoded(keys, codes, [u[g], v[g], w[g]], [at[g], n[g]]) for g in groups]
-            yield pd.DataFrame(
+            yield pa.record_batch(
                 {
-                    "part": [base % parts, *(part[g[0]] for g in groups)],
-                    "base": base,
-                    "kind": [0, *(1 for _ in groups)],
-                    "blob": [zstandard.compress(body, 1), *blobs],
+                    "part": pa.array([base % parts, *(part[g[0]] for g in groups)], pa.int64()),
+                    "base": pa.array([base] * (len(groups) + 1), pa.int64()),
+                    "kind": pa.array([0, *(1 for _ in groups)], pa.int32()),
+                    "blob": pa.array([zstandard.compress(body, 1), *blobs], pa.binary()),
                 }
             )
 
     def meet(tokens: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         own = words.value
         known = PartModel(counts, own, shared.value, order)
-        found = [_sent(part, base, 0, 1, blob=blob) for part, base, blob in _columns(tokens[tokens["kind"] == 0])]
+        lines = tokens[tokens["kind"] == 0]
+        found = [_sent(lines["part"].to_numpy(), lines["base"].to_numpy(), 0, len(lines), blob=lines["blob"].tolist())]
         for run in _runs(tokens[tokens["kind"] == 1]):
             part, bases = run["part"].iloc[0], run["base"].to_numpy()
             keys, (u, v, w, at, n, which) = _decoded(run["blob"], own, 2)
@@ -589,16 +591,18 @@ def score(
             texts, where = np.unique((which << 32) | at, return_inverse=True)
             sums, of = np.bincount(where, logs * n), texts >> 32
             cuts = np.searchsorted(of, np.arange(len(bases) + 1))
-            for base, low, high in zip(bases, cuts, cuts[1:]):
-                body = (texts[low:high] & 0xFFFFFFFF).astype("<u4").tobytes() + sums[low:high].astype("<f8").tobytes()
-                found.append(_sent(part, base, 1, 1, blob=zstandard.compress(body, 1)))
+            bodies = [
+                (texts[low:high] & 0xFFFFFFFF).astype("<u4").tobytes() + sums[low:high].astype("<f8").tobytes()
+                for low, high in zip(cuts, cuts[1:])
+            ]
+            found.append(_sent(part, bases, 1, len(bases), blob=[zstandard.compress(body, 1) for body in bodies]))
             left = pair | word | rare
             heads = pd.arrays.IntegerArray(keys[v[left]].view(np.int64), ~pair[left])
             last, back = keys[w[left]].view(np.int64), (pair | word)[left]
             found.append(
                 _sent(part, bases[which[left]], 2, len(last), at=at[left], v=heads, w=last, n=n[left], back=back, rare=rare[left])
             )
-        return pd.concat(found, ignore_index=True) if found else _sent(0, 0, 0, 0)
+        return pd.concat(found, ignore_index=True)
 
     train_tokens = held.total
 
@@ -629,7 +633,7 @@ def score(
         )
 
     numbered = source.withColumn("rid", F.monotonically_increasing_id())
-    dealt = numbered.mapInPandas(deal, "part long, base long, kind int, blob binary")
+    dealt = numbered.mapInArrow(deal, "part long, base long, kind int, blob binary")
     met = stored(dealt.groupBy("part").cogroup(counted.groupBy("part")).applyInPandas(meet, SUMS), "token-sums")
     more = _looked_up(met.where(F.col("kind") == 2), listed, split_pairs, held, levels)
     shape = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
