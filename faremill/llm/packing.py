@@ -170,6 +170,7 @@ def _cut_batches(vocabulary: str, length: int) -> Callable[[Iterator[pa.Array]],
             pieces = pa.StructArray.from_arrays([pa.array(c) for c in columns], PIECE.names)
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces)
         encode.known.clear()
+        pa.default_memory_pool().release_unused()
 
     return cut_batches
 
