@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,12 +66,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: With it Spark removes a query's shuffle files at its end, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write the frame to the shared folder and read it back, which cuts its lineage."""
+    """Write the frame to the shared folder and read it back, which cuts its lineage; its shuffles are removed."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` has returned. Nothing lazy may read them any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Bytes of data, written as text, that may be broadcast.

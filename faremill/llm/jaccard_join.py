@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -43,13 +44,15 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from faremill.llm.bitfilter import BitFilter, bit_filter
-from faremill.llm.common import each_text, fresh, stored, text_of
+from faremill.llm.common import discard, each_text, fresh, stored, text_of
 from faremill.llm.graph import components
 from faremill.llm.segments import WordHashes, allocate, set_id, shingles, signatures
 
 #: Members of a group whose pairs are compared directly; and ``first`` members that are compared with all of a larger one.
 SMALL, FEW = 64, 8
 ROUNDS = 2
+#: Portions of all signatures, shuffled one after the other; each portion's shuffle is gone before the next.
+PORTIONS = 4
 SET = T.StructType(
     [T.StructField("n", T.LongType()), T.StructField("id", T.LongType()), T.StructField("signatures", T.ArrayType(T.LongType()))]
 )
@@ -118,13 +121,21 @@ def _spare(band: Column, percent: int) -> Column:
     return spare
 
 
-def _groups(sets: DataFrame, percent: int) -> DataFrame:
-    """(grp, class, weight): groups of at least two classes that share a signature neither has dropped."""
-    shown = sets.select("class", F.explode("signatures").alias("sig"))
+def _shared_signatures(sets: DataFrame, portion: int) -> DataFrame:
+    """(sig, class, seen) of the portion's signatures that several classes show."""
+    mine = F.pmod(F.shiftright("sig", 8), F.lit(PORTIONS)) == portion  # the low bits are the band
+    shown = sets.select("class", F.explode("signatures").alias("sig")).where(mine)
     by_sig = Window.partitionBy("sig").orderBy("class")
     firsts = shown.withColumn("new", F.coalesce(F.lag("class").over(by_sig) != F.col("class"), F.lit(True)))
     counted = firsts.withColumn("seen", F.sum(F.col("new").cast("long")).over(Window.partitionBy("sig")))
-    shared = stored(counted.where((F.col("seen") > 1) & F.col("new")).select("sig", "class", "seen"), "shared-signatures")
+    return counted.where((F.col("seen") > 1) & F.col("new")).select("sig", "class", "seen")
+
+
+def _groups(sets: DataFrame, percent: int) -> DataFrame:
+    """(grp, class, weight, p0), stored: groups of at least two classes that share a signature neither has dropped,
+    and the most central member."""
+    parts = [stored(_shared_signatures(sets, portion), "shared-signatures") for portion in range(PORTIONS)]
+    shared = reduce(DataFrame.union, parts)
     band = F.col("sig").bitwiseAND(F.lit(255))
     own = Window.partitionBy("class", "band")
     ranked = shared.withColumn("band", band).withColumns(
@@ -143,7 +154,11 @@ def _groups(sets: DataFrame, percent: int) -> DataFrame:
         F.max("class").alias("high"),
     )
     named = members.where(F.col("n") > 1).select("sig", F.xxhash64("n", "x", "y", "low", "high").alias("grp"))
-    return kept.join(named, "sig").groupBy("grp", "class").agg(F.max("weight").alias("weight"))
+    groups = kept.join(named, "sig").groupBy("grp", "class").agg(F.max("weight").alias("weight"))
+    chosen = groups.groupBy("grp").agg(F.max(F.struct("weight", "class")).alias("pivot"))
+    groups = stored(groups.join(chosen, "grp").select("grp", "class", "weight", F.col("pivot.class").alias("p0")), "groups")
+    discard(*parts)
+    return groups
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -228,19 +243,24 @@ def _narrowed(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     own = Window.partitionBy("p", "class")
     alone = F.col("d") - F.count("*").over(own)
     placed = shared.withColumn("place", alone + F.row_number().over(own.orderBy("seen", "item")))
+    columns = ["p", "item", "class", "label", "n", "d", "h", "place"]
+    placed = stored(placed.where(F.col("place") <= F.col("h") + 2).select(*columns), "placed")
+    discard(lines)
     # bands of d grow by a tenth; a band's floor is taken a little lower than it is
     band = lambda x: F.floor(F.log(x) / math.log(1.1))
-    least = band(F.greatest(F.lit(1), F.col("d") - F.col("h")))
+    least = F.greatest(band(F.greatest(F.lit(1), F.col("d") - F.col("h"))) - 1, F.lit(0))
     fits = lambda b: F.col("place") <= F.col("d") + 1 - F.greatest(
         F.lit(1), F.ceil((F.floor(F.pow(F.lit(1.1), b)) - 1 + F.col("d") - F.col("h")) / 2)
     )
-    bands = F.filter(F.sequence(F.greatest(least - 1, F.lit(0)), band(F.col("d"))), fits)
-    spread = placed.where(F.col("place") <= F.col("h") + 2).select(
-        "p", "item", "class", "label", "n", "d", "h", "place", F.explode(bands).alias("band")
-    )
-    first = (F.col("band") == band(F.col("d"))) & (F.col("place") <= F.floor(F.col("h") / 2) + 1)
+    leads = F.col("place") <= F.floor(F.col("h") / 2) + 1
+    # members meet a first one or nobody, so only bands in which an item has a first one count
+    firsts = placed.where(leads).groupBy("p", "item").agg(F.collect_set(band(F.col("d"))).alias("bands"))
+    bands = F.filter("bands", lambda b: (b >= least) & (b <= band(F.col("d"))) & fits(b))
+    spread = placed.join(firsts, ["p", "item"]).select(*columns, F.explode(bands).alias("band"))
+    first = (F.col("band") == band(F.col("d"))) & leads
     marked = spread.select(F.xxhash64("p", "item", "band").alias("key"), "class", "label", F.col("n").alias("width"), first.alias("first"))
     marked = stored(marked, "narrowed")
+    discard(placed)
     named = marked.groupBy("key").agg(
         F.count("*").alias("n"),
         F.bit_xor("class").alias("x"),
@@ -251,7 +271,10 @@ def _narrowed(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     named = named.where((F.col("low") < F.col("high")) & F.col("any"))
     alike = named.select("key", F.xxhash64("n", "x", "y").alias("grp"))
-    return marked.join(alike, "key").groupBy("grp", "class").agg(F.max("first").alias("first"), F.first("width").alias("width"))
+    narrow = marked.join(alike, "key").groupBy("grp", "class").agg(F.max("first").alias("first"), F.first("width").alias("width"))
+    narrow = stored(narrow, "narrower")
+    discard(marked)
+    return narrow
 
 
 def _fresh_pivots(groups: DataFrame) -> DataFrame:
@@ -261,15 +284,18 @@ def _fresh_pivots(groups: DataFrame) -> DataFrame:
     return groups.join(chosen, "grp").withColumns({"p": F.col("pivot.class"), "p_label": F.col("pivot.label")}).drop("pivot")
 
 
-def link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, label) of all classes that link with another. ``texts``: doc_id, text; ``classes``: doc_id, class, signatures."""
+def link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int, spent: DataFrame | None = None) -> DataFrame:
+    """(node, label) of all classes that link with another. ``texts``: doc_id, text; ``classes``: doc_id, class, signatures.
+
+    ``spent``, a stored table behind ``classes``, is deleted once the groups are known.
+    """
     groups = _groups(classes, percent)
-    chosen = groups.groupBy("grp").agg(F.max(F.struct("weight", "class")).alias("pivot"))
-    groups = stored(groups.join(chosen, "grp").select("grp", "class", "weight", F.col("pivot.class").alias("p0")), "groups")
     wanted = groups.select("class").distinct()
     # one text of each wanted class
     holders = classes.groupBy("class").agg(F.min("doc_id").alias("doc_id")).join(wanted, "class", "left_semi")
     holders = stored(holders, "holders")
+    if spent is not None:
+        discard(spent)
     keyed = texts.select(F.xxhash64("doc_id").alias("key"), "text")
     shape = T.StructType([T.StructField("class", T.LongType()), T.StructField("items", T.ArrayType(T.LongType()))])
     near = keyed.mapInPandas(_wanted_sets(k, bit_filter(holders, "doc_id")), shape)
@@ -336,11 +362,16 @@ def document_sets(docs: DataFrame, k: int, percent: int = 85, doc_id: str = "doc
     return stored(named, "document-sets")
 
 
-def class_components(docs: DataFrame, sets: DataFrame, k: int, percent: int, doc_id: str = "doc_id", text: str = "text"):
-    """(class, label, component_id): every class's component and the least id in it."""
+def class_components(
+    docs: DataFrame, sets: DataFrame, k: int, percent: int, doc_id: str = "doc_id", text: str = "text", shown: DataFrame | None = None
+):
+    """(class, label, component_id): every class's component and the least id in it.
+
+    ``shown``, where given, is a stored table with the signatures that ``sets`` then lacks; it is deleted.
+    """
     texts = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     full = sets.where(F.col("class").isNotNull())
-    labels = link_classes(texts, full, k, percent)
+    labels = link_classes(texts, (sets if shown is None else shown).where(F.col("class").isNotNull()), k, percent, shown)
     least = full.groupBy("class").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
     named = least.join(labels.select(F.col("node").alias("class"), "label"), "class", "left")
     named = named.withColumn("label", F.coalesce("label", "class"))
@@ -365,8 +396,9 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_
     Texts that the bitmap clears of belonging to a component of several stay where they are; only the
     others are joined and, where an id and text come more than once, reduced to one row.
     """
-    sets = document_sets(docs, k, percent, doc_id, text)
-    found = class_components(docs, sets, k, percent, doc_id, text).where(F.col("n_rows") > 1)
+    shown = document_sets(docs, k, percent, doc_id, text)
+    sets = stored(shown.drop("signatures"), "document-classes")
+    found = class_components(docs, sets, k, percent, doc_id, text, shown).where(F.col("n_rows") > 1)
     inside = stored(sets.select("doc_id", "class").join(found, "class").select("doc_id", "class", "label"), "component-members")
     first = inside.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "class")).alias("w"))
     winners = first.select(F.col("w.doc_id").alias("winner_id"), F.col("w.class").alias("winner_class"))
