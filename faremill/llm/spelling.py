@@ -61,6 +61,12 @@ def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 # --- groups -----------------------------------------------------------------------------
 
 
+def _dealt(lines: DataFrame) -> DataFrame:
+    """To be joined by shuffle only: Spark takes a table of words for as large as its compressed file, before they are
+    exploded, and would send hundreds of MB through the driver."""
+    return lines.hint("merge")
+
+
 def _key(size: Column, head: Column, tail: Column) -> Column:
     """The group of words with the same first ``head`` and last ``tail`` code points."""
     word = F.col("word")
@@ -89,7 +95,7 @@ def _children(members: DataFrame) -> DataFrame:
 def _grouped(members: DataFrame) -> DataFrame:
     """Members of groups of at least two, with the group's number of words."""
     counts = members.groupBy("key").agg(F.count("*").alias("words")).where(F.col("words") > 1)
-    return members.join(counts, "key")
+    return _dealt(members).join(counts, "key")
 
 
 def groups(words: DataFrame, most: int = GROUP) -> DataFrame:
@@ -225,19 +231,19 @@ def with_roots(found: DataFrame) -> DataFrame:
     pointers = stored(pointers, "spelling-pointers")
     while True:
         onward = pointers.select(F.col("from").alias("to"), F.col("to").alias("next"))
-        jumped = pointers.join(onward, "to", "left")
+        jumped = pointers.join(_dealt(onward), "to", "left")
         jumped = jumped.select("from", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved"))
         jumped = stored(jumped, "spelling-pointers")
         if jumped.where("moved").isEmpty():
             ends = pointers.select(F.col("from").alias("word"), F.col("to").alias("end"))
-            return found.join(ends, "word", "left").withColumn("root", F.coalesce("end", "word")).drop("end")
+            return found.join(_dealt(ends), "word", "left").withColumn("root", F.coalesce("end", "word")).drop("end")
         pointers = jumped.select("from", "to")
 
 
 def variants(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = GROUP) -> DataFrame:
     """word, n, n_near, form, form_n and root of every frequent word."""
     words = stored(word_counts(docs, doc_id, text), "spelling-words")
-    joined = words.join(near_words(words, most), "word", "left")
+    joined = words.join(_dealt(near_words(words, most)), "word", "left")
     fit = F.col("form_n") >= 2 * F.col("n")
     chosen = joined.select(
         "word",
