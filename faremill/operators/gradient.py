@@ -28,6 +28,9 @@ HELD_OUT = -1
 FAN = 32
 #: Combinations of category columns that are looked up at once.
 GROUPED = 1024
+#: Inputs of a network that are multiplied by the first layer, wider ones are looked up; and rows that go through all
+#: layers together, so that their activations stay in the processor's cache.
+NARROW, CHUNK = 128, 2048
 
 
 @dataclass(frozen=True)
@@ -229,8 +232,75 @@ def block_forward(parameters: np.ndarray, block: Block, layout: Layout):
     return activations, grouped
 
 
+def _multiplied(layout: Layout) -> bool:
+    return bool(layout.hidden) and layout.widths[0] <= NARROW
+
+
+def _chunks(block: Block, layout: Layout) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """One-hot inputs, with a column more that what is unknown goes to, and labels of some rows at a time; one array is used again."""
+    width, rows = layout.widths[0], len(block.label)
+    starts = np.cumsum([layout.numeric, *layout.category_sizes[:-1]])[:, None]
+    sizes = np.array(layout.category_sizes, np.int64)[:, None]
+    held = np.zeros((min(CHUNK, rows), width + 1))
+    lines = np.arange(len(held)) * (width + 1)
+    for low in range(0, rows, CHUNK):
+        label = block.label[low : low + CHUNK]
+        inputs = held[: len(label)]
+        inputs[...] = 0.0
+        inputs[:, : layout.numeric] = block.inputs[:, low : low + CHUNK].T
+        if len(sizes):
+            index = block.categories[:, low : low + CHUNK]
+            places = np.where((index >= 0) & (index < sizes), index + starts, width)
+            inputs.reshape(-1)[places + lines[: len(label)]] = 1.0
+        yield inputs, label
+
+
+def _multiplied_layers(parameters: np.ndarray, layout: Layout) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The layers, the first with a line for the column of what is unknown."""
+    (weights, biases), *rest = layers(parameters, layout)
+    return [(np.vstack([weights, np.zeros((1, weights.shape[1]))]), biases), *rest]
+
+
+def _activations(stack: list[tuple[np.ndarray, np.ndarray]], inputs: np.ndarray) -> list[np.ndarray]:
+    activations = [inputs]
+    for depth, (weights, biases) in enumerate(stack):
+        value = activations[-1] @ weights
+        value += biases
+        activations.append(np.maximum(value, 0.0, out=value) if depth < len(stack) - 1 else value[:, 0])
+    return activations
+
+
+def _multiplied_gradient(parameters: np.ndarray, block: Block, layout: Layout, training: Training):
+    loss, gradient = 0.0, np.zeros_like(parameters)
+    stack, out = _multiplied_layers(parameters, layout), layers(gradient, layout)
+    for inputs, label in _chunks(block, layout):
+        activations = _activations(stack, inputs)
+        value, slope = loss_of(activations[-1] - label, training)
+        loss += float(value.sum())
+        delta = slope[:, None]
+        for depth in range(len(stack) - 1, -1, -1):
+            below = activations[depth]
+            slopes = below.T @ delta
+            out[depth][0][...] += slopes[: len(out[depth][0])]
+            out[depth][1][...] += delta.sum(axis=0)
+            if depth:
+                delta = delta @ stack[depth][0].T
+                delta *= below > 0
+    return loss, gradient
+
+
+def block_residual(parameters: np.ndarray, block: Block, layout: Layout) -> np.ndarray:
+    """Prediction less label of every row."""
+    if not _multiplied(layout):
+        return block_forward(parameters, block, layout)[0][-1] - block.label
+    stack = _multiplied_layers(parameters, layout)
+    return np.concatenate([np.empty(0), *(_activations(stack, inputs)[-1] - label for inputs, label in _chunks(block, layout))])
+
+
 def block_gradient(parameters: np.ndarray, block: Block, layout: Layout, training: Training):
-    """``loss_and_gradient`` of a block, without its design matrix."""
+    """``loss_and_gradient`` of a block, without the design matrix of all its rows."""
+    if _multiplied(layout):
+        return _multiplied_gradient(parameters, block, layout, training)
     activations, grouped = block_forward(parameters, block, layout)
     value, slope = loss_of(activations[-1] - block.label, training)
     gradient = np.zeros_like(parameters)
@@ -323,16 +393,20 @@ def blocks_of(rows: DataFrame | RDD, layout: Layout) -> RDD:
     if isinstance(rows, RDD):
         return rows
 
+    most = max(layout.category_sizes, default=0)
+    kind = next(x for x in (np.int8, np.int16, np.int32) if most <= np.iinfo(x).max)
+
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 numbers = batch[[*layout.columns[: layout.numeric], "label"]].to_numpy(float).T
-                categories = batch[layout.columns[layout.numeric :]].fillna(-1).to_numpy(np.int32).T
+                indices = batch[layout.columns[layout.numeric :]].fillna(-1).to_numpy(np.int32).T
+                categories = np.clip(indices, -1, most).astype(kind)  # beyond its column's size all are unknown
                 yield pd.DataFrame({"n": [len(batch)], "numbers": [numbers.tobytes()], "categories": [categories.tobytes()]})
 
     def unpack(line) -> tuple[np.ndarray, np.ndarray]:
         numbers = np.frombuffer(line["numbers"]).reshape(-1, line["n"])
-        return numbers, np.frombuffer(line["categories"], np.int32).reshape(-1, line["n"])
+        return numbers, np.frombuffer(line["categories"], kind).reshape(-1, line["n"])
 
     needed = rows.select(*layout.columns, "label")
     cores = rows.sparkSession.sparkContext.defaultParallelism
@@ -438,7 +512,7 @@ def _held_out_loss(blocks: RDD, parameters: np.ndarray, layout: Layout, training
     """(rows, their loss) at ``parameters``."""
 
     def kernel(block: Block) -> np.ndarray:
-        residual = block_forward(parameters, block, layout)[0][-1] - block.label
+        residual = block_residual(parameters, block, layout)
         return np.array([len(residual), loss_of(residual, training)[0].sum()])
 
     return summed(blocks, kernel, 2)
